@@ -38,7 +38,7 @@ def repo_target(url: Column) -> Column:
     )
     target = (
         F.when(kind.isin("issue", "pull"), at(3))
-        .when(kind == "file", F.array_join(F.slice(p, 4, F.greatest(n - 3, F.lit(1))), "/"))
+        .when(kind == "file", F.array_join(F.slice(p, 5, F.greatest(n - 4, F.lit(1))), "/"))
     )
     error = F.when(n < 2, F.concat(F.lit("unrecognized repository URL: "), url)).when(
         kind.isNull(), F.concat(F.lit("unsupported repository URL shape: "), url)

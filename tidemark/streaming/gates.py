@@ -62,39 +62,52 @@ def gate_once(markers: DataFrame, expected: int, lateness: str = LATENESS) -> Da
 
 
 class HoldTimer(StatefulProcessor):
-    """Keep the time a hold began; on its timer emit an escalation unless it was resolved."""
+    """Keep the time a hold began; emit an escalation when its time is up before it is resolved.
+
+    Rows are taken in event time, so what comes out does not depend on how the input is
+    cut into batches: a row that is later than the deadline proves the time-out, and the
+    event-time timer covers holds that no later row follows.
+    """
 
     def __init__(self, hours: float):
-        self.wait_ms = int(hours * 3_600_000)
+        self.wait = pd.Timedelta(hours=hours)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", "held_at timestamp, timer long")
+        self.held = handle.getValueState("held", "held_at timestamp")
+
+    def _timer(self, held_at) -> int:
+        return int((pd.Timestamp(held_at) + self.wait).timestamp() * 1000)
+
+    def _escalated(self, key, held_at) -> pd.DataFrame:
+        return pd.DataFrame({
+            "type_key": [key[0]], "id": [key[1]], "held_at": [pd.Timestamp(held_at)],
+            "decision": ["auto_escalate"],
+        })
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows)).sort_values("ts")
-        state = self.held.get() if self.held.exists() else None
+        events = pd.concat(list(rows)).sort_values(["ts", "action"])
+        held = pd.Timestamp(self.held.get()[0]) if self.held.exists() else None
+        if held is not None:
+            self.handle.deleteTimer(self._timer(held))
+            self.held.clear()
         for action, ts in zip(events["action"], events["ts"]):
-            if action == "held" and state is None:
-                state = (ts.to_pydatetime(), int(ts.timestamp() * 1000) + self.wait_ms)
+            if held is not None and ts >= held + self.wait:
+                yield self._escalated(key, held)
+                held = None
+            if action == "held" and held is None:
+                held = ts
             elif action == "resolved":
-                state = None
-        if self.held.exists():
-            self.handle.deleteTimer(self.held.get()[1])
-            self.held.clear()
-        if state is not None:
-            self.held.update(state)
-            self.handle.registerTimer(state[1])
-        return iter([])
+                held = None
+        if held is not None:
+            self.held.update((held.to_pydatetime(),))
+            self.handle.registerTimer(self._timer(held))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.held.exists():
             held_at = self.held.get()[0]
             self.held.clear()
-            yield pd.DataFrame({
-                "type_key": [key[0]], "id": [key[1]], "held_at": [pd.Timestamp(held_at)],
-                "decision": ["auto_escalate"],
-            })
+            yield self._escalated(key, held_at)
 
     def close(self) -> None:
         pass

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.session import scratch_dir
 
@@ -112,7 +113,7 @@ def run_available(stream: DataFrame, spark: SparkSession, name: str, mode: str =
         .foreachBatch(store).trigger(availableNow=True).queryName(name).start()
     )
     query.awaitTermination()
-    schema = stream.schema.add("epoch", "int")
+    schema = StructType([*stream.schema.fields, StructField("epoch", IntegerType())])
     try:
         table = spark.read.schema(schema).parquet(out)
     except Exception:  # noqa: BLE001  no epoch ran: nothing has arrived
