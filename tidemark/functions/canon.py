@@ -76,18 +76,20 @@ def ascii_hash(texts: pd.Series) -> pd.Series:
     return texts.map(digest)
 
 
+# VARIANT schema names and the JSON type each stands for.
+TYPE_NAMES = {
+    "VOID": "null", "BOOLEAN": "boolean", "STRING": "string", "ARRAY": "list", "OBJECT": "object",
+    "TINYINT": "number", "SMALLINT": "number", "INT": "number", "BIGINT": "number", "FLOAT": "number",
+    "DOUBLE": "number", "DECIMAL": "number",
+}
+
+
 def type_name(v: Column) -> Column:
     """One of null, boolean, number, string, list, object."""
-    s = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull() | (s == "VOID"), "null")
-        .when(s.startswith("ARRAY"), "list")
-        .when(s == "BOOLEAN", "boolean")
-        .when(s.startswith("OBJECT"), "object")
-        .when((s == "BIGINT") | (s == "DOUBLE") | (s == "FLOAT") | s.startswith("DECIMAL"), "number")
-        .when(s == "STRING", "string")
-        .otherwise(F.lower(s))
-    )
+    names = F.create_map(*[F.lit(x) for pair in TYPE_NAMES.items() for x in pair])
+    # The schema is printed once per value and looked up, instead of once per CASE branch.
+    head = F.substring_index(F.substring_index(F.schema_of_variant(v), "<", 1), "(", 1)
+    return F.coalesce(F.element_at(names, head), F.lower(head), F.lit("null"))
 
 
 def field(v: Column, key: str) -> Column:

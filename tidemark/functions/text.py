@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 
 # Whitespace as a Unicode-aware strip sees it: (?U)\s plus the four separators it misses.
 _WS = r"[\s\x1c-\x1f]"
+# The same characters one by one, for trimming without a regular expression.
+_WS_CHARS = "".join(
+    chr(c)
+    for c in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+              0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+)
+# A sample is cut from this many characters when they suffice.
+_SAMPLE_REACH = 2000
 
 
 def or_missing(*cols: Column) -> Column:
@@ -21,7 +29,7 @@ def or_zero(*cols: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing whitespace of every kind, not only blanks."""
-    return F.regexp_replace(c, rf"(?U)^{_WS}+|{_WS}+$", "")
+    return F.btrim(c, F.lit(_WS_CHARS))
 
 
 def squeeze(c: Column) -> Column:
@@ -50,9 +58,19 @@ def base_id(c: Column) -> Column:
 
 
 def sample_of(c: Column) -> Column:
-    """One-line sample, 200 characters and an ellipsis when cut."""
-    flat = squeeze(F.coalesce(c, F.lit("")))
-    return F.when(F.length(flat) > 200, F.concat(F.substring(flat, 1, 200), F.lit("…"))).otherwise(flat)
+    """One-line sample, 200 characters and an ellipsis when cut.
+
+    The first characters of a text nearly always decide its sample, as they squeeze to more
+    than 200; only where they do not is the whole text squeezed. Both ways give the same.
+    """
+    c = F.coalesce(c, F.lit(""))
+
+    def cut(flat):
+        return F.when(F.length(flat) > 200, F.concat(F.substring(flat, 1, 200), F.lit("…"))).otherwise(flat)
+
+    head = squeeze(F.substring(c, 1, _SAMPLE_REACH))
+    enough = (F.length(c) <= _SAMPLE_REACH) | (F.length(head) > 200)
+    return F.when(enough, cut(head)).otherwise(cut(squeeze(c)))
 
 
 def filter_date(ms: Column) -> Column:

@@ -107,7 +107,7 @@ def extract_bodies(work: DataFrame, enrichers: dict[str, Enricher] | None = None
     if not json_hosts:
         return out
     keyed = F.col("page_host").isin(json_hosts)
-    native = shaped.filter(keyed).withColumn("_body", embedded_body(F.col("html")))
+    native = with_embedded_body(shaped.filter(keyed), "_body")
     good = F.length("_body") >= pages.MIN_BODY
     done = native.filter(good).select(
         *KEY, "url", "final_url", F.col("_body").alias("body_text"),
@@ -117,18 +117,32 @@ def extract_bodies(work: DataFrame, enrichers: dict[str, Enricher] | None = None
     return done.unionByName(rest.mapInPandas(run, RESULT))
 
 
-def embedded_body(html: Column) -> Column:
-    """Body of a page that carries its data as JSON in a script element.
+def with_embedded_body(df: DataFrame, name: str, html: str = "html") -> DataFrame:
+    """Add the body of pages that carry their data as JSON in a script element.
 
-    Comment blocks of a compiled source, else an API description. The order of paths is
-    that of the VARIANT, which is by name.
+    Comment blocks of a compiled source, else an API description; empty where there is
+    neither. The order of paths is that of the VARIANT, which is by name. The steps are
+    columns of their own so that the page is parsed once per row.
     """
     script = F.regexp_extract(
-        html, r'<script id="__NEXT_DATA__" type="application/json">([\s\S]*?)</script>', 1
+        F.col(html), r'<script id="__NEXT_DATA__" type="application/json">([\s\S]*?)</script>', 1
     )
-    doc = F.try_variant_get(F.try_parse_json(F.nullif(script, F.lit(""))), "$.props.pageProps.docData", "variant")
-    source = canon.text_field(doc, "compiledSource")
-    return F.coalesce(comment_blocks(source), api_markdown(canon.field(doc, "swaggerFile")), F.lit(""))
+    doc = F.try_variant_get(
+        F.try_parse_json(F.nullif(script, F.lit(""))), "$.props.pageProps.docData", "variant"
+    )
+    out = df.withColumn("_doc", doc)
+    out = out.withColumn("_source", canon.text_field(F.col("_doc"), "compiledSource")).withColumn(
+        "_spec", canon.field(F.col("_doc"), "swaggerFile")
+    )
+    out = out.withColumn("_paths", canon.as_map(canon.field(F.col("_spec"), "paths"))).withColumn(
+        "_info", canon.field(F.col("_spec"), "info")
+    )
+    body = (
+        F.when(F.col("_source").isNotNull(), comment_blocks(F.col("_source")))
+        .when(F.col("_spec").isNotNull(), api_markdown(F.col("_info"), F.col("_paths")))
+        .otherwise("")
+    )
+    return out.withColumn(name, body).drop("_doc", "_source", "_spec", "_paths", "_info")
 
 
 def comment_blocks(source: Column) -> Column:
@@ -142,10 +156,9 @@ def comment_blocks(source: Column) -> Column:
 HTTP_METHODS = ["get", "post", "put", "delete", "patch"]
 
 
-def api_markdown(spec: Column) -> Column:
+def api_markdown(info: Column, path_map: Column) -> Column:
     """Title, description and one heading per path and method."""
     some = lambda v, key: F.nullif(canon.text_field(v, key), F.lit(""))
-    info = canon.field(spec, "info")
     head = F.array(F.concat(F.lit("# "), some(info, "title")), some(info, "description"))
 
     def operation(path, e):
@@ -165,11 +178,11 @@ def api_markdown(spec: Column) -> Column:
         return F.flatten(F.transform(ops, lambda e: operation(p["key"], e)))
 
     paths = F.filter(
-        F.map_entries(canon.as_map(canon.field(spec, "paths"))),
+        F.map_entries(path_map),
         lambda p: canon.type_name(p["value"]) == "object",
     )
     blocks = F.concat(head, F.flatten(F.transform(paths, path_blocks)))
-    return F.when(spec.isNotNull(), strip(F.array_join(F.array_compact(blocks), "\n\n")))
+    return strip(F.array_join(F.array_compact(blocks), "\n\n"))
 
 
 def repo_body(items: DataFrame) -> DataFrame:

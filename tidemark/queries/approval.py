@@ -11,23 +11,31 @@ from tidemark.operators import reads
 from tidemark.plans import daily
 from tidemark.queries import scenario as S
 from tidemark.queries.registry import query
+from tidemark.session import cut_lineage
 from tidemark.sources import exports
 
 RUN = "2024-01-31"
 
 
-def _manifest(spark, sf):
-    return S.staged(spark, sf).select(*KEY, F.lit(RUN).alias("run_date"))
+def _manifest(pending):
+    return pending.select(*KEY, F.lit(RUN).alias("run_date"))
+
+
+def _records_of(live, pending):
+    return review.change_records(_manifest(pending), pending, live, diff.hash_index(live))
 
 
 def _records(spark, sf):
-    live = S.prior(spark, sf)
-    return review.change_records(_manifest(spark, sf), S.staged(spark, sf), live, diff.hash_index(live))
+    return _records_of(*S.run_tables(spark, sf))
 
 
-def _rated(spark, sf):
+def _rated_of(live, pending):
     """Staged rows with risk and parts; staged rows are their own manifest here."""
-    return review.with_risk(S.staged(spark, sf).select(*KEY, *review.DIGEST), S.prior(spark, sf))
+    return review.with_risk(pending.select(*KEY, *review.DIGEST), live)
+
+
+def _rated(spark, sf):
+    return _rated_of(S.prior(spark, sf), S.staged(spark, sf))
 
 
 @query("risk_flags", S.GATED_SQL + """
@@ -87,9 +95,8 @@ def review_manifest(spark, sf):
 
 
 def _approved(spark, sf):
-    live = S.prior(spark, sf).select(*KEY, *review.DIGEST)
-    pending = S.staged(spark, sf).select(*KEY, *review.DIGEST)
-    staged = daily.Staged(manifest=_manifest(spark, sf), pending=pending)
+    live, pending = (t.select(*KEY, *review.DIGEST) for t in S.run_tables(spark, sf))
+    staged = daily.Staged(manifest=_manifest(pending), pending=pending)
     return daily.approve_run(staged, live, diff.hash_index(live), F.lit(RUN), S.now())
 
 
@@ -151,16 +158,18 @@ def audit_counts(spark, sf):
 SELECT type_key, id FROM gated WHERE NOT (action = 'promoted' AND op = 'new')""")
 def resume_approved(spark, sf):
     """An interrupted run had promoted its new rows; what is left to do."""
-    done = review.gate(_records(spark, sf)).filter("action = 'promoted' AND op = 'new'")
-    return review.not_yet_approved(_manifest(spark, sf), done).select(*KEY)
+    live, pending = S.run_tables(spark, sf)
+    done = review.gate(_records_of(live, pending)).filter("action = 'promoted' AND op = 'new'")
+    return review.not_yet_approved(_manifest(pending), done).select(*KEY)
 
 
 @query("reject_pending", S.GATED_SQL + """
 SELECT type_key, count(*) AS remaining FROM gated WHERE action <> 'held-risky' GROUP BY type_key""")
 def reject_pending(spark, sf):
     """Reject every held row; the rest of pending stays."""
-    held = review.gate(_rated(spark, sf)).filter("action = 'held-risky'")
-    return zones.drop_keys(S.staged(spark, sf).select(*KEY), held).groupBy("type_key").agg(
+    live, pending = S.run_tables(spark, sf)
+    held = review.gate(_rated_of(live, pending)).filter("action = 'held-risky'")
+    return zones.drop_keys(pending.select(*KEY), held).groupBy("type_key").agg(
         F.count(F.lit(1)).alias("remaining")
     )
 
@@ -170,8 +179,7 @@ SELECT type_key, count(*) AS n,
   CASE WHEN type_key < 'src2' THEN 'approved' ELSE 'rejected' END AS decision FROM gated GROUP BY type_key""")
 def bulk_resolve_types(spark, sf):
     """Bulk decisions by type: one half of the types approved, the other rejected."""
-    pending = S.staged(spark, sf).select(*KEY, *review.DIGEST)
-    live = S.prior(spark, sf).select(*KEY, *review.DIGEST)
+    live, pending = (t.select(*KEY, *review.DIGEST) for t in S.run_tables(spark, sf))
     yes = F.col("type_key") < "src2"
     approved = zones.promote(live, pending, pending.filter(yes), S.now())
     left = approved["pending"]
@@ -189,7 +197,7 @@ SELECT g.type_key, g.id, g.risk, g.changed, g.op, length(g.body_text) AS pending
 FROM gated g LEFT JOIN prior p ON p.type_key = g.type_key AND p.id = g.id WHERE g.action = 'held-risky'""")
 def held_entries(spark, sf):
     held = review.gate(_records(spark, sf)).filter("action = 'held-risky'")
-    out = review.held_entries(held, S.staged(spark, sf), S.prior(spark, sf))
+    out = review.held_entries(held, S.current(spark, sf), S.prior(spark, sf))
     return out.select(
         *KEY, F.array_join("risk", ",").alias("risk"), F.array_join("changed", ",").alias("changed"), "op",
         F.col("pending_chars").cast("bigint").alias("pending_chars"), "error_msg",
@@ -229,9 +237,8 @@ UNION ALL SELECT 'live', (SELECT count(*) FROM prior)
 UNION ALL SELECT 'pending', (SELECT count(*) FROM gated) - (SELECT count(*) FROM decided WHERE decision <> 'held')""")
 def settle_holds(spark, sf):
     """Decisions applied to the zones; sizes of everything that comes out."""
-    held = review.gate(_records(spark, sf)).filter("action = 'held-risky'")
-    live = S.prior(spark, sf).select(*KEY, *review.DIGEST)
-    pending = S.staged(spark, sf).select(*KEY, *review.DIGEST)
+    live, pending = (t.select(*KEY, *review.DIGEST) for t in S.run_tables(spark, sf))
+    held = cut_lineage(spark, review.gate(_records_of(live, pending)).filter("action = 'held-risky'"), "held")
     out = daily.settle_holds(held, _decisions(spark, sf), live, pending, F.lit(RUN), S.now())
     total = None
     for name in ("approved", "rejected", "remaining", "live", "pending"):
@@ -244,8 +251,9 @@ def settle_holds(spark, sf):
 SELECT type_key, count(*) AS n, 'rejected' AS decision FROM gated WHERE action = 'held-risky' GROUP BY type_key""")
 def escalated_holds(spark, sf):
     """An escalation of the whole run rejects whatever is still held."""
-    held = review.gate(_rated(spark, sf)).filter("action = 'held-risky'").select(*KEY)
-    verdict = _manifest(spark, sf).agg(F.max("run_date").alias("run_date")).select(
+    live, pending = S.run_tables(spark, sf)
+    held = review.gate(_rated_of(live, pending)).filter("action = 'held-risky'").select(*KEY)
+    verdict = _manifest(pending).agg(F.max("run_date").alias("run_date")).select(
         F.lit(None).cast("string").alias("type_key"), F.lit(None).cast("string").alias("id"),
         F.lit("auto_escalate").alias("action"), F.lit("watchdog").alias("actor"),
     )
@@ -347,7 +355,7 @@ def _run_of_row(df):
 SELECT 'manifest' AS what, count(*) FILTER (has_body = 0) AS n FROM staged
 UNION ALL SELECT 'pending', count(*) FILTER (has_body = 0) FROM staged""")
 def delete_run(spark, sf):
-    s = S.staged(spark, sf)
+    s = S.run_tables(spark, sf)[1]
     manifest = _run_of_row(s).select(*KEY, "run_date")
     out = zones.delete_run({"manifest": manifest}, manifest, s.select(*KEY), RUN)
     n = lambda name: out[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("what"), "n")
@@ -362,7 +370,7 @@ top AS (SELECT * FROM groups QUALIFY row_number() OVER (PARTITION BY grp ORDER B
 SELECT g.grp AS "group", g.n, t.sample FROM (SELECT grp, count(*) AS n FROM groups GROUP BY 1) g
 LEFT JOIN (SELECT grp, string_agg(name, ',' ORDER BY name) AS sample FROM top GROUP BY 1) t USING (grp)""")
 def delete_run_preview(spark, sf):
-    s = S.staged(spark, sf)
+    s = S.run_tables(spark, sf)[1]
     manifest = _run_of_row(s)
     pending = zones.staged_by_run(manifest, s, RUN)
     name = F.concat_ws("/", "type_key", "id").alias("name")

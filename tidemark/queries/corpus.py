@@ -592,7 +592,8 @@ def next_data(spark, sf):
         F.lit('<html><script id="__NEXT_DATA__" type="application/json">{"props":{"pageProps":{"docData":'), doc,
         F.lit("}}}</script></html>"),
     )
-    return d.select("doc_id", F.sha2(bodies.embedded_body(html), 256).alias("hash"))
+    out = bodies.with_embedded_body(d.select("doc_id", html.alias("html")), "body")
+    return out.select("doc_id", F.sha2("body", 256).alias("hash"))
 
 
 @query("repo_items", r"""

@@ -13,16 +13,21 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import canon
 from tidemark.functions.text import is_blank
-from tidemark.session import configure
+from tidemark.session import configure, cut_lineage, spread
 
 NOW = "2024-01-31 00:00:00"
 DAY_MS = 86_400_000
 BASE_MS = 1_700_000_000_000
 
 
+# Tables whose rows hold whole texts, with the key that splits them.
+WIDE = {"documents": "doc_id", "pages": "page_id"}
+
+
 def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
     configure(spark)
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    return spread(df, WIDE[name]) if name in WIDE else df
 
 
 def now() -> Column:
@@ -89,6 +94,18 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
     return current(spark, sf).join(same, ["type_key", "id", "metadata_hash", "content_hash"], "left_anti")
 
 
+def run_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Live and pending as a run has them: narrow digest tables, the texts hashed once.
+
+    Queries that use a zone several times start from these tables, which outlive lost
+    executors, rather than from the documents each time.
+    """
+    live = cut_lineage(spark, prior(spark, sf).drop("body_text"), "live")
+    now_read = cut_lineage(spark, current(spark, sf).drop("body_text"), "current")
+    same = live.select("type_key", "id", "metadata_hash", "content_hash")
+    return live, now_read.join(same, ["type_key", "id", "metadata_hash", "content_hash"], "left_anti")
+
+
 def _sql_side(name: str, gone: int, lang: str, body: str, error: str, modified: str) -> str:
     return f"""
 {name}_rows AS (
