@@ -38,7 +38,8 @@ def squeeze(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return strip(c) == ""
+    """True when a text holds nothing but whitespace; the search ends at the first other character."""
+    return ~c.rlike(r"(?U)[^\s\x1c-\x1f]")
 
 
 def sanitize_name(c: Column) -> Column:

@@ -117,6 +117,11 @@ def extract_bodies(work: DataFrame, enrichers: dict[str, Enricher] | None = None
     return done.unionByName(rest.mapInPandas(run, RESULT))
 
 
+# The element that holds the page's data.
+SCRIPT_OPEN = '<script id="__NEXT_DATA__" type="application/json">'
+SCRIPT_CLOSE = "</script>"
+
+
 def with_embedded_body(df: DataFrame, name: str, html: str = "html") -> DataFrame:
     """Add the body of pages that carry their data as JSON in a script element.
 
@@ -124,11 +129,11 @@ def with_embedded_body(df: DataFrame, name: str, html: str = "html") -> DataFram
     neither. The order of paths is that of the VARIANT, which is by name. The steps are
     columns of their own so that the page is parsed once per row.
     """
-    script = F.regexp_extract(
-        F.col(html), r'<script id="__NEXT_DATA__" type="application/json">([\s\S]*?)</script>', 1
-    )
+    # Literal splits: a lazy group over a whole page costs several times as much.
+    rest = F.split_part(F.col(html), F.lit(SCRIPT_OPEN), F.lit(2))
+    script = F.when(rest.contains(SCRIPT_CLOSE), F.substring_index(rest, SCRIPT_CLOSE, 1))
     doc = F.try_variant_get(
-        F.try_parse_json(F.nullif(script, F.lit(""))), "$.props.pageProps.docData", "variant"
+        F.try_parse_json(script), "$.props.pageProps.docData", "variant"
     )
     out = df.withColumn("_doc", doc)
     out = out.withColumn("_source", canon.text_field(F.col("_doc"), "compiledSource")).withColumn(
@@ -147,7 +152,7 @@ def with_embedded_body(df: DataFrame, name: str, html: str = "html") -> DataFram
 
 def comment_blocks(source: Column) -> Column:
     """Text of the ``/* … */`` blocks, import and export lines left out."""
-    blocks = F.transform(F.regexp_extract_all(source, F.lit(r"/\*([\s\S]*?)\*/"), F.lit(1)), strip)
+    blocks = F.transform(F.regexp_extract_all(source, F.lit(r"(?s)/\*(.*?)\*/"), F.lit(1)), strip)
     kept = F.filter(blocks, lambda b: (b != "") & ~b.rlike(r"^(import|export)\s"))
     return strip(F.regexp_replace(F.array_join(kept, "\n\n"), r"\n{3,}", "\n\n"))
 

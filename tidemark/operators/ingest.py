@@ -43,16 +43,17 @@ def hit_link(hit: Column, fields: HitFields = HitFields()) -> Column:
     return F.coalesce(text.or_missing(*[_get(hit, p, "string") for p in fields.link]), F.lit(""))
 
 
-def flat_fields(hit: Column) -> Column:
-    """All fields of a hit as one map: the ``raw`` bag, over which top-level keys win."""
-    top = F.map_filter(canon.as_map(hit), lambda k, _: k != "raw")
-    raw = canon.as_map(F.try_variant_get(hit, "$.raw", "variant"))
-    return F.map_concat(F.map_filter(raw, lambda k, _: ~F.map_contains_key(top, k)), top)
-
+def with_flat_fields(df: DataFrame, name: str, hit: str = "hit") -> DataFrame:
+    """Add all fields of a hit as one map: the ``raw`` bag, over which top-level keys win.
 
-def field_source(hit: Column, name: Column) -> Column:
-    """``top`` when the field stands at the top level, else ``raw``."""
-    return F.when(F.map_contains_key(canon.as_map(hit), name), "top").otherwise("raw")
+    The top-level map is a column of its own, because an expression inside a lambda is
+    evaluated once per element.
+    """
+    top = F.map_filter(canon.as_map(F.col(hit)), lambda k, _: k != "raw")
+    raw = canon.as_map(F.try_variant_get(hit, "$.raw", "variant"))
+    out = df.withColumn("_top", top).withColumn("_raw", raw)
+    hidden = F.map_filter("_raw", lambda k, _: ~F.map_contains_key("_top", k))
+    return out.withColumn(name, F.map_concat(hidden, F.col("_top"))).drop("_top", "_raw")
 
 
 def selects(keep: Column, name: Column) -> Column:
@@ -60,12 +61,12 @@ def selects(keep: Column, name: Column) -> Column:
     return keep.isNull() | F.array_contains(keep, name)
 
 
-def split_fields(df: DataFrame, fields: Column) -> DataFrame:
+def split_fields(df: DataFrame) -> DataFrame:
     """Add ``metadata`` and ``content`` by the keep-lists ``keep_metadata`` and ``keep_content``.
 
     A field in both lists goes to content; a field in neither is dropped.
     """
-    df = df.withColumn("_fields", fields)
+    df = with_flat_fields(df, "_fields")
     return df.withColumn(
         "content",
         canon.as_object(F.map_filter("_fields", lambda k, _: selects(F.col("keep_content"), k))),
@@ -121,7 +122,7 @@ def envelopes(hits: DataFrame, types: DataFrame, captured_at: Column, run_date:
     ``types`` is the type configuration; it has one row per configured type.
     """
     joined = hits.join(types, "document_type")
-    split = split_fields(joined, flat_fields(F.col("hit")))
+    split = split_fields(joined)
     out = split.select(
         run_date.alias("run_date"),
         captured_at.alias("captured_at"),

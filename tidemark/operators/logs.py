@@ -87,14 +87,24 @@ def latency_by_type(lines: DataFrame, action: str = "page_fetched") -> DataFrame
     )
 
 
-def report_fields(message: Column) -> list[Column]:
-    """Duration, billed time, memory size and peak memory of a platform line; null on other lines."""
-    ok = message.startswith("REPORT ") & message.rlike(REPORT)
-    part = lambda i, kind: F.when(ok, F.regexp_extract(message, REPORT, i).cast(kind))
-    return [
-        part(1, "double").alias("duration_ms"), part(2, "bigint").alias("billed_ms"),
-        part(3, "int").alias("memory_mb"), part(4, "int").alias("max_memory_mb"),
-    ]
+def with_report_fields(df: DataFrame, message: str = "message") -> DataFrame:
+    """Add duration, billed time, memory size and peak memory of a platform line; null on other lines.
+
+    The line is matched once; the four numbers are then split out of the match.
+    """
+    line = F.col(message)
+    numbers = F.regexp_replace(line, r"(?s)^REPORT .*?" + REPORT + r".*$", r"$1 $2 $3 $4")
+    out = df.withColumn("_numbers", F.when(line.startswith("REPORT "), numbers)).withColumn(
+        "_parts", F.when(F.col("_numbers") != line, F.split("_numbers", " "))
+    )
+    part = lambda i, kind: F.try_element_at("_parts", F.lit(i)).cast(kind)
+    return (
+        out.withColumn("duration_ms", part(1, "double"))
+        .withColumn("billed_ms", part(2, "bigint"))
+        .withColumn("memory_mb", part(3, "int"))
+        .withColumn("max_memory_mb", part(4, "int"))
+        .drop("_numbers", "_parts")
+    )
 
 
 def cost_rollup(lines: DataFrame, message: str = "message", by: str = "source", order: str = "ts") -> DataFrame:
@@ -102,7 +112,7 @@ def cost_rollup(lines: DataFrame, message: str = "message", by: str = "source",
 
     The memory size is that of the latest line, as the setting can change.
     """
-    parsed = lines.select(by, order, *report_fields(F.col(message))).filter(F.col("billed_ms").isNotNull())
+    parsed = with_report_fields(lines.select(by, order, message), message).filter(F.col("billed_ms").isNotNull())
     grouped = parsed.groupBy(by).agg(
         F.count(F.lit(1)).alias("invocations"), F.sum("billed_ms").alias("billed_ms"),
         F.max_by("memory_mb", order).alias("memory_mb"), F.max("max_memory_mb").alias("max_memory_mb"),

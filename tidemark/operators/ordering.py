@@ -26,7 +26,8 @@ def numbered(
     ``bucket`` is any value that grows with ``order``. Rows are numbered within
     (key, bucket); the sizes of the earlier buckets of the key are added. So the rows
     of one hot key are spread over its buckets, and only one count per bucket meets
-    in a window.
+    in a window. Keys and bucket must not be null. The rows are shuffled once: the join
+    uses the partitioning of the window.
     """
     b = df.withColumn("_bucket", bucket)
     local = b.withColumn(
@@ -39,11 +40,8 @@ def numbered(
         .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
-    on = [local[k].eqNullSafe(offsets[k]) for k in [*keys, "_bucket"]]
-    joined = local.join(offsets, on, "left").select(*[local[c] for c in local.columns], "_offset")
-    return joined.withColumn(name, F.col("_local") + F.coalesce("_offset", F.lit(0))).drop(
-        "_bucket", "_local", "_offset"
-    )
+    joined = local.join(offsets, [*keys, "_bucket"]).select(*local.columns, "_offset")
+    return joined.withColumn(name, F.col("_local") + F.col("_offset")).drop("_bucket", "_local", "_offset")
 
 
 def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:

@@ -12,20 +12,22 @@ from tidemark.functions.text import sample_of
 def field_rows(hits: DataFrame, hit: str = "hit", keys: list[str] = ("type_key", "seq")) -> DataFrame:
     """One row per field of each hit: ``field``, ``source``, ``value``. Top-level fields win.
 
-    Generated from the merged map of a row, so no shuffle is needed to settle clashes.
+    Clashes are settled within a row, so no shuffle is needed for them.
     """
-    from tidemark.operators.ingest import flat_fields
+    top = F.map_filter(canon.as_map(F.col(hit)), lambda k, _: k != "raw")
+    raw = canon.as_map(F.try_variant_get(hit, "$.raw", "variant"))
 
-    top = canon.as_map(F.col(hit))
-    return (
-        hits.select(*keys, top.alias("_top"), flat_fields(F.col(hit)).alias("_all"))
-        .select(*keys, "_top", F.explode("_all").alias("field", "value"))
-        .select(
-            *keys, "field",
-            F.when(F.map_contains_key("_top", F.col("field")), "top").otherwise("raw").alias("source"),
-            "value",
+    def tagged(entries, source):
+        return F.transform(
+            entries,
+            lambda e: F.struct(e["key"].alias("field"), F.lit(source).alias("source"), e["value"].alias("value")),
         )
-    )
+
+    # Maps as columns of their own: inside a lambda they would be built once per element.
+    maps = hits.select(*keys, top.alias("_top"), raw.alias("_raw"))
+    hidden = F.filter(F.map_entries("_raw"), lambda e: ~F.map_contains_key("_top", e["key"]))
+    rows = F.concat(tagged(F.map_entries("_top"), "top"), tagged(hidden, "raw"))
+    return maps.select(*keys, F.inline(rows))
 
 
 def field_catalogue(rows: DataFrame, totals: DataFrame, order: str = "seq") -> DataFrame:

@@ -247,7 +247,7 @@ def group_caps(spark, sf):
 
 def _platform_lines(spark, sf):
     rows = S.log_lines(spark, sf)
-    ms = F.format_string("%.2f", "duration_ms")
+    ms = F.col("duration_ms").cast("decimal(18,2)").cast("string")
     billed = F.ceil("duration_ms").cast("string")
     line = F.concat(
         F.lit("REPORT RequestId: x Duration: "), ms, F.lit(" ms  Billed Duration: "), billed,

@@ -38,7 +38,7 @@ FATES = {0: "added", 9: "removed", 1: "relabelled", 2: "shortened", 3: "emptied"
 
 
 def fate(doc_id: Column) -> Column:
-    m = F.floor(doc_id / 20) % 10
+    m = F.call_function("div", doc_id, F.lit(20)) % 10
     out = None
     for value, name in FATES.items():
         out = F.when(m == value, name) if out is None else out.when(m == value, name)
