@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import canon
-
-CORRUPT = "_corrupt_record"
-
+from tidemark.functions.text import is_blank
 
 def article_tree(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Every ``*.json`` below the type folders: (articles, rejects).
@@ -48,15 +46,10 @@ def json_lines(spark: SparkSession, path: str, schema: str | T.StructType) -> Da
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
 
-def json_lines_rejects(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The malformed lines of the same file, for counting."""
-    full = f"{schema}, {CORRUPT} string"
-    # Read with every column, as Spark does not parse lines when only the corrupt column is asked for.
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option(
-        "columnNameOfCorruptRecord", CORRUPT
-    ).json(path)
-    keep = F.struct("*").alias("_row")
-    return rows.select(keep).filter(F.col(f"_row.{CORRUPT}").isNotNull()).select(f"_row.{CORRUPT}")
+def json_lines_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of the same file that are neither blank nor JSON, for counting."""
+    lines = spark.read.text(path)
+    return lines.filter(~is_blank(F.col("value")) & F.try_parse_json("value").isNull())
 
 
 def run_manifest(spark: SparkSession, path: str, run_date: str) -> DataFrame:
@@ -72,9 +65,9 @@ def hash_index_file(spark: SparkSession, path: str) -> DataFrame:
         "SELECT e.key AS k, CAST(e.value AS STRING) AS metadata_hash "
         "FROM _tidemark_hash_doc, LATERAL variant_explode(v) e"
     )
+    parts = F.split("k", " ", 2)
     return pairs.select(
-        F.split("k", " ", 2).getItem(0).alias("type_key"),
-        F.split("k", " ", 2).getItem(1).alias("id"), "metadata_hash",
+        F.get(parts, F.lit(0)).alias("type_key"), F.get(parts, F.lit(1)).alias("id"), "metadata_hash"
     ).filter(F.col("id") != "")
 
 
