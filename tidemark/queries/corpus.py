@@ -563,9 +563,12 @@ SELECT 'manual' AS type_key, count(*) FILTER (page_id % 10 NOT IN (3, 5)) AS enr
   count(*) FILTER (page_id % 10 IN (3, 5)) AS failed, (SELECT count(*) FROM conversations) AS skipped,
   count(*) + (SELECT count(*) FROM conversations) AS total FROM pages""")
 def enrich_report(spark, sf):
-    """Extraction report; the conversations stand for articles that already have a body."""
+    """Report of a job that stores pages as they are; the conversations stand for articles
+    that already have a body."""
+    landed = _landed(spark, sf).withColumn("body_text", F.col("html")).withColumn("raised", F.lit(None).cast("string"))
+    results = bodies.with_outcome(landed, kb_host=KB_HOST)
     skipped = S.load(spark, sf, "conversations").select(F.lit("manual").alias("type_key"))
-    return bodies.enrich_report(_extracted(spark, sf), skipped)
+    return bodies.enrich_report(results, skipped)
 
 
 @query("next_data", r"""
