@@ -144,3 +144,14 @@ def body_settled(content: Column) -> Column:
     """True when a fetch is not due: a body is there, or an earlier fetch failed for good."""
     body = text_field(content, "body_text")
     return F.coalesce(~is_blank(body), F.lit(False)) | text_field(content, ERROR_KEY).isNotNull()
+
+
+# Keys under which a state document may keep its list of held rows.
+HELD_KEYS = ["held", "holds", "entries", "ids"]
+
+
+def held_list(v: Column) -> Column:
+    """The document itself if it is a list, else the first list under one of four keys, else empty."""
+    as_list = lambda x: F.when(type_name(x) == "list", F.try_variant_get(x, "$", "array<variant>"))
+    empty = F.array().cast("array<variant>")
+    return F.coalesce(as_list(v), *[as_list(field(v, key)) for key in HELD_KEYS], empty)

@@ -276,18 +276,23 @@ def enrich_changelog(results: DataFrame, had_body: Column, run_id: Column, ts: C
     )
 
 
-def line_delta(old: DataFrame, new: DataFrame, body: str = "body_text") -> DataFrame:
+def line_delta(old: DataFrame, new: DataFrame, body: str = "body_text", changed: DataFrame | None = None) -> DataFrame:
     """Added and removed lines per article, counted as multisets.
 
-    Lines are counted per (article, line) on each side and compared per line, so a long
-    article is spread over many tasks.
+    Lines are counted per (article, line digest) on each side and compared per line, so a
+    long article is spread over many tasks and no text is shuffled. ``changed`` (the keys a
+    snapshot diff found) keeps the rest of the corpus out.
     """
     def lines(df, side):
-        return df.select(*KEY, F.explode(F.split(body, "\n")).alias("line")).withColumn("_s", F.lit(side))
+        if changed is not None:
+            df = df.join(changed.select(*KEY), KEY, "left_semi")
+        return df.select(*KEY, F.explode(F.split(body, "\n")).alias("line")).select(
+            *KEY, F.unhex(F.md5("line")).alias("_line"), F.lit(side).alias("_s")
+        )
 
     counts = (
         lines(old, -1).unionByName(lines(new, 1))
-        .groupBy(*KEY, F.xxhash64("line").alias("_h"), F.md5("line").alias("_m"))
+        .groupBy(*KEY, "_line")
         .agg(F.sum("_s").alias("d"))
         .filter(F.col("d") != 0)
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import canon, text
 from tidemark.operators.ordering import numbered
+from tidemark.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -99,20 +100,25 @@ def dedup_hits(df: DataFrame, key: Column, order: Column) -> DataFrame:
     return keyed.unionByName(loose).select(*df.columns)
 
 
+def collision_suffixes(df: DataFrame, order: Column, bucket_width: int = 1_000_000) -> DataFrame:
+    """``(type_key, _order, _n)`` of the 2nd, 3rd, … row of one (type, id); narrow throughout."""
+    narrow = df.select("type_key", "id", order.alias("_order"))
+    bucket = F.floor(F.col("_order") / bucket_width)
+    ranked = numbered(narrow, ["type_key", "id"], [F.col("_order")], bucket, "_n")
+    return ranked.filter(F.col("_n") > 1).select("type_key", "_order", "_n")
+
+
 def collision_ids(df: DataFrame, order: Column, bucket_width: int = 1_000_000) -> DataFrame:
     """Give the 2nd, 3rd, … row of one (type, id) the id ``id__2``, ``id__3``, …
 
-    ``order`` is a unique BIGINT position. Only ids that do collide are numbered;
-    the others pass through.
+    ``order`` is a unique BIGINT position. The numbers are found on three narrow columns and
+    written as a table, so that Spark knows their size when it joins them to the documents:
+    the usual few are broadcast and no document is shuffled; many are joined by shuffle.
     """
-    base = df.withColumn("_order", order)
-    ranked = numbered(
-        base, ["type_key", "id"], [F.col("_order")], F.floor(F.col("_order") / bucket_width), "_n"
-    )
-    suffixed = F.when(
-        F.col("_n") > 1, F.concat(F.col("id"), F.lit("__"), F.col("_n").cast("string"))
-    ).otherwise(F.col("id"))
-    return ranked.withColumn("id", suffixed).select(*df.columns)
+    suffixes = cut_lineage(df.sparkSession, collision_suffixes(df, order, bucket_width), "suffixes")
+    out = df.withColumn("_order", order).join(suffixes, ["type_key", "_order"], "left")
+    suffixed = F.concat(F.col("id"), F.lit("__"), F.col("_n").cast("string"))
+    return out.withColumn("id", F.coalesce(suffixed, F.col("id"))).select(*df.columns)
 
 
 def envelopes(hits: DataFrame, types: DataFrame, captured_at: Column, run_date: Column,
@@ -217,3 +223,8 @@ def only_types(df: DataFrame, include=None, exclude=None, ids=None, col: str = "
     if ids:
         df = df.filter(F.col("id").isin(list(ids)))
     return df
+
+
+def unknown_types(types: DataFrame, names: DataFrame) -> DataFrame:
+    """Asked-for type names (column ``type_key``) that the configuration does not have."""
+    return names.select("type_key").distinct().join(types.select("type_key"), "type_key", "left_anti")

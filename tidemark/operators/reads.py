@@ -128,3 +128,8 @@ def changes_since(changes: DataFrame, runs: DataFrame, since: Column) -> DataFra
     return changes.join(later, "run_id", "left_semi").groupBy("change_type").agg(
         F.count(F.lit(1)).alias("n")
     )
+
+
+def trail(df: DataFrame, month: str, limit: int = 500, order: str = "ts") -> DataFrame:
+    """The newest rows of one month of a trail; ``month`` is its partition."""
+    return newest(df.filter(F.col("month") == month), [F.desc(order)], limit)

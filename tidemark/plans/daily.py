@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import KEY, diff, review, zones
+from tidemark.operators.ingest import with_digest
 
 
 @dataclass
@@ -71,3 +72,16 @@ def settle_holds(held: DataFrame, decisions: DataFrame, live: DataFrame, pending
     out["rejected"] = no.select(F.lit("rejected").alias("op"), *KEY, "actor", now.alias("ts"))
     out["remaining"] = decided.filter(F.col("decision") == "held").drop("decision", "actor")
     return out
+
+
+def edit_articles(live: DataFrame, edits: DataFrame, actor: Column, run_date: Column, now: Column) -> dict[str, DataFrame]:
+    """Hand-made edits: hash them anew, archive what they displace, and record them as ``edited``.
+
+    ``edits`` has the columns of ``live``; its hashes and lengths are computed here from
+    ``metadata`` and ``content``.
+    """
+    fresh = with_digest(edits.drop("metadata_hash", "content_hash", "has_body", "body_chars", "body_error"))
+    out = zones.promote(live, fresh.select(*live.columns), fresh, now)
+    tagged = fresh.withColumn("op", F.lit("edited")).withColumn("changed", F.array().cast("array<string>"))
+    out["approved"] = review.approved_records(tagged, actor, run_date)
+    return out

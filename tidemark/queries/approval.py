@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import risk as R
-from tidemark.operators import KEY, diff, review, runs, zones
+from tidemark.operators import KEY, diff, ingest, review, runs, zones
 from tidemark.operators.ordering import latest_by_key, newest, numbered, page
 from tidemark.operators import reads
-from tidemark.plans import daily
+from tidemark.plans import daily, tracking
 from tidemark.queries import scenario as S
 from tidemark.queries.registry import query
 from tidemark.session import cut_lineage
@@ -417,3 +417,42 @@ def audit_search(spark, sf):
     """Substring over the whole row, newest 400."""
     rows = S.log_lines(spark, sf).select("event_id", "action", "type_key", "id")
     return newest(reads.search_rows(rows, "U12"), [F.desc("event_id")], 400).select("event_id", "id")
+
+
+@query("trail_month", f"""WITH {S.LINES_SQL}
+SELECT event_id, action FROM lines WHERE strftime(ts, '%Y-%m') = '2024-01' ORDER BY ts DESC LIMIT 500""")
+def trail_month(spark, sf):
+    rows = S.log_lines(spark, sf).withColumn("month", F.date_format("ts", "yyyy-MM"))
+    return reads.trail(rows, "2024-01").select("event_id", "action")
+
+
+@query("pending_manifest", f"""WITH {S.HISTORY_SQL}
+SELECT type_key, id, max(turn) AS turn FROM history GROUP BY ALL""")
+def pending_manifest(spark, sf):
+    """Stages of several runs merged: the last entry per key, in key order."""
+    return tracking.merge_pending(S.history(spark, sf).select(*KEY, "turn"), F.col("turn"))
+
+
+@query("edited_articles", """
+WITH d AS (SELECT doc_id, source, lang, n_chars, n_chars % 9 = 0 AS hit FROM documents)
+SELECT source AS type_key, 'D' || doc_id AS id,
+  sha256('{"lang":' || to_json(CASE WHEN hit THEN 'zz' ELSE lang END) || '}') AS metadata_hash, hit AS edited FROM d""")
+def edited_articles(spark, sf):
+    """Hand-made edits of some articles: new hashes, and the displaced rows archived."""
+    d = S.load(spark, sf, "documents")
+
+    def shape(df, lang):
+        meta = F.parse_json(F.to_json(F.struct(lang.alias("lang"))))
+        return df.select(
+            F.col("source").alias("type_key"), F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("id"),
+            meta.alias("metadata"), F.parse_json(F.lit('{"body_text":"b"}')).alias("content"),
+        )
+
+    cols = [*KEY, "metadata", "content", "metadata_hash", "content_hash", "has_body", "body_chars", "body_error"]
+    live = ingest.with_digest(shape(d, F.col("lang"))).select(*cols)
+    edits = shape(d.filter("n_chars % 9 = 0"), F.lit("zz"))
+    out = daily.edit_articles(live, edits, F.lit("ann"), F.lit(RUN), S.now())
+    done = out["archive"].select(*KEY, F.lit(True).alias("edited"))
+    return out["live"].select(*KEY, "metadata_hash").join(done, KEY, "left").withColumn(
+        "edited", F.coalesce("edited", F.lit(False))
+    )

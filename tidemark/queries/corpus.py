@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import canon, hierarchy, pages, text, urls
-from tidemark.operators import KEY, bodies, diff, ingest, profile, reads, review
-from tidemark.operators.ordering import newest, page, page_info
+from tidemark.operators import KEY, bodies, diff, ingest, profile, reads, review, runs
+from tidemark.operators.ordering import newest, page, page_info, top_per_group
 from tidemark.queries import scenario as S
 from tidemark.queries.registry import query
 from tidemark.sources import exports
@@ -639,3 +639,50 @@ def repo_urls(spark, sf):
         "page_id", t["kind"].alias("kind"), t["owner"].alias("owner"), t["repo"].alias("repo"),
         t["target"].alias("target"), t["error"].isNotNull().alias("bad"),
     )
+
+
+@query("extraction_work", r"""
+SELECT doc_id FROM documents WHERE NOT ((n_chars % 4 = 0 AND regexp_matches(text, '\S')) OR n_chars % 4 = 2)""")
+def extraction_work(spark, sf):
+    """Articles due for extraction: no body yet and no settled error."""
+    c = _contents(spark, sf)
+    return c.filter(bodies.due(c)).select("doc_id")
+
+
+@query("extraction_limit", """
+SELECT source AS type_key, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 7""")
+def extraction_limit(spark, sf):
+    """The first seven articles of each type, as a work limit takes them."""
+    d = S.load(spark, sf, "documents").select(F.col("source").alias("type_key"), "doc_id")
+    return top_per_group(d, ["type_key"], [F.col("doc_id")], 7)
+
+
+@query("known_and_extra_types", """
+SELECT source AS type_key, source < 'src2' AS known FROM documents GROUP BY source""")
+def known_and_extra_types(spark, sf):
+    """Types of the corpus split into configured ones and extra ones."""
+    seen = S.load(spark, sf, "documents").select(F.col("source").alias("type_key"))
+    known = seen.filter("type_key < 'src2'").distinct()
+    extra = ingest.unknown_types(known, seen).withColumn("known", F.lit(False))
+    return known.withColumn("known", F.lit(True)).unionByName(extra)
+
+
+@query("corpus_totals", f"""{S.SNAPSHOTS_SQL}
+SELECT count(*) AS total, count(*) FILTER (has_body = 1) AS bodied, max(modified_ms) AS newest FROM current_""")
+def corpus_totals(spark, sf):
+    return runs.corpus_totals(S.current(spark, sf).withColumn("captured_at", F.col("modified_ms")))
+
+
+@query("held_lists", """
+SELECT event_id, CASE k % 4 WHEN 3 THEN 0 ELSE k END AS n
+FROM (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)""")
+def held_lists(spark, sf):
+    """State documents of several generations, each with its list of held rows."""
+    e = S.log_lines(spark, sf).select("event_id", "k")
+    items = F.to_json(F.when(F.col("k") > 0, F.sequence(F.lit(1), F.greatest("k", F.lit(1)))).otherwise(F.array().cast("array<int>")))
+    m = F.col("k") % 4
+    doc = (
+        F.when(m == 0, items).when(m == 1, F.concat(F.lit('{"held":0,"entries":'), items, F.lit("}")))
+        .when(m == 2, F.concat(F.lit('{"ids":[9],"holds":'), items, F.lit("}"))).otherwise('{"other":[1]}')
+    )
+    return e.select("event_id", F.size(canon.held_list(F.parse_json(doc))).cast("bigint").alias("n"))

@@ -23,6 +23,24 @@ def _n(name="n"):
 # ── run state from the log lines ─────────────────────────────────────────────
 
 
+@query("latest_run", f"""{LINES}
+SELECT run_date AS run_id, max(epoch_ms(ts)) AS ran_ms FROM lines GROUP BY 1 ORDER BY 2 DESC LIMIT 1""")
+def latest_run(spark, sf):
+    ran = S.log_lines(spark, sf).groupBy(F.col("run_date").alias("run_id")).agg(F.max("ts").alias("ran_at"))
+    return runs.latest_run(ran).select("run_id", F.unix_millis("ran_at").alias("ran_ms"))
+
+
+@query("age_labels", f"""{LINES}, a AS (SELECT event_id, (epoch_us(TIMESTAMP '{NOW}') - epoch_us(ts)) / 1e6 AS sec FROM lines)
+SELECT event_id, CASE WHEN sec < 3600 THEN round_even(sec / 60, 0)::BIGINT || 'm ago'
+  WHEN sec < 86400 THEN round_even(sec / 3600, 1)::DECIMAL(20,1) || 'h ago'
+  ELSE round_even(sec / 86400, 1)::DECIMAL(20,1) || 'd ago' END AS age FROM a WHERE sec >= 60""")
+def age_labels(spark, sf):
+    """How long ago each line was written, as a status page says it."""
+    micros = F.unix_micros(S.now()) - F.unix_micros("ts")
+    rows = S.log_lines(spark, sf).select("event_id", micros.alias("us")).filter("us >= 60000000")
+    return rows.select("event_id", H.age_text(F.col("us") / 1000).alias("age"))
+
+
 @query("status_health", f"""{LINES},
 t AS (SELECT type_key, count(*) AS stored, count(*) FILTER (action = 'purchase') AS bodied,
         count(*) FILTER (level = 'ERROR') AS errors, max(ts) AS newest FROM lines GROUP BY 1),
@@ -137,13 +155,13 @@ def run_modes(spark, sf):
     return S.load(spark, sf, "orders").select(d.alias("run_date"), H.run_mode(d).alias("mode")).distinct()
 
 
-@query("error_classes", """
+@query("error_classes", r"""
 WITH m AS (SELECT CASE event_type WHEN 'signup' THEN 'Read timed out' WHEN 'click' THEN 'Connection lost'
   ELSE 'HTTP ' || (CASE event_type WHEN 'purchase' THEN 500 ELSE 400 END + CAST(json_extract_string(props, '$.k') AS INT))
   END AS msg FROM events)
 SELECT CASE WHEN contains(msg, '404') THEN 'not-found' WHEN contains(msg, '403') OR contains(msg, '401') THEN 'forbidden'
-  WHEN contains(msg, 'timed out') THEN 'timeout' WHEN contains(msg, '429') THEN 'rate-limited' WHEN regexp_matches(msg, '\\b5\\d\\d\\b') THEN 'server-error'
-  WHEN contains(msg, 'Connection') THEN 'network' ELSE 'other' END AS klass, count(*) AS n FROM m GROUP BY 1""".replace("\\\\", "\\"))
+  WHEN contains(msg, 'timed out') THEN 'timeout' WHEN contains(msg, '429') THEN 'rate-limited' WHEN regexp_matches(msg, '\b5\d\d\b') THEN 'server-error'
+  WHEN contains(msg, 'Connection') THEN 'network' ELSE 'other' END AS klass, count(*) AS n FROM m GROUP BY 1""")
 def error_classes(spark, sf):
     status = F.when(F.col("action") == "purchase", 500).otherwise(400) + F.col("k")
     message = (

@@ -17,8 +17,9 @@ RUNTIME_CONF = {
     "spark.sql.execution.topKSortFallbackThreshold": "100000",
     # Aggregates with a bounded number of groups (types x fields) stay in the hash map.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
-    # HTML pages are wide rows: keep an Arrow batch small.
+    # HTML pages are wide rows: keep an Arrow batch small, by rows and by bytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 

@@ -17,9 +17,11 @@ from tidemark.operators import KEY
 
 
 def _overwrite_partition(df: DataFrame, path: str, *by: str) -> None:
+    # Rebalance gathers the rows of a partition and splits the large ones by size, so a type
+    # with a third of the corpus gets as many files as it needs.
     (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by).parquet(path)
+        df.hint("rebalance", *by).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
     )
 
 
@@ -29,7 +31,10 @@ def append_versions(df: DataFrame, path: str) -> None:
 
 
 def write_snapshot(df: DataFrame, path: str, run_id: str) -> None:
-    _overwrite_partition(df.withColumn("snapshot", F.lit(run_id)), path, "snapshot")
+    """One snapshot partition; written as it lies, as all rows share the partition."""
+    df.withColumn("snapshot", F.lit(run_id)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("snapshot").parquet(path)
 
 
 def read_snapshot(spark: SparkSession, path: str, run_id: str) -> DataFrame:
@@ -37,10 +42,8 @@ def read_snapshot(spark: SparkSession, path: str, run_id: str) -> DataFrame:
 
 
 def write_articles(df: DataFrame, path: str) -> None:
-    """Articles by type. The key's hash spreads a large type over many files."""
-    df.repartition("type_key", F.pmod(F.xxhash64("id"), F.lit(64))).write.mode(
-        "overwrite"
-    ).partitionBy("type_key").parquet(path)
+    """Articles by type; a large type is split over files by size."""
+    df.hint("rebalance", "type_key").write.mode("overwrite").partitionBy("type_key").parquet(path)
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import KEY
 from tidemark.operators.diff import changed_only, classify_incoming
 from tidemark.operators.ordering import latest_by_key
+from tidemark.plans.tracking import consume
 from tidemark.sources.tables import read_snapshot, write_snapshot
 
 
@@ -33,3 +34,19 @@ def classify_epoch(spark: SparkSession, index_path: str, staged_path: str,
         write_snapshot(rest.unionByName(done), index_path, str(epoch))
 
     return run
+
+
+def consume_epoch(spark: SparkSession, store_path: str, live: Callable[[], DataFrame],
+                  initial: DataFrame) -> Callable[[DataFrame, int], None]:
+    """A polling consumer as a ``foreachBatch`` function over new manifest rows.
+
+    The stream's checkpoint remembers which manifests were processed. ``live`` is read anew
+    for each batch, as it moves between runs.
+    """
+    write_snapshot(initial, store_path, "-1")
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        store = read_snapshot(spark, store_path, str(epoch - 1))
+        write_snapshot(consume(store, batch, live()), store_path, str(epoch))
+
+    return run
