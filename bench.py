@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "snapshot_diff_summary", "snapshot_diff_rows", "classify_incoming", "consumer_upsert", "reconcile_apply",
+    "snapshot_diff_summary", "snapshot_diff_rows", "as_of_diff", "classify_incoming", "consumer_upsert", "reconcile_apply",
     "risk_flags", "risk_breakdown", "promote_live", "archive_displaced", "held_entries", "settle_holds",
     "restore_versions", "version_list", "last_writer_wins", "ingest_envelopes", "field_catalogue", "dedup_pages",
     "collision_suffix", "facet_counts", "hidden_facets", "tag_equivalence", "hierarchy_levels", "incremental_window",

@@ -92,6 +92,11 @@ def type_name(v: Column) -> Column:
     return F.coalesce(F.element_at(names, head), F.lower(head), F.lit("null"))
 
 
+def is_object(v: Column) -> Column:
+    """Cheaper than ``type_name``, which prints the schema of everything below."""
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+
+
 def field(v: Column, key: str) -> Column:
     return F.try_variant_get(v, f"$['{key}']", "variant")
 
@@ -152,6 +157,6 @@ HELD_KEYS = ["held", "holds", "entries", "ids"]
 
 def held_list(v: Column) -> Column:
     """The document itself if it is a list, else the first list under one of four keys, else empty."""
-    as_list = lambda x: F.when(type_name(x) == "list", F.try_variant_get(x, "$", "array<variant>"))
+    as_list = lambda x: F.try_variant_get(x, "$", "array<variant>")
     empty = F.array().cast("array<variant>")
     return F.coalesce(as_list(v), *[as_list(field(v, key)) for key in HELD_KEYS], empty)

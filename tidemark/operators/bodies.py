@@ -178,13 +178,13 @@ def api_markdown(info: Column, path_map: Column) -> Column:
     def path_blocks(p):
         ops = F.filter(
             F.map_entries(canon.as_map(p["value"])),
-            lambda e: e["key"].isin(HTTP_METHODS) & (canon.type_name(e["value"]) == "object"),
+            lambda e: e["key"].isin(HTTP_METHODS) & canon.is_object(e["value"]),
         )
         return F.flatten(F.transform(ops, lambda e: operation(p["key"], e)))
 
     paths = F.filter(
         F.map_entries(path_map),
-        lambda p: canon.type_name(p["value"]) == "object",
+        lambda p: canon.is_object(p["value"]),
     )
     blocks = F.concat(head, F.flatten(F.transform(paths, path_blocks)))
     return strip(F.array_join(F.array_compact(blocks), "\n\n"))

@@ -24,10 +24,10 @@ def _n(name="n"):
 
 
 @query("latest_run", f"""{LINES}
-SELECT run_date AS run_id, max(epoch_ms(ts)) AS ran_ms FROM lines GROUP BY 1 ORDER BY 2 DESC LIMIT 1""")
+SELECT run_date AS run_id, max(epoch_us(ts)) AS ran_us FROM lines GROUP BY 1 ORDER BY 2 DESC LIMIT 1""")
 def latest_run(spark, sf):
     ran = S.log_lines(spark, sf).groupBy(F.col("run_date").alias("run_id")).agg(F.max("ts").alias("ran_at"))
-    return runs.latest_run(ran).select("run_id", F.unix_millis("ran_at").alias("ran_ms"))
+    return runs.latest_run(ran).select("run_id", F.unix_micros("ran_at").alias("ran_us"))
 
 
 @query("age_labels", f"""{LINES}, a AS (SELECT event_id, (epoch_us(TIMESTAMP '{NOW}') - epoch_us(ts)) / 1e6 AS sec FROM lines)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import KEY, diff, ingest, reads, runs, zones
+from tidemark.operators.ordering import latest_by_key
 from tidemark.plans import tracking
 from tidemark.queries import scenario as S
 from tidemark.queries.registry import query
@@ -267,3 +268,40 @@ def stage_split(spark, sf):
     types = S.current(spark, sf).select("type_key").distinct()
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     return types.join(j, "type_key", "left").select("type_key", zero("to_live"), zero("to_pending"))
+
+
+# ── snapshots as of two days, from the line items as a version history ───────
+
+EARLY, LATE = "1996-01-01", "1997-01-01"
+
+
+def _as_of(spark, sf, day):
+    """Newest version of each article before ``day``; seven types, an article per order."""
+    v = S.load(spark, sf, "lineitem").filter(F.col("l_shipdate") < F.lit(day).cast("timestamp_ntz")).select(
+        F.concat(F.lit("L"), F.col("l_linenumber").cast("string")).alias("type_key"),
+        F.col("l_orderkey").cast("string").alias("id"), "l_shipdate", "l_partkey", "l_suppkey",
+    )
+    newest = latest_by_key(v, KEY, F.struct("l_shipdate", "l_partkey", "l_suppkey"))
+    return newest.select(
+        *KEY, F.sha2(F.col("l_partkey").cast("string"), 256).alias("metadata_hash"),
+        F.sha2(F.col("l_suppkey").cast("string"), 256).alias("content_hash"),
+        F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("modified_ms"),
+    )
+
+
+def _as_of_sql(name, day):
+    return f"""{name} AS (
+  SELECT 'L' || l_linenumber AS type_key, l_orderkey AS id, l_partkey, l_suppkey, l_shipdate FROM lineitem
+  WHERE l_shipdate < TIMESTAMP '{day}'
+  QUALIFY row_number() OVER (PARTITION BY l_linenumber, l_orderkey ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1)"""
+
+
+@query("as_of_diff", f"""WITH {_as_of_sql('a', EARLY)}, {_as_of_sql('b', LATE)}
+SELECT coalesce(a.type_key, b.type_key) AS type_key, count(b.id) AS scanned, count(*) FILTER (a.id IS NULL) AS new,
+  count(*) FILTER (a.l_partkey <> b.l_partkey OR a.l_suppkey <> b.l_suppkey OR a.l_shipdate <> b.l_shipdate) AS changed,
+  count(*) FILTER (a.l_partkey = b.l_partkey AND a.l_suppkey = b.l_suppkey AND a.l_shipdate = b.l_shipdate) AS unchanged,
+  count(*) FILTER (b.id IS NULL) AS removed
+FROM a FULL OUTER JOIN b ON a.type_key = b.type_key AND a.id = b.id GROUP BY 1""")
+def as_of_diff(spark, sf):
+    """What changed between two days, over the largest table."""
+    return diff.track_summary(diff.snapshot_diff(_as_of(spark, sf, EARLY), _as_of(spark, sf, LATE), F.lit(R2)))

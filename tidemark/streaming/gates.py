@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,22 +87,39 @@ class HoldTimer(StatefulProcessor):
         })
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows)).sort_values(["ts", "action"])
-        held = pd.Timestamp(self.held.get()[0]) if self.held.exists() else None
-        if held is not None:
+        began, ended = [], []
+        for batch in rows:  # two arrays of times are all that is kept of a batch
+            ts, is_hold = batch["ts"].to_numpy("datetime64[us]"), (batch["action"] == "held").to_numpy()
+            began.append(ts[is_hold])
+            ended.append(ts[~is_hold])
+        began, ended = np.sort(np.concatenate(began)), np.sort(np.concatenate(ended))
+        last = max(side[-1] for side in (began, ended) if len(side))
+
+        def first(times, at, strict=False):
+            i = np.searchsorted(times, at, "right" if strict else "left")
+            return times[i] if i < len(times) else None
+
+        if self.held.exists():
+            held = np.datetime64(pd.Timestamp(self.held.get()[0]), "us")
             self.handle.deleteTimer(self._timer(held))
             self.held.clear()
-        for action, ts in zip(events["action"], events["ts"]):
-            if held is not None and ts >= held + self.wait:
-                yield self._escalated(key, held)
-                held = None
-            if action == "held" and held is None:
-                held = ts
-            elif action == "resolved":
-                held = None
+        else:
+            held = began[0] if len(began) else None
+        expired = []
+        while held is not None:  # from hold to hold, by binary search
+            resolved, deadline = first(ended, held), held + self.wait.to_timedelta64()
+            if resolved is not None and resolved < deadline:
+                held = first(began, resolved, strict=True)
+            elif last >= deadline:
+                expired.append(held)
+                held = first(began, deadline)
+            else:
+                break
         if held is not None:
-            self.held.update((held.to_pydatetime(),))
+            self.held.update((pd.Timestamp(held).to_pydatetime(),))
             self.handle.registerTimer(self._timer(held))
+        for at in expired:
+            yield self._escalated(key, at)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.held.exists():
