@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -226,8 +227,11 @@ def test_run_mode_status_phase(one):
 def test_urls(one):
     u = lit("https://Docs.Example.com/a/b.html?q=1#x")
     assert one(urls.host(u), urls.path(u), urls.first_segment(u)) == ("docs.example.com", "/a/b.html", "a")
-    bad = lit("not a url")
-    assert one(urls.host(bad), urls.path(bad), urls.first_segment(bad)) == ("", "", "")
+    for raw in ("not a url", "", None, "https://u:p@h.example:8080/a b/c?x=/y#/z", "//h.example/p", "mailto:x@y"):
+        p = urlparse(raw or "")
+        assert one(urls.path(lit(raw))) == p.path
+        if raw != "//h.example/p":
+            assert one(urls.host(lit(raw))) == (p.hostname or "")
 
 
 @pytest.mark.parametrize(

@@ -78,6 +78,12 @@ def test_pages_cover_everything_once(spark):
     assert ordering.page(df, [F.col("id")], 1, -4).count() == 1
 
 
+def test_page_past_the_end_is_the_last(spark):
+    df = spark.range(23)
+    assert [r.id for r in ordering.page_within(df, [F.col("id")], 99, 10).collect()] == [20, 21, 22]
+    assert ordering.page_within(df.limit(0), [F.col("id")], 3, 10).count() == 0
+
+
 # ── ingest ──
 
 
@@ -117,6 +123,22 @@ def test_envelopes(spark):
     assert got[4][5:7] == ("{}", '{"title":"S","x":1}')
 
 
+def test_page_key(spark):
+    h = hits(spark, ("T", '{"uniqueId":"u","raw":{"permanentid":"p"}}'), ("T", '{"uniqueId":"u","raw":{"permanentid":""}}'), ("T", '{"raw":{}}'))
+    assert [r[0] for r in h.orderBy("seq").select(ingest.hit_page_key(F.col("hit"))).collect()] == ["p", "u", None]
+
+
+def test_overall_health(spark):
+    idx = lambda *s: spark.createDataFrame([("A", x) for x in s], "type_key string, status string")
+    at = lambda d: spark.createDataFrame([(d,)], "d string").select(F.to_timestamp("d").alias("newest"), F.to_timestamp("d").alias("ran_at"))
+    now = F.lit("2024-01-10").cast("timestamp")
+    label = lambda i, a, b: runs.overall_health(i, at(a), at(b), now).first().health
+    assert label(idx("ok", None), "2024-01-09", "2023-01-01") == "OK"
+    assert label(idx("ok", "partial"), "2023-01-01", "2024-01-09") == "PARTIAL"
+    assert label(idx("partial"), "2024-01-01", "2023-01-01") == "STALE"
+    assert label(idx("ok"), None, None) == "PARTIAL"
+
+
 def test_dedup_keeps_first_and_all_without_key(spark):
     df = spark.createDataFrame([("a", 3), ("a", 1), ("", 2), ("", 4), (None, 5), ("b", 6)], "p string, o long")
     assert rows(ingest.dedup_hits(df, F.col("p"), F.col("o")), "o") == [(1,), (2,), (4,), (5,), (6,)]
@@ -263,6 +285,7 @@ def test_gate_variants(spark, world):
     assert act() == [("body", "promoted"), ("drop", "held-risky"), ("edit", "promoted"), ("fail", "held-risky"),
                      ("lost", "missing-pending"), ("new", "promoted")]
     assert {a for _, a in act(include_risky=True)} == {"promoted", "missing-pending"}
+    assert dict(act(hold_flags=None))["body"] == "held-risky"
     assert {a for _, a in act(reject=True)} == {"rejected", "missing-pending"}
     assert {a for _, a in act(dry_run=True)} == {"preview", "missing-pending"}
 

@@ -28,10 +28,12 @@ def page_outcome(
 ) -> Column:
     """``no-link``, ``js-rendered``, ``in-kb``, ``moved``, ``too-short``, ``soft-404`` or ``ok``."""
     text = F.coalesce(body, F.lit(""))
+    # Without a knowledge-base host no redirect counts as one into it.
+    in_kb = (host(final_url) == kb_host) & (host(url) != kb_host) if kb_host else F.lit(False)
     return (
         F.when(F.coalesce(url, F.lit("")) == "", "no-link")
         .when(js_rendered, "js-rendered")
-        .when((host(final_url) == kb_host) & (host(url) != kb_host), "in-kb")
+        .when(in_kb, "in-kb")
         .when(moved_home(url, final_url), "moved")
         .when(F.length(text) < MIN_BODY, "too-short")
         .when(

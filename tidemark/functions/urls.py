@@ -6,12 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Lenient, as landed URLs may hold blanks and other characters that a strict parser rejects.
+_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)"
+_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)"
+
+
 def host(url: Column) -> Column:
-    return F.lower(F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit("")))
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), _HOST, 1))
 
 
 def path(url: Column) -> Column:
-    return F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit(""))
+    return F.regexp_extract(F.coalesce(url, F.lit("")), _PATH, 1)
 
 
 def segments(url: Column) -> Column:

@@ -35,6 +35,11 @@ def hit_id(hit: Column, fields: HitFields = HitFields()) -> Column:
     return text.stable_id(*[_get(hit, p, "string") for p in fields.ids])
 
 
+def hit_page_key(hit: Column, fields: HitFields = HitFields()) -> Column:
+    """What overlapping pages are deduplicated by; null when a hit has neither id."""
+    return text.or_missing(*[_get(hit, p, "string") for p in fields.page_ids])
+
+
 def hit_modified_ms(hit: Column, fields: HitFields = HitFields()) -> Column:
     """First modification time that is set; zero counts as unset."""
     return text.or_zero(*[_get(hit, p, "bigint") for p in fields.modified])

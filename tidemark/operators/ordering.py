@@ -62,6 +62,13 @@ def page(df: DataFrame, order: list[Column], number: int, size: int, max_size: i
     return df.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
+def page_within(df: DataFrame, order: list[Column], number: int, size: int, max_size: int = 100) -> DataFrame:
+    """The same, but a number past the end shows the last page; this counts the rows first."""
+    size = max(1, min(int(size), max_size))
+    pages = max(1, -(-df.count() // size))
+    return page(df, order, max(1, min(int(number), pages)), size, max_size)
+
+
 def page_info(df: DataFrame, size: int, max_size: int = 500) -> DataFrame:
     """Total rows and pages of the same listing; reads no columns beyond the filters."""
     size = max(1, min(int(size or 50), max_size))

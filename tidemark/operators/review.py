@@ -73,8 +73,16 @@ def gate(
     rated: DataFrame, hold_flags=R.HOLD_FLAGS, include_risky: bool = False,
     reject: bool = False, dry_run: bool = False,
 ) -> DataFrame:
-    """Add ``action``: preview, rejected, held-risky or promoted."""
-    held = R.is_held(F.col("risk"), hold_flags) if not include_risky else F.lit(False)
+    """Add ``action``: preview, rejected, held-risky or promoted.
+
+    ``hold_flags`` names the flags that hold a row; ``None`` means that any flag does.
+    """
+    if include_risky:
+        held = F.lit(False)
+    elif hold_flags is None:
+        held = F.size("risk") > 0
+    else:
+        held = R.is_held(F.col("risk"), hold_flags)
     if dry_run:
         action = F.lit("preview")
     elif reject:

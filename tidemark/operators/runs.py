@@ -69,12 +69,31 @@ def status_report(disk: DataFrame, dump_index: DataFrame, enrich: DataFrame, tra
     partial = F.coalesce(F.col("status") != "ok", F.lit(False)) | F.col("newest").isNull()
     return j.select(
         "type_key", F.coalesce("stored", F.lit(0)).alias("stored"), "expected",
-        (F.coalesce("written", F.lit(0)) + F.coalesce("skipped", F.lit(0))).alias("written"),
+        F.when(
+            F.coalesce("written", "skipped").isNotNull(),
+            F.coalesce("written", F.lit(0)) + F.coalesce("skipped", F.lit(0)),
+        ).alias("written"),
         "status", F.coalesce("_b", "_e").alias("bodied"), F.coalesce("_x", "_f").alias("errors"),
         H.health_label(stale, partial).alias("health"),
     )
 
 
+def overall_health(dump_index: DataFrame, tracked: DataFrame, runs: DataFrame, now: Column) -> DataFrame:
+    """One row for the whole corpus: stale by the newest capture or run, partial if any type is."""
+    newest = tracked.agg(F.max("newest")).scalar()
+    return dump_index.agg(
+        F.coalesce(F.bool_or(F.col("status") != "ok"), F.lit(False)).alias("any_partial")
+    ).select(
+        F.greatest(newest, runs.agg(F.max("ran_at")).scalar()).alias("newest"), "any_partial"
+    ).select(
+        "newest", "any_partial",
+        H.health_label(
+            F.unix_micros(now) / 1e6 - F.unix_micros("newest") / 1e6,
+            F.col("any_partial") | F.col("newest").isNull(),
+        ).alias("health"),
+    )
+
+
 def dump_index(per_type: DataFrame, full: Column, limited: Column) -> DataFrame:
     """Status of each type of a read from its counts."""
     present = F.col("written") + F.col("skipped") + F.col("staged")

@@ -77,8 +77,7 @@ SELECT type_key, count(*) FILTER (risk <> '') AS held, count(*) FILTER (risk = '
 FROM gated GROUP BY type_key""")
 def gate_any_risk(spark, sf):
     """The stricter gate, which any risk flag holds."""
-    rated = _rated(spark, sf)
-    rows = rated.withColumn("held", F.size("risk") > 0)
+    rows = review.gate(_rated(spark, sf), hold_flags=None).withColumn("held", F.col("action") == "held-risky")
     return rows.groupBy("type_key").agg(
         F.count_if("held").alias("held"), F.count_if(~F.col("held")).alias("promoted")
     )

@@ -68,6 +68,20 @@ def status_health(spark, sf):
     return runs.status_report(disk, index, enrich, tracked, S.now())
 
 
+@query("overall_health", f"""{LINES},
+i AS (SELECT bool_or(x) AS p FROM (SELECT count(*) FILTER (k = 0) > count(*) FILTER (k = 1) AS x FROM lines GROUP BY type_key))
+SELECT epoch_us((SELECT max(ts) FROM lines)) AS newest_us, p AS any_partial, CASE WHEN p THEN 'PARTIAL' ELSE 'OK' END AS health FROM i""")
+def overall_health(spark, sf):
+    """Health of the whole corpus."""
+    rows = S.log_lines(spark, sf)
+    is_ = lambda v: F.count_if(F.col("k") == v)
+    index = rows.groupBy("type_key").agg(F.when(is_(0) > is_(1), "partial").otherwise("ok").alias("status"))
+    tracked = rows.groupBy("type_key").agg(F.max("ts").alias("newest"))
+    ran = rows.groupBy("run_date").agg(F.min("ts").alias("ran_at"))
+    out = runs.overall_health(index, tracked, ran, S.now())
+    return out.select(F.unix_micros("newest").alias("newest_us"), "any_partial", "health")
+
+
 @query("run_view", f"""{LINES}, day AS (SELECT * FROM lines WHERE run_date = '2024-01-15'),
 types AS (SELECT type_key, CAST(replace(type_key, 'T', '') AS INT) % 3 = 0 AS enrichable FROM lines GROUP BY ALL),
 m AS (SELECT type_key, count(*) FILTER (action = 'purchase') AS d, count(*) FILTER (action = 'signup') AS e,
