@@ -162,7 +162,7 @@ def ascii_hash(spark, sf):
 
 def _contents(spark, sf):
     """Contents of four shapes: extracted body, HTML field, error only, nothing."""
-    d = S.load(spark, sf, "documents")
+    d = S.load_texts(spark, sf, "documents")
     shape = F.col("n_chars") % 4
     content = F.struct(
         F.when(shape == 0, F.col("text")).alias("body_text"),
@@ -241,7 +241,7 @@ shown AS (SELECT value, count(*) AS n FROM words GROUP BY value ORDER BY n DESC,
 
 
 def _words(spark, sf):
-    return S.load(spark, sf, "documents").select(
+    return S.load_texts(spark, sf, "documents").select(
         F.col("source").alias("type_key"), F.split("text", " ").alias("words")
     )
 
@@ -499,7 +499,7 @@ KB_HOST = "kb.example"
 
 def _landed(spark, sf):
     """Pages with where the request ended: in place, at a folder page, or in the knowledge base."""
-    p = S.load(spark, sf, "pages")
+    p = S.load_texts(spark, sf, "pages")
     turn = F.col("page_id") % 10
     home = F.concat(F.lit("https://"), urls.host(F.col("url")), F.lit("/"))
     final = (
@@ -579,7 +579,7 @@ SELECT doc_id, sha256(CASE WHEN mdx THEN regexp_replace(t, '\n{3,}', chr(10) ||
 FROM d""")
 def next_data(spark, sf):
     """Pages that carry their text as JSON: comment blocks of a source, or an API description."""
-    d = S.load(spark, sf, "documents")
+    d = S.load_texts(spark, sf, "documents")
     body = text.strip(F.col("text"))
     name = F.col("doc_id").cast("string")
     source = F.concat(F.lit("/* import x */ code(); /*\n"), body, F.lit("\n*/ more(); /**/"))
@@ -607,7 +607,7 @@ FROM (SELECT doc_id, ['issue', 'pull', 'readme', 'file'][1 + doc_id % 4] AS kind
   FROM documents)""")
 def repo_items(spark, sf):
     """Documents as landed repository items of four kinds."""
-    d = S.load(spark, sf, "documents")
+    d = S.load_texts(spark, sf, "documents")
     kind = F.element_at(F.array(*[F.lit(k) for k in ("issue", "pull", "readme", "file")]), (F.col("doc_id") % 4 + 1).cast("int"))
     empty = (F.col("doc_id") % 7 == 0) & (F.col("doc_id") % 4 < 2)
     payload = (
