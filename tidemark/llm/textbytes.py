@@ -47,3 +47,26 @@ def parts(raw: np.ndarray, offsets: np.ndarray, limit: int = 1 << 18, most: int
             start = stop
     if rows:
         yield np.array(rows), np.array([*marks, int(offsets[-1])])
+
+
+def overlapping(offsets: np.ndarray, limit: int, window: int) -> Iterator[list[tuple[int, int, int]]]:
+    """Lists of (row, start, end) of about ``limit`` bytes, without texts shorter than ``window``.
+
+    Pieces of one text overlap, so that every stretch of ``window`` bytes is whole in one of them.
+    """
+    held: list[tuple[int, int, int]] = []
+    size = 0
+    for row in range(len(offsets) - 1):
+        start, end = int(offsets[row]), int(offsets[row + 1])
+        while end - start >= window:
+            stop = min(end, start + max(limit, 2 * window))
+            if held and size + stop - start > limit:
+                yield held
+                held, size = [], 0
+            held.append((row, start, stop))
+            size += stop - start
+            if stop == end:
+                break
+            start = stop - window + 1
+    if held:
+        yield held
