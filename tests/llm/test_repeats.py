@@ -83,7 +83,7 @@ def test_judging_in_any_batches():
             yield pa.RecordBatch.from_pydict({
                 "m": pa.array([r[0] for r in part], pa.int64()), "c": pa.array([r[1] for r in part], pa.int64()),
                 "doc_id": pa.array([r[2] for r in part], pa.int64()), "h": pa.array([0] * len(part), pa.int64()),
-                **{k: pa.array([1] * len(part), pa.int32()) for k in ("at", "x", "n")}})
+                **{k: pa.array([1] * len(part), pa.int32()) for k in ("at", "x", "n")}, "twice": pa.array([False] * len(part))})
 
     spans = Counter(r[:2] for r in rows)
     kinds = Counter(m for m, _ in spans)

@@ -28,7 +28,7 @@ PLACE = np.uint64((1 << 20) - 1)
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 GROUP_LIMIT = 20_000  # different spans of an anchor that one task holds
 
-RUN = "m long, c long, doc_id long, h long, at int, x int, n int"
+RUN = "m long, c long, doc_id long, h long, at int, x int, n int, twice boolean"
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -56,36 +56,53 @@ def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
 
 
+def runs_of(pieces: list[tuple[int, int, int]], raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """Columns m, c, row, at, x, n of the runs of some pieces of texts."""
+    data = np.concatenate([raw[s:e] for _, s, e in pieces])
+    lengths = np.array([e - s for _, s, e in pieces])
+    begins = np.cumsum(lengths) - lengths
+    piece = np.repeat(np.arange(len(pieces)), lengths)
+    full = gram_hashes(data)
+    marked = full & ~PLACE | np.arange(len(full), dtype=np.uint64)
+    place = (sliding_minimum(marked, WINDOW - GRAM + 1) & PLACE).astype(np.int64)
+    whole = np.flatnonzero(piece[: len(place)] == piece[WINDOW - 1 :])
+    anchor = place[whole]
+    cut = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1] + 1))))
+    first, last = whole[cut], whole[np.append(cut[1:], len(whole)) - 1]
+    anchor, n = anchor[cut], last - first + WINDOW
+    text = data.tobytes()
+    spans = [xxhash.xxh64_intdigest(text[a:b], 3) for a, b in zip(first.tolist(), (first + n).tolist())]
+    whose = piece[first]
+    row = np.array([p[0] for p in pieces])[whose]
+    origin = np.array([s - int(offsets[r]) for r, s, _ in pieces])
+    return [full[anchor].view(np.int64), np.array(spans, np.uint64).view(np.int64), row, first - begins[whose] + origin[whose], anchor - first, n]
+
+
 def find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of all texts. Of runs with one span in a batch only the first keeps its anchor, and all are known to be repeated:
+    the others take keys of their own, so that a very common line or passage does not gather in one task."""
     for batch in batches:
         raw, offsets = utf8(batch.column(2))
-        ids, keys = batch.column(0), batch.column(1)
-        for pieces in overlapping(offsets, CHUNK, WINDOW):
-            data = np.concatenate([raw[s:e] for _, s, e in pieces])
-            lengths = np.array([e - s for _, s, e in pieces])
-            begins = np.cumsum(lengths) - lengths
-            piece = np.repeat(np.arange(len(pieces)), lengths)
-            full = gram_hashes(data)
-            marked = full & ~PLACE | np.arange(len(full), dtype=np.uint64)
-            place = (sliding_minimum(marked, WINDOW - GRAM + 1) & PLACE).astype(np.int64)
-            whole = np.flatnonzero(piece[: len(place)] == piece[WINDOW - 1 :])
-            anchor = place[whole]
-            cut = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1] + 1))))
-            first, last = whole[cut], whole[np.append(cut[1:], len(whole)) - 1]
-            anchor, n = anchor[cut], last - first + WINDOW
-            text = data.tobytes()
-            spans = [xxhash.xxh64_intdigest(text[a:b], 3) for a, b in zip(first.tolist(), (first + n).tolist())]
-            whose = piece[first]
-            row = np.array([p[0] for p in pieces])[whose]
-            origin = np.array([s - int(offsets[r]) for r, s, _ in pieces])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(full[anchor].view(np.int64)), pa.array(np.array(spans, np.uint64).view(np.int64)), ids.take(pa.array(row)),
-                 keys.take(pa.array(row)), pa.array((first - begins[whose] + origin[whose]).astype(np.int32)),
-                 pa.array((anchor - first).astype(np.int32)), pa.array(n.astype(np.int32))],
-                ["m", "c", "doc_id", "h", "at", "x", "n"])
+        made = [runs_of(pieces, raw, offsets) for pieces in overlapping(offsets, CHUNK, WINDOW)]
+        if not made:
+            continue
+        m, c, row, at, x, n = (np.concatenate(cols) for cols in zip(*made))
+        order = np.lexsort((c, m))
+        same = (m[order][1:] == m[order][:-1]) & (c[order][1:] == c[order][:-1])
+        twice = np.zeros(len(m), bool)
+        twice[order[1:][same]] = True
+        later = np.flatnonzero(twice)
+        twice[order[:-1][same]] = True
+        keys = batch.column(1).take(pa.array(row))
+        own = (keys.to_numpy().view(np.uint64)[later] + at[later].astype(np.uint64)) * FACTORS[2]
+        m[later] = (own ^ own >> np.uint64(31)).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(m), pa.array(c), batch.column(0).take(pa.array(row)), keys, pa.array(at.astype(np.int32)),
+             pa.array(x.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(twice)],
+            ["m", "c", "doc_id", "h", "at", "x", "n", "twice"])
 
 
-VERDICT = "ask boolean, twice boolean, " + RUN
+VERDICT = "ask boolean, " + RUN
 
 
 def judge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,8 +114,8 @@ def judge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out(rows: pa.Table, ask: bool, twice: np.ndarray) -> pa.RecordBatch:
         made = rows.combine_chunks().to_batches()
-        cols = made[0].columns if made else [pa.array([], t) for t in rows.schema.types]
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(twice), ask)), pa.array(twice), *cols], ["ask", "twice", *names])
+        cols = made[0].columns[: len(names)] if made else [pa.array([], t) for t in rows.schema.types[: len(names)]]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(twice), ask)), *cols, pa.array(twice)], ["ask", *names, "twice"])
 
     def step(rows: pa.Table, final: bool) -> Iterator[pa.RecordBatch]:
         nonlocal held, before, several, waiting
@@ -106,7 +123,7 @@ def judge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         same = (m[1:] == m[:-1]) & (c[1:] == c[:-1])
         prior, after = np.concatenate(([before], same)), np.append(same, False)
         done = len(m) if final else len(m) - 1
-        twice = prior | after
+        twice = prior | after | rows.column("twice").to_numpy()
         fresh = ~prior
         starts = np.flatnonzero(np.concatenate(([True], m[1:] != m[:-1])))
         kinds = np.add.reduceat(fresh.astype(np.int64), starts)  # spans first seen here, per anchor
