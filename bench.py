@@ -20,7 +20,7 @@ HEADLINE = [
     "risk_flags", "risk_breakdown", "promote_live", "archive_displaced", "held_entries", "settle_holds",
     "restore_versions", "version_list", "last_writer_wins", "ingest_envelopes", "field_catalogue", "dedup_pages",
     "collision_suffix", "facet_counts", "hidden_facets", "tag_equivalence", "hierarchy_levels", "incremental_window",
-    "date_histogram", "canonical_hash", "body_term_search", "metadata_field_diff", "body_line_delta", "body_hunks",
+    "date_histogram", "canonical_hash", "body_term_search", "metadata_field_diff", "body_line_delta",
     "extract_bodies", "next_data", "status_health", "latency_by_type", "cost_rollup", "metric_counts",
     "stream_metric_windows", "stream_dedup", "stream_gate_once",
 ]

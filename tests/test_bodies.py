@@ -1,80 +1,29 @@
 """Page extraction, outcomes, merge and line diffs."""
 
-import difflib
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import bodies, markup
-from tidemark.operators.bodies import HostRule
+from tidemark.functions import pages
+from tidemark.operators import bodies
 
 DOC = """<html><head><title>x</title></head><body><nav>menu</nav>
-<main><h1>Big  <i>title</i></h1><div class="site-breadcrumb">crumb</div>
-<p>One <b>bold</b> and <code>code</code>,<br>next <a href="../up.html">link</a><a href="x"> </a></p>
-<ul><li>first <p>para</p><li>second<ul><li>deep</li></ul></ul>
-<pre>  keep
-   this
-</pre><div style="display: none">hidden</div><span style="DISPLAY:NONE">gone</span>
-<table><tr><th>A</th><td>b  c</td></tr><tr><td>1<td>2</table>
-<blockquote>q1<br>q2</blockquote><img src="i.png" alt="pic"><hr>
+<main><h1>Big  <i>title</i></h1><!-- note -->
+<p>One <b>bold</b> and <code>code</code>,<br>next <a href="../up.html">link</a></p>
+<ul><li>first</li><li>second &amp; last</li></ul><div style="display: none">hidden</div><span style="DISPLAY:NONE">gone</span>
 <button>go</button><script>var a = "</p>";</script></main></body></html>"""
 
 
-def test_document_markdown():
-    got = markup.document_body(DOC, "https://d.example/a/b/c.html")
-    assert got.startswith("# Big *title*\n\n")
-    assert "**bold**" in got and "`code`" in got and "[link](https://d.example/a/up.html)" in got
-    assert "```\n  keep\n   this\n```" in got
-    assert "A | b c\n1 | 2" in got
-    assert "> q1\n> q2" in got and "![pic](https://d.example/a/b/i.png)" in got and "---" in got
-    assert "- first para\n- second- deep" in got
-    for gone in ("menu", "crumb", "hidden", "gone", "go\n", "var a"):
-        assert gone not in got
-    assert "\n\n\n" not in got
-
-
-@pytest.mark.parametrize(
-    "html, want",
-    [
-        ("<body><div class='content x'>in</div><p>out</p></body>", "in"),
-        ("<body><div id='main-content'>m</div><article> </article></body>", "m"),
-        ("<body><div role='main'>r</div></body>", "r"),
-        ("<body><pre>" + "p" * 201 + "</pre><p>z</p></body>", "```\n" + "p" * 201 + "\n```"),
-        ("<body><p>only</p></body>", "only"),
-    ],
-)
-def test_content_container(html, want):
-    assert markup.document_body(html, "u") == want
-
-
-def test_no_container():
-    with pytest.raises(ValueError, match="content container not found"):
-        markup.document_body("plain", "u")
-    assert markup.document_body("<div id=c>hit</div><main>no</main>", "u", ("#c",)) == "hit"
-
-
-def test_sections():
-    html = """<div class="bug-content"><p>before</p><h4> Symptoms </h4><p>bad &amp; worse</p><p>more</p>
-    <h4 style="display:none">no</h4><h4>Empty</h4> <h4>Fix</h4>text<div style="display:none">x</div></div>"""
-    got = markup.page_sections(html)
-    assert list(got) == ["Symptoms", "Fix"]
-    assert got["Symptoms"] == "bad & worse\n\nmore" and got["Fix"] == "text"
-    with pytest.raises(ValueError, match="container"):
-        markup.page_sections("<p>x</p>")
-
-
-def test_labelled_fields():
-    html = """<div class="middlecontent"><span class="a standard-field">CVE:</span> CVE-1 <a href="/k">K1</a>
-    <span class="standard-field">Other:</span> x <span class="standard-field">Related Article: </span><b>none</b>
-    <span class="standard-field">Vulnerability Severity:</span> </div>"""
-    assert markup.page_sections(html) == {"CVE": "CVE-1 [K1](/k)", "Related Article": "none"}
-
-
-def test_deep_nesting_does_not_overflow():
-    html = "<body>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</body>"
-    assert "deep" in markup.document_body(html, "u")
+def test_article_text(one):
+    got = one(pages.article_text(F.lit(DOC)))
+    assert got == "# Big title\n\nOne bold and code,\nnext link\n\n- first\n- second & last"
+    assert one(pages.article_text(F.lit("plain &lt;x&gt;"))) == "plain <x>"
+    assert one(pages.article_text(F.lit(None).cast("string"))) is None
+    deep = "<body>" + "<div>" * 3000 + "<b>deep</b> <span style='display:none'>secret</span><i>x</i>" + "</div>" * 3000 + "</body>"
+    assert one(pages.article_text(F.lit(deep))) == "deep x"
 
 
 # ── the job ──
@@ -96,18 +45,13 @@ def results(spark):
         ("Manual", "js", "https://js.example/x", None, page(LONG)),
         ("Manual", "nolink", "", None, None),
         ("Manual", "nopage", "https://d.example/x", None, None),
-        ("Bug", "bug", "https://d.example/b", None, f"<div class='bug-content'><h4>S</h4>{LONG}</div>"),
-        ("Bug", "nobug", "https://d.example/b", None, "<div class='bug-content'></div>"),
         ("Manual", "next", "https://n.example/x", None,
          '<script id="__NEXT_DATA__" type="application/json">' + json.dumps(
              {"props": {"pageProps": {"docData": {"compiledSource": f"/*import a*/x/* {LONG} */y/*{LONG}*/"}}}}) + "</script>"),
         ("Manual", "next2", "https://n.example/x", None, page(LONG) + '<script id="__NEXT_DATA__" type="application/json">{bad</script>'),
     ]
     work = spark.createDataFrame(data, "type_key string, id string, url string, final_url string, html string")
-    out = bodies.extract_bodies(
-        work, {"Manual": bodies.doc_page, "Bug": bodies.sectioned_page},
-        {"n.example": HostRule(("main",), embedded_json=True)}, default=None,
-    )
+    out = bodies.extract_bodies(work, ("n.example",))
     return bodies.with_outcome(out, ["js.example"], "kb.example")
 
 
@@ -115,13 +59,12 @@ def test_outcomes(results):
     got = {r.id: (r.outcome, r.body_error) for r in results.collect()}
     assert {k: v[0] for k, v in got.items()} == {
         "ok": "ok", "short": "too-short", "soft": "soft-404", "soft2": "soft-404", "moved": "moved", "stays": "ok", "kb": "in-kb",
-        "js": "js-rendered", "nolink": "no-link", "nopage": "raised", "bug": "ok", "nobug": "raised", "next": "ok", "next2": "ok",
+        "js": "js-rendered", "nolink": "no-link", "nopage": "raised", "next": "ok", "next2": "ok",
     }
     assert got["short"][1] == "extracted body too short (4 chars)"
-    assert got["kb"][1].endswith("K77") and got["nobug"][1] == "no body sections extracted"
+    assert got["kb"][1].endswith("K77") and got["nopage"][1] == "no page landed"
     assert all((err is None) == (kind == "ok") for kind, err in got.values())
     body = {r.id: r.body_text for r in results.collect()}
-    assert body["bug"] == "## S\n\n" + LONG.strip()
     assert body["next"] == LONG.strip() + "\n\n" + LONG.strip()
     assert body["next2"] == LONG.strip() and body["kb"] is None
 
@@ -129,7 +72,7 @@ def test_outcomes(results):
 def test_report(spark, results):
     skipped = spark.createDataFrame([("Manual",), ("Old",)], "type_key string")
     got = sorted(tuple(r) for r in bodies.enrich_report(results, skipped).collect())
-    assert got == [("Bug", 1, 1, 0, 2), ("Manual", 4, 8, 1, 13), ("Old", 0, 0, 1, 1)]
+    assert got == [("Manual", 4, 8, 1, 13), ("Old", 0, 0, 1, 1)]
 
 
 def test_work_selection_and_merge(spark):
@@ -174,7 +117,7 @@ def test_repo_bodies(spark):
 # ── line diffs ──
 
 
-def test_hunks_rebuild_both_sides(spark):
+def test_line_delta(spark):
     rnd = random.Random(5)
     texts = []
     for i in range(40):
@@ -185,27 +128,8 @@ def test_hunks_rebuild_both_sides(spark):
         texts.append(("A", str(i), "\n".join(old), "\n".join(new)))
     df = spark.createDataFrame(texts, "type_key string, id string, old string, new string")
     side = lambda c: df.select("type_key", "id", F.col(c).alias("body_text"))
-    got = {}
-    for r in bodies.body_hunks(side("old"), side("new")).orderBy("id", "pos").collect():
-        got.setdefault(r.id, []).append((r.tag, list(r.lines), r.skipped))
     delta = {r.id: (r.added, r.removed) for r in bodies.line_delta(side("old"), side("new")).collect()}
     for _, key, old, new in texts:
-        if old == new:
-            assert key not in got and key not in delta
-            continue
-        a, b = old.splitlines(), new.splitlines()
-        i = j = 0
-        for tag, lines, skipped in got[key]:
-            if tag in ("equal", "skip"):
-                n = len(lines) or skipped
-                assert a[i : i + n] == b[j : j + n] and (tag == "skip" or a[i : i + n] == lines)
-                i, j = i + n, j + n
-            elif tag == "del":
-                assert a[i : i + len(lines)] == lines
-                i += len(lines)
-            else:
-                assert b[j : j + len(lines)] == lines
-                j += len(lines)
-        assert (i, j) == (len(a), len(b))
-        ops = difflib.SequenceMatcher(a=a, b=b, autojunk=False).get_opcodes()
-        assert sum(t == "skip" for t, *_ in got[key]) == sum(t == "equal" and i2 - i1 > 8 for t, i1, i2, _, _ in ops)
+        a, b = Counter(old.split("\n")), Counter(new.split("\n"))
+        want = (sum((b - a).values()), sum((a - b).values()))
+        assert delta.get(key, (0, 0)) == want

@@ -41,6 +41,8 @@ def test_sync(spark):
     assert rows(one.live, "id", "has_body") == [("m1", 1), ("m2", 0), ("p1", 0)]
     assert rows(one.changes, "id", "change_type") == [("m1", "new"), ("m2", "new"), ("p1", "new")]
     assert one.pending.count() == 0 and one.deletions.count() == 0
+    assert rows(one.live, "id", F.col("body_error").isNotNull()) == [("m1", False), ("m2", True), ("p1", False)]
+    assert rows(one.bodies, "id", "outcome") == [("m1", "ok"), ("m2", "raised")]
     assert one.live.filter("id = 'm1'").first().body_chars == len(("word " * 30).strip())
 
     second = world(spark, ("Manual", doc("m1", "de")), ("Policy", doc("p1", "en")), ("Policy", doc("p2", "fr")))

@@ -8,6 +8,52 @@ from pyspark.sql import functions as F
 from tidemark.functions.urls import first_segment, host, path
 
 MIN_BODY = 40
+
+# How markup becomes text: (pattern, replacement), applied in order. The patterns mean the same in any SQL engine.
+BLANK = "[ \\t\\r\\n\\f]"
+DROPPED = ("script", "style", "noscript", "template", "nav", "header", "footer", "aside", "form", "button")
+HIDDEN = ("div", "span", "p", "section")
+CLEAN = [
+    ("(?is)<!--.*?-->", ""),
+    *[(f"(?is)<{tag}\\b[^>]*>.*?</{tag}{BLANK}*>", "") for tag in DROPPED],
+    *[(f"(?is)<{tag}\\b[^>]*display{BLANK}*:{BLANK}*none[^>]*>.*?</{tag}{BLANK}*>", "") for tag in HIDDEN],
+]
+REGIONS = [f"(?is)<{tag}\\b[^>]*>(.*)</{tag}{BLANK}*>" for tag in ("main", "article", "body")]
+PLAIN = [
+    (f"{BLANK}+", " "),
+    *[(f"(?i)<h{level}\\b[^>]*>", "\n\n" + "#" * level + " ") for level in range(1, 7)],
+    ("(?i)<li\\b[^>]*>", "\n- "),
+    ("(?i)<br[^>]*>", "\n"),
+    ("(?i)</?(p|div|section|article|ul|ol|table|tr|pre|blockquote|h[1-6])\\b[^>]*>", "\n\n"),
+    ("<[^>]*>", ""),
+    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
+    (" *\n *", "\n"), ("\n\n\n+", "\n\n"), (" +", " "), ("^[ \n]+|[ \n]+$", ""),
+]
+
+
+def article_text(html: Column) -> Column:
+    """The page's text with headings and list items marked: that of main, else article, else body, else all."""
+    for pattern, text in CLEAN:
+        html = F.regexp_replace(html, pattern, text)
+    found = [F.nullif(F.regexp_extract(html, pattern, 1), F.lit("")) for pattern in REGIONS]
+    out = F.coalesce(*found, html)
+    for pattern, text in PLAIN:
+        out = F.regexp_replace(out, pattern, text)
+    return out
+
+
+def article_text_sql(html: str) -> str:
+    """The same as SQL, over a column that is written once: (CTEs to chain, result column)."""
+    def steps(column: str, pairs) -> str:
+        for pattern, text in pairs:
+            p, t = pattern.replace("'", "''"), text.replace("'", "''")
+            column = f"regexp_replace({column}, '{p}', '{t}', 'g')"
+        return column
+
+    cleaned = steps(html, CLEAN)
+    regions = ", ".join(f"nullif(regexp_extract(_c, '{p}', 1), '')" for p in REGIONS)
+    return f"(SELECT {steps('_r', PLAIN)} FROM (SELECT coalesce({regions}, _c) AS _r FROM (SELECT {cleaned} AS _c)))"
+
 # How a page that is missing says so with status 200.
 SOFT_404_START = r"^#{0,3}\s*404 - Page Not Found"
 SOFT_404_TEXT = "the page you are looking for does not exist"

@@ -1,17 +1,11 @@
 """Body extraction over landed pages: choose work, extract, classify, merge, report.
 
-The page table is joined to the work list by URL. Extraction runs in ``mapInPandas`` on
-Arrow batches where the rows already lie; there is no shuffle by type, so one type that
-holds most pages does not slow the job down. Everything after it is column expressions.
+The page table is joined to the work list by URL. Everything is column expressions on rows where they already lie;
+there is no shuffle by type, so one type that holds most pages does not slow the job down.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
-from functools import partial
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,36 +14,6 @@ from tidemark.functions import risk as R
 from tidemark.functions.text import strip
 from tidemark.functions.urls import host
 from tidemark.operators import KEY
-from tidemark.operators import markup
-
-RESULT = (
-    "type_key string, id string, url string, final_url string, body_text string, "
-    "sections map<string,string>, raised string"
-)
-
-
-@dataclass(frozen=True)
-class HostRule:
-    """How pages of one host are read."""
-
-    selectors: tuple[str, ...]
-    js_rendered: bool = False
-    embedded_json: bool = False
-
-
-# A function (html, final_url, rule) -> (body, sections) per type key: the extension point.
-Enricher = Callable[[str, str, HostRule | None], tuple[str, dict[str, str] | None]]
-
-
-def doc_page(html: str, url: str, rule: HostRule | None):
-    return markup.document_body(html, url, rule.selectors if rule else None), None
-
-
-def sectioned_page(html: str, url: str, rule: HostRule | None):
-    sections = markup.page_sections(html)
-    if not sections:
-        raise ValueError("no body sections extracted")
-    return "\n\n".join(f"## {title}\n\n{text}" for title, text in sections.items()), sections
 
 
 def due(articles: DataFrame, refetch: bool = False, refetch_errors: bool = False) -> Column:
@@ -62,59 +26,22 @@ def due(articles: DataFrame, refetch: bool = False, refetch_errors: bool = False
     return ~settled
 
 
-def _extract(batches: Iterator[pd.DataFrame], enrichers: dict[str, Enricher], rules: dict[str, HostRule],
-             default: Enricher | None) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        bodies, sections, errors = [], [], []
-        for kind, where, final, html in zip(
-            batch["type_key"], batch["page_host"], batch["final_url"], batch["html"]
-        ):
-            body, parts, error = None, None, None
-            try:
-                enrich = enrichers.get(kind, default)
-                if enrich is None:
-                    raise ValueError("no enricher for this type")
-                if html is None:
-                    raise ValueError("no page landed")
-                body, parts = enrich(html, final, rules.get(where))
-            except Exception as exc:  # noqa: BLE001  a page that cannot be read is a result row
-                error = str(exc) or type(exc).__name__
-            bodies.append(body)
-            sections.append(parts)
-            errors.append(error)
-        yield pd.DataFrame({
-            "type_key": batch["type_key"], "id": batch["id"], "url": batch["url"],
-            "final_url": batch["final_url"], "body_text": bodies, "sections": sections, "raised": errors,
-        })
-
-
-def extract_bodies(work: DataFrame, enrichers: dict[str, Enricher] | None = None,
-                   rules: dict[str, HostRule] | None = None,
-                   default: Enricher | None = doc_page) -> DataFrame:
-    """Run the enricher of each row's type over ``(type_key, id, url, final_url, html)``.
-
-    Pages of a host with ``embedded_json`` are first read by built-in functions; only when
-    that gives less than the minimum do they go through the markup.
+def extract_bodies(work: DataFrame, json_hosts: tuple[str, ...] = ()) -> DataFrame:
+    """``body_text``, ``sections`` and ``raised`` of ``(type_key, id, url, final_url, html)``.
+
+    Pages of ``json_hosts`` hold their text as data, which is used if it is long enough; else the markup is read.
+    A row without a page is told so in ``raised``.
     """
-    rules = rules or {}
-    shaped = work.select(
-        *KEY, "url", F.coalesce("final_url", "url").alias("final_url"),
-        host(F.col("url")).alias("page_host"), "html",
+    shaped = work.select(*KEY, "url", F.coalesce("final_url", "url", F.lit("")).alias("final_url"), "html")
+    body = pages.article_text(F.col("html"))
+    if json_hosts:
+        shaped = with_embedded_body(shaped, "_data")
+        data = host(F.col("url")).isin(list(json_hosts)) & (F.length("_data") >= pages.MIN_BODY)
+        body = F.when(data, F.col("_data")).otherwise(body)
+    return shaped.select(
+        *KEY, "url", "final_url", body.alias("body_text"), F.lit(None).cast("map<string,string>").alias("sections"),
+        F.when(F.col("html").isNull(), "no page landed").alias("raised"),
     )
-    run = partial(_extract, enrichers=enrichers or {}, rules=rules, default=default)
-    out = shaped.mapInPandas(run, RESULT)
-    json_hosts = [h for h, r in rules.items() if r.embedded_json]
-    if not json_hosts:
-        return out
-    keyed = F.col("page_host").isin(json_hosts)
-    native = with_embedded_body(shaped.filter(keyed), "_body")
-    good = F.length("_body") >= pages.MIN_BODY
-    done = native.filter(good).select(
-        *KEY, "url", "final_url", F.col("_body").alias("body_text"),
-        F.lit(None).cast("map<string,string>").alias("sections"), F.lit(None).cast("string").alias("raised"),
-    )
-    rest = shaped.filter(~keyed).unionByName(native.filter(~good).drop("_body"))
-    return done.unionByName(rest.mapInPandas(run, RESULT))
 
 
 # The element that holds the page's data.
@@ -301,23 +228,3 @@ def line_delta(old: DataFrame, new: DataFrame, body: str = "body_text", changed:
         F.sum(F.greatest(-F.col("d"), F.lit(0))).alias("removed"),
     )
 
-
-HUNKS = "type_key string, id string, pos int, tag string, lines array<string>, skipped int"
-
-
-def _hunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = [
-            (kind, key, pos, *hunk)
-            for kind, key, old, new in zip(batch["type_key"], batch["id"], batch["old"], batch["new"])
-            for pos, hunk in enumerate(markup.line_hunks(old or "", new or ""))
-        ]
-        yield pd.DataFrame(rows, columns=["type_key", "id", "pos", "tag", "lines", "skipped"])
-
-
-def body_hunks(old: DataFrame, new: DataFrame, body: str = "body_text") -> DataFrame:
-    """Line hunks (equal, skip, del, add) of the articles whose body changed."""
-    o = old.select(*KEY, F.col(body).alias("old"))
-    n = new.select(*KEY, F.col(body).alias("new"))
-    changed = o.join(n, KEY).filter(~F.col("old").eqNullSafe(F.col("new")))
-    return changed.mapInPandas(_hunks, HUNKS)

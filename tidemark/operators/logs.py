@@ -38,11 +38,11 @@ def summary_line(lines: DataFrame) -> Column:
 
 
 def search_logs(lines: DataFrame, minutes: int, now: Column, level: str = "all", query: str = "",
-                source: str = "all", limit: int = 300) -> DataFrame:
-    """Log view: level, substring of the record or its summary, newest first, capped.
+                source: str = "all", *, limit: int, share: int | None = None) -> DataFrame:
+    """Log view: level, substring of the record or its summary, the ``limit`` newest matches first.
 
-    With several sources each contributes at most its share, so a chatty one cannot
-    crowd out the rest; the share is taken in the map stage.
+    With ``share``, each source contributes at most so many of its matches, so a chatty one
+    cannot crowd out the rest; the share is taken in the map stage.
     """
     out = since(lines, minutes, now)
     if source not in ("", "all"):
@@ -50,17 +50,19 @@ def search_logs(lines: DataFrame, minutes: int, now: Column, level: str = "all",
     if level != "all":
         out = out.filter(F.col("level") == level.upper())
     out = out.withColumn("summary", summary_line(lines))
-    if source in ("", "all"):
-        out = top_per_group(out, ["source"], [F.desc("ts")], max(50, limit // 8))
     if query:
         q = query.lower()
         record = F.lower(F.to_json(F.struct(*lines.columns)))
         out = out.filter(record.contains(q) | F.lower(F.col("summary")).contains(q))
-    return newest(out, [F.desc("ts")], limit)
+    order = [F.desc(c) for c in ("ts", "event_id") if c in out.columns]
+    if share:
+        out = top_per_group(out, ["source"], order, share)
+    return newest(out, order, limit)
 
 
-def run_timeline(lines: DataFrame, run_date, limit: int = 10000) -> DataFrame:
-    return lines.filter(F.col("run_date") == run_date).orderBy("ts").limit(limit)
+def run_timeline(lines: DataFrame, run_date) -> DataFrame:
+    """All lines of a run, oldest first."""
+    return lines.filter(F.col("run_date") == run_date).orderBy("ts")
 
 
 def article_history(lines: DataFrame, art_id: str) -> DataFrame:

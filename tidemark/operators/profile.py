@@ -79,8 +79,8 @@ def facet(df: DataFrame, values: Column, by: list[str] = ()) -> DataFrame:
     )
 
 
-def top_facets(counts: DataFrame, limit: int = 5000) -> DataFrame:
-    """The facet list as a search service returns it: most frequent first, capped."""
+def top_facets(counts: DataFrame, *, limit: int) -> DataFrame:
+    """The ``limit`` most frequent values, as a search service with such a limit lists them."""
     return counts.orderBy(F.desc("n"), "value").limit(limit)
 
 

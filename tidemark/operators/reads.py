@@ -92,7 +92,7 @@ def dossier(type_key: str, art_id: str, live: DataFrame, pending: DataFrame, arc
 
 
 def metadata_diff(old: DataFrame, new: DataFrame, meta: Column | None = None) -> DataFrame:
-    """One row per key and field whose values differ, both sides as JSON cut to 400 characters.
+    """One row per key and field whose values differ, both sides as whole JSON values.
 
     Both sides are joined once on the article key; the field union is then local to a row,
     so fields are never shuffled.
@@ -108,9 +108,7 @@ def metadata_diff(old: DataFrame, new: DataFrame, meta: Column | None = None) ->
     return (
         rows.select(*KEY, "field", side("_o").alias("_a"), side("_n").alias("_b"))
         .filter(F.col("_a") != F.col("_b"))
-        .select(
-            *KEY, "field", F.substring("_a", 1, 400).alias("old"), F.substring("_b", 1, 400).alias("new")
-        )
+        .select(*KEY, "field", F.col("_a").alias("old"), F.col("_b").alias("new"))
     )
 
 

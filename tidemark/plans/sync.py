@@ -26,10 +26,11 @@ class Synced:
 def sync(
     hits: DataFrame, types: DataFrame, live: DataFrame, tracked: DataFrame, pages: DataFrame,
     run_id: Column, run_date: Column, now: Column, full: bool = False,
-    enrichers: dict | None = None, rules: dict | None = None,
+    json_hosts: tuple[str, ...] = (), js_hosts: tuple[str, ...] = (), kb_host: str = "",
 ) -> Synced:
     """New articles go live, edited ones wait in pending; bodies of live articles that lack one
-    are taken from the landed ``pages`` (``url, final_url, html``); the result is tracked.
+    are taken from the landed ``pages`` (``url, final_url, html``); the result is tracked. An article
+    without a link or a landed page gets an error, so it counts as failed and is not due again.
 
     Deletions are looked for in a full read only, on ids as they are, and are only reported.
     The envelopes feed several outputs, so they are written to the shared folder once.
@@ -42,8 +43,9 @@ def sync(
     work = stored.join(types.filter("enrichable").select("type_key"), "type_key", "left_semi").filter(
         bodies.due(stored)
     )
-    landed = work.select(*KEY, F.col("link").alias("url")).join(pages, "url")
-    found = cut_lineage(spark, bodies.with_outcome(bodies.extract_bodies(landed, enrichers, rules)), "bodies")
+    landed = work.select(*KEY, F.col("link").alias("url")).join(pages, "url", "left")
+    results = bodies.with_outcome(bodies.extract_bodies(landed, json_hosts), list(js_hosts), kb_host)
+    found = cut_lineage(spark, results, "bodies")
     filled = ingest.with_digest(
         bodies.merge_bodies(
             stored.drop("metadata_hash", "content_hash", "has_body", "body_chars"), found, now

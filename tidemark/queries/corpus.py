@@ -162,7 +162,7 @@ def ascii_hash(spark, sf):
 
 def _contents(spark, sf):
     """Contents of four shapes: extracted body, HTML field, error only, nothing."""
-    d = S.load_texts(spark, sf, "documents")
+    d = S.load(spark, sf, "documents")
     shape = F.col("n_chars") % 4
     content = F.struct(
         F.when(shape == 0, F.col("text")).alias("body_text"),
@@ -241,26 +241,26 @@ shown AS (SELECT value, count(*) AS n FROM words GROUP BY value ORDER BY n DESC,
 
 
 def _words(spark, sf):
-    return S.load_texts(spark, sf, "documents").select(
+    return S.load(spark, sf, "documents").select(
         F.col("source").alias("type_key"), F.split("text", " ").alias("words")
     )
 
 
-@query("facet_counts", f"WITH {WORDS_SQL} SELECT value, n FROM shown")
+@query("facet_counts", f"WITH {WORDS_SQL} SELECT value, count(*) AS n FROM words GROUP BY value")
 def facet_counts(spark, sf):
-    """Documents per word, the 5000 most frequent, as a facet list shows them."""
-    return profile.top_facets(profile.facet(_words(spark, sf), F.col("words")))
+    """Documents per word, all words."""
+    return profile.facet(_words(spark, sf), F.col("words"))
 
 
 @query("hidden_facets", f"""WITH {WORDS_SQL}
 SELECT w.value, count(*) AS n, array_to_string(list_sort(list(DISTINCT w.type_key)), ',') AS types
 FROM words w LEFT JOIN shown s ON s.value = w.value WHERE s.value IS NULL GROUP BY w.value""")
 def hidden_facets(spark, sf):
-    """Words that a type's own facet list has and the global list lacks."""
+    """Words that a type's own facet list has and a global list of 5000 lacks."""
     w = _words(spark, sf)
     by_type = profile.facet(w, F.col("words"), ["type_key"])
     overall = by_type.groupBy("value").agg(F.sum("n").alias("n"))
-    out = profile.hidden_values(by_type, profile.top_facets(overall))
+    out = profile.hidden_values(by_type, profile.top_facets(overall, limit=5000))
     return out.select("value", "n", F.array_join("types", ",").alias("types"))
 
 
@@ -487,19 +487,12 @@ def body_line_delta(spark, sf):
     return bodies.line_delta(S.prior(spark, sf), S.current(spark, sf))
 
 
-@query("body_hunks")
-def body_hunks(spark, sf):
-    """Exact hunks of the changed bodies (checked against a brute-force diff in the tests)."""
-    out = bodies.body_hunks(S.prior(spark, sf), S.current(spark, sf))
-    return out.select(*KEY, "pos", "tag", F.size("lines").alias("lines"), "skipped")
-
-
 KB_HOST = "kb.example"
 
 
 def _landed(spark, sf):
     """Pages with where the request ended: in place, at a folder page, or in the knowledge base."""
-    p = S.load_texts(spark, sf, "pages")
+    p = S.load(spark, sf, "pages")
     turn = F.col("page_id") % 10
     home = F.concat(F.lit("https://"), urls.host(F.col("url")), F.lit("/"))
     final = (
@@ -542,18 +535,32 @@ def page_redirects(spark, sf):
     return w.select("id", F.when(kind == "too-short", "read").otherwise(kind).alias("outcome"))
 
 
+EXTRACTED = f"""
+WITH texts AS (SELECT page_id, url, {pages.article_text_sql('html')} AS body FROM pages),
+kinds AS (SELECT *, CASE WHEN page_id % 10 = 5 THEN 'in-kb'
+  WHEN page_id % 10 = 3 AND url <> 'https://' || {HOST_SQL} || '/' AND (
+    regexp_matches({PATH_SQL}, '(?i)/[^/]+\\.[a-z0-9]+$')
+    OR coalesce(list_filter(string_split({PATH_SQL}, '/'), lambda x: x <> '')[1], '') <> '') THEN 'moved'
+  WHEN length(body) < 40 THEN 'too-short'
+  WHEN regexp_matches(body, '^#{{0,3}}[ ]*404 - Page Not Found')
+    OR contains(lower(left(body, 400)), 'the page you are looking for does not exist') THEN 'soft-404'
+  ELSE 'ok' END AS outcome FROM texts)"""
+
+
 def _extracted(spark, sf):
     return bodies.with_outcome(bodies.extract_bodies(_landed(spark, sf)), kb_host=KB_HOST)
 
 
-@query("extract_bodies")
+@query("extract_bodies", f"""{EXTRACTED}
+SELECT CAST(page_id AS VARCHAR) AS id, outcome, CASE WHEN outcome = 'ok' THEN length(body) END::INTEGER AS chars,
+  CASE WHEN outcome = 'ok' THEN sha256(body) END AS hash FROM kinds""")
 def extract_bodies(spark, sf):
-    """Markdown bodies of all landed pages (checked on fixture pages in the tests)."""
+    """Texts of all landed pages."""
     out = _extracted(spark, sf)
     return out.select("id", "outcome", F.length("body_text").alias("chars"), F.sha2("body_text", 256).alias("hash"))
 
 
-@query("extract_outcomes")
+@query("extract_outcomes", f"{EXTRACTED} SELECT outcome, count(*) AS n FROM kinds GROUP BY outcome")
 def extract_outcomes(spark, sf):
     return _extracted(spark, sf).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
@@ -579,7 +586,7 @@ SELECT doc_id, sha256(CASE WHEN mdx THEN regexp_replace(t, '\n{3,}', chr(10) ||
 FROM d""")
 def next_data(spark, sf):
     """Pages that carry their text as JSON: comment blocks of a source, or an API description."""
-    d = S.load_texts(spark, sf, "documents")
+    d = S.load(spark, sf, "documents")
     body = text.strip(F.col("text"))
     name = F.col("doc_id").cast("string")
     source = F.concat(F.lit("/* import x */ code(); /*\n"), body, F.lit("\n*/ more(); /**/"))
@@ -607,7 +614,7 @@ FROM (SELECT doc_id, ['issue', 'pull', 'readme', 'file'][1 + doc_id % 4] AS kind
   FROM documents)""")
 def repo_items(spark, sf):
     """Documents as landed repository items of four kinds."""
-    d = S.load_texts(spark, sf, "documents")
+    d = S.load(spark, sf, "documents")
     kind = F.element_at(F.array(*[F.lit(k) for k in ("issue", "pull", "readme", "file")]), (F.col("doc_id") % 4 + 1).cast("int"))
     empty = (F.col("doc_id") % 7 == 0) & (F.col("doc_id") % 4 < 2)
     payload = (

@@ -229,18 +229,17 @@ def log_errors(spark, sf):
 
 
 @query("log_search", f"""{LINES}, r AS (
-  SELECT * FROM lines WHERE level = 'INFO' AND ts >= TIMESTAMP '{NOW}' - to_minutes(43200)
-  QUALIFY row_number() OVER (PARTITION BY source ORDER BY ts DESC) <= 50)
+  SELECT * FROM lines WHERE level = 'INFO' AND ts >= TIMESTAMP '{NOW}' - to_minutes(43200))
 SELECT event_id, action || ' · ' || type_key || ' · ' || id || ' · ' || run_date AS summary FROM r
-WHERE contains(lower(action), 'purch') ORDER BY ts DESC LIMIT 300""")
+WHERE contains(lower(action), 'purch') ORDER BY ts DESC, event_id DESC LIMIT 300""")
 def log_search(spark, sf):
-    """Level and substring over the newest lines of each source."""
-    out = logs.search_logs(S.log_lines(spark, sf), 43200, S.now(), level="info", query="Purch")
+    """The 300 newest lines of a level that hold a substring."""
+    out = logs.search_logs(S.log_lines(spark, sf), 43200, S.now(), level="info", query="Purch", limit=300)
     return out.select("event_id", "summary")
 
 
 @query("run_timeline", f"""{LINES}
-SELECT event_id, source, action FROM lines WHERE run_date = '2024-01-15' ORDER BY ts LIMIT 10000""")
+SELECT event_id, source, action FROM lines WHERE run_date = '2024-01-15' ORDER BY ts""")
 def run_timeline(spark, sf):
     return logs.run_timeline(S.log_lines(spark, sf), "2024-01-15").select("event_id", "source", "action")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import canon
 from tidemark.functions.text import is_blank
-from tidemark.session import configure, cut_lineage, spread
+from tidemark.session import configure, cut_lineage
 
 NOW = "2024-01-31 00:00:00"
 DAY_MS = 86_400_000
@@ -25,15 +25,6 @@ def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
-# Tables whose rows hold whole texts, with the key that splits them.
-WIDE = {"documents": "doc_id", "pages": "page_id"}
-
-
-def load_texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """The same for queries that work on the whole texts: every core gets its share of a small file."""
-    return spread(load(spark, sf, name), WIDE[name])
-
-
 def now() -> Column:
     return F.lit(NOW).cast("timestamp")
 
@@ -70,7 +61,7 @@ def _articles(df: DataFrame, lang: Column, body: Column, error: Column, modified
 
 def prior(spark: SparkSession, sf: str) -> DataFrame:
     """The tracked (live) snapshot."""
-    d = load_texts(spark, sf, "documents").withColumn("fate", fate(F.col("doc_id"))).filter("fate <> 'added'")
+    d = load(spark, sf, "documents").withColumn("fate", fate(F.col("doc_id"))).filter("fate <> 'added'")
     return _articles(
         d, F.col("lang"), F.col("text"), F.lit(None).cast("string"),
         F.lit(BASE_MS) + F.col("doc_id") * 60000,
@@ -79,7 +70,7 @@ def prior(spark: SparkSession, sf: str) -> DataFrame:
 
 def current(spark: SparkSession, sf: str) -> DataFrame:
     """The snapshot just read (staged)."""
-    d = load_texts(spark, sf, "documents").withColumn("fate", fate(F.col("doc_id"))).filter("fate <> 'removed'")
+    d = load(spark, sf, "documents").withColumn("fate", fate(F.col("doc_id"))).filter("fate <> 'removed'")
     f = F.col("fate")
     body = (
         F.when(f == "shortened", F.expr("left(text, cast(floor(length(text) * 3 / 10) as int))"))
@@ -170,7 +161,7 @@ def hits(spark: SparkSession, sf: str) -> DataFrame:
     ``title`` stands in both places, so the top-level one must win; one document in seven
     has no language and one in eleven an empty date.
     """
-    d = load_texts(spark, sf, "documents")
+    d = load(spark, sf, "documents")
     raw = F.struct(
         F.concat(F.lit("P"), F.col("doc_id").cast("string")).alias("permanentid"),
         F.lit("raw title").alias("title"),

@@ -64,15 +64,3 @@ def cut_lineage(spark: SparkSession, df, name: str):
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def spread(df, *keys: str):
-    """Re-split a scan that has fewer splits than the cluster has cores.
-
-    For inputs of which each row costs much work (hashing or parsing whole documents) but
-    which lie in one or two files. A table of many files has more splits than that and is
-    returned as it is, so nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

@@ -105,7 +105,10 @@ def run_available(stream: DataFrame, spark: SparkSession, name: str, mode: str =
     base = scratch_dir(spark, name)
     out = f"{base}/out"
 
+    ran = []
+
     def store(batch: DataFrame, epoch: int) -> None:
+        ran.append(epoch)
         batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
     query = (
@@ -114,10 +117,9 @@ def run_available(stream: DataFrame, spark: SparkSession, name: str, mode: str =
     )
     query.awaitTermination()
     schema = StructType([*stream.schema.fields, StructField("epoch", IntegerType())])
-    try:
-        table = spark.read.schema(schema).parquet(out)
-    except Exception:  # noqa: BLE001  no epoch ran: nothing has arrived
+    if not ran:  # nothing has arrived, so there is no folder yet
         return spark.createDataFrame([], stream.schema)
+    table = spark.read.schema(schema).parquet(out)
     if mode != "update" or not keys:
         return table.drop("epoch")
     rest = [c for c in stream.columns if c not in keys]
