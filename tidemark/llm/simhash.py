@@ -41,7 +41,7 @@ EXACT = [Block(0, 0, True, 7, 1), Block(0, 22, True, 7, 1), Block(0, 44, False,
 # Five blocks of 18 bits, for fingerprints that are checked by a second one.
 WIDE = [Block(0, 0, True, 3, 1), Block(0, 18, True, 3, 1), Block(0, 36, True, 3, 1), Block(1, 0, True, 3, 1), Block(1, 18, True, 3, 1)]
 NEAR_SHINGLE = 5
-NEAR_BITS = 22  # of 128: shingle sets of Jaccard similarity 0.8 differ in 19 bits, give or take 4; those of 0.7 in 25
+NEAR_BITS = 26  # of 128: shingle sets of Jaccard similarity 0.8 differ in 19 bits, give or take 4; those of 0.7 in 25
 
 
 def words(text: bytes) -> list[bytes]:
