@@ -54,19 +54,19 @@ def test_holds_time_out(spark, tmp_path, parts):
     assert got == replay(rows, 24, max(r[3] for r in rows) - dt.timedelta(hours=1))
 
 
-def test_gate_opens_once_across_batches(spark, tmp_path):
-    gates.use_rocksdb(spark)
+@pytest.mark.parametrize("parts", [1, 5])
+def test_gate_opens_once_whatever_the_batches(spark, tmp_path, parts):
     rows = []
     for run, types in (("r1", 3), ("r2", 2), ("r3", 3)):
         for repeat in range(3):
             rows += [(run, f"t{i}", T0 + dt.timedelta(minutes=len(rows) + i)) for i in range(types)]
-    s = files(spark, str(tmp_path / "in"), rows, "run_date string, type_key string, ts timestamp", 5)
-    out = jobs.run_available(gates.gate_once(s, 3), spark, "gate_test")
+    s = files(spark, str(tmp_path / "in"), rows, "run_date string, type_key string, ts timestamp", parts)
+    out = jobs.run_available(gates.gate_once(s, 3), spark, f"gate_test{parts}", "update", ["run_date"])
     assert sorted((r.run_date, r.types) for r in out.collect()) == [("r1", 3), ("r3", 3)]
 
 
 def test_redelivery_across_batches(spark, tmp_path):
-    rows = [("T", str(i % 5), "h", T0 + dt.timedelta(minutes=i)) for i in range(20)]
+    rows = [("T", str(i % 5), "h", T0 + dt.timedelta(days=i)) for i in range(20)]
     s = files(spark, str(tmp_path / "in"), rows, "type_key string, id string, content_hash string, ts timestamp", 4)
     assert jobs.run_available(jobs.drop_redeliveries(s), spark, "dedup_test").count() == 5
 
@@ -88,6 +88,9 @@ def test_arrivals_and_replayed_epoch(spark, tmp_path):
     for _ in range(2):  # the second call replays the epoch
         run(first, 0)
     run(batch(("A", "3", "n2", 3), ("A", "2", "h2", 3)), 1)
+    for e in (None, 1):
+        after = arrivals.index_after(spark, str(tmp_path / "i"), str(tmp_path / "s"), e)
+        assert sorted((r.id, r.metadata_hash) for r in after.collect()) == [("1", "h1"), ("2", "h2"), ("3", "n2")]
     got = sorted((r.epoch, r.id, r.metadata_hash, r.op) for r in spark.read.parquet(str(tmp_path / "s")).collect())
     assert got == [(0, "2", "x", "changed"), (0, "3", "n2", "new"), (1, "2", "h2", "changed")]
 
@@ -106,3 +109,23 @@ def test_nothing_arrived(spark, tmp_path):
     (tmp_path / "e").mkdir()
     s = jobs.json_source(spark, str(tmp_path / "e"), "type_key string, id string")
     assert jobs.run_available(s.select(*KEY), spark, "empty_test").count() == 0
+
+
+def test_index_snapshots_and_deltas_agree(spark, tmp_path):
+    idx = spark.createDataFrame([("A", "0", "h")], "type_key string, id string, metadata_hash string")
+    ends = []
+    for every in (1, 2, 64):
+        base = tmp_path / str(every)
+        run = arrivals.classify_epoch(spark, str(base / "i"), str(base / "s"), idx, every)
+        for e in range(4):
+            run(spark.createDataFrame([("A", str(e % 3), f"v{e}", e)], "type_key string, id string, metadata_hash string, ts int"), e)
+        after = arrivals.index_after(spark, str(base / "i"), str(base / "s"), 3, every)
+        ends.append(sorted((r.id, r.metadata_hash) for r in after.collect()))
+    assert ends[0] == ends[1] == ends[2] == [("0", "v3"), ("1", "v1"), ("2", "v2")]
+
+
+def test_parquet_source_reads_one_name_only(spark, tmp_path):
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "e.parquet"))
+    spark.range(9).coalesce(1).write.parquet(str(tmp_path / "e.parquet_old"))
+    s = jobs.parquet_source(spark, str(tmp_path / "e.parquet"))
+    assert jobs.run_available(s, spark, "one_name").count() == 3

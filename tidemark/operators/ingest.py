@@ -130,9 +130,10 @@ def envelopes(hits: DataFrame, types: DataFrame, captured_at: Column, run_date:
               fields: HitFields = HitFields()) -> DataFrame:
     """Hits (``document_type``, ``hit`` VARIANT, ``seq``) to envelopes plus the narrow digest columns.
 
-    ``types`` is the type configuration; it has one row per configured type.
+    ``types`` is the type configuration; it has one row per configured type. It is written as a table first, so that
+    Spark knows its size and need not shuffle the hits by type.
     """
-    joined = hits.join(types, "document_type")
+    joined = hits.join(cut_lineage(hits.sparkSession, types, "types"), "document_type")
     split = split_fields(joined)
     out = split.select(
         run_date.alias("run_date"),

@@ -22,9 +22,14 @@ def since(df: DataFrame, minutes: int, now: Column, ts: str = "ts") -> DataFrame
     return df.filter(F.col(ts) >= now - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
 
 
-def recent_errors(lines: DataFrame, minutes: int, now: Column, limit: int = 100) -> DataFrame:
-    """Newest error lines, capped."""
-    return newest(since(lines, minutes, now).filter(F.col("level") == "ERROR"), [F.desc("ts")], limit)
+def by_time(lines: DataFrame, latest_first: bool = True) -> list[Column]:
+    """Order by time, then by event id where there is one, so that ties do not decide a cut."""
+    return [F.desc(c) if latest_first else F.asc(c) for c in ("ts", "event_id") if c in lines.columns]
+
+
+def recent_errors(lines: DataFrame, minutes: int, now: Column, *, limit: int) -> DataFrame:
+    """The ``limit`` newest error lines."""
+    return newest(since(lines, minutes, now).filter(F.col("level") == "ERROR"), by_time(lines), limit)
 
 
 def summary_line(lines: DataFrame) -> Column:
@@ -54,7 +59,7 @@ def search_logs(lines: DataFrame, minutes: int, now: Column, level: str = "all",
         q = query.lower()
         record = F.lower(F.to_json(F.struct(*lines.columns)))
         out = out.filter(record.contains(q) | F.lower(F.col("summary")).contains(q))
-    order = [F.desc(c) for c in ("ts", "event_id") if c in out.columns]
+    order = by_time(out)
     if share:
         out = top_per_group(out, ["source"], order, share)
     return newest(out, order, limit)
@@ -62,20 +67,20 @@ def search_logs(lines: DataFrame, minutes: int, now: Column, level: str = "all",
 
 def run_timeline(lines: DataFrame, run_date) -> DataFrame:
     """All lines of a run, oldest first."""
-    return lines.filter(F.col("run_date") == run_date).orderBy("ts")
+    return lines.filter(F.col("run_date") == run_date).orderBy(*by_time(lines, False))
 
 
 def article_history(lines: DataFrame, art_id: str) -> DataFrame:
-    return lines.filter(F.col("id") == art_id).orderBy("ts")
+    return lines.filter(F.col("id") == art_id).orderBy(*by_time(lines, False))
 
 
-def write_conflicts(lines: DataFrame, limit: int = 500) -> DataFrame:
+def write_conflicts(lines: DataFrame, *, limit: int) -> DataFrame:
     """Who won and who lost each conditional write."""
-    return newest(lines.filter(F.col("action").rlike(r"(_won|_lost_412)")), [F.desc("ts")], limit)
+    return newest(lines.filter(F.col("action").rlike(r"(_won|_lost_412)")), by_time(lines), limit)
 
 
-def ack_latency(lines: DataFrame, limit: int = 200) -> DataFrame:
-    return newest(lines.filter(F.col("action") == "ack_sent"), [F.desc("ts")], limit)
+def ack_latency(lines: DataFrame, *, limit: int) -> DataFrame:
+    return newest(lines.filter(F.col("action") == "ack_sent"), by_time(lines), limit)
 
 
 def latency_by_type(lines: DataFrame, action: str = "page_fetched") -> DataFrame:

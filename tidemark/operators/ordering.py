@@ -55,23 +55,28 @@ def newest(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def page(df: DataFrame, order: list[Column], number: int, size: int, max_size: int = 500) -> DataFrame:
-    """One page of an ordered listing; ``size`` is clamped to [1, max_size], ``number`` to 1 and up."""
-    size = max(1, min(int(size or 50), max_size))
+def page_size(size: int, max_size: int | None) -> int:
+    size = max(1, int(size or 50))
+    return min(size, max_size) if max_size else size
+
+
+def page(df: DataFrame, order: list[Column], number: int, size: int, max_size: int | None = None) -> DataFrame:
+    """One page of an ordered listing; ``size`` is at least 1 and at most ``max_size`` if given, ``number`` 1 and up."""
+    size = page_size(size, max_size)
     number = max(1, int(number or 1))
     return df.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
-def page_within(df: DataFrame, order: list[Column], number: int, size: int, max_size: int = 100) -> DataFrame:
+def page_within(df: DataFrame, order: list[Column], number: int, size: int, max_size: int | None = None) -> DataFrame:
     """The same, but a number past the end shows the last page; this counts the rows first."""
-    size = max(1, min(int(size), max_size))
+    size = page_size(size, max_size)
     pages = max(1, -(-df.count() // size))
     return page(df, order, max(1, min(int(number), pages)), size, max_size)
 
 
-def page_info(df: DataFrame, size: int, max_size: int = 500) -> DataFrame:
+def page_info(df: DataFrame, size: int, max_size: int | None = None) -> DataFrame:
     """Total rows and pages of the same listing; reads no columns beyond the filters."""
-    size = max(1, min(int(size or 50), max_size))
+    size = page_size(size, max_size)
     return df.agg(F.count(F.lit(1)).alias("total")).select(
         "total",
         F.greatest(F.ceil(F.col("total") / size), F.lit(1)).cast("bigint").alias("pages"),

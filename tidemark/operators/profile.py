@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import canon
 from tidemark.functions.text import sample_of
+from tidemark.session import cut_lineage
 
 
 def field_rows(hits: DataFrame, hit: str = "hit", keys: list[str] = ("type_key", "seq")) -> DataFrame:
@@ -97,10 +98,11 @@ def equal_tags(df: DataFrame, tags: Column, row_id: Column) -> DataFrame:
     """Pairs of tags that exactly the same rows carry.
 
     Rows of a tag are reduced to a fingerprint: their number and three order-free sums
-    over 64-bit hashes of the row ids. Tags with one fingerprint are carried by the same
+    over 64-bit hashes of the row ids. Only tags with one fingerprint can be carried by the same
     rows, so no pair is formed inside a row, and a tag on a third of all rows costs one
     number per task. Within one fingerprint each tag is paired with the smallest of
-    its group only.
+    its group only, and a pair counts once the rows that both tags share are as many as each has.
+    Row ids must be unique.
     """
     rows = df.select(F.explode(F.array_distinct(tags)).alias("tag"), row_id.alias("_id"))
     wide = lambda c: F.sum(c.cast("decimal(20,0)"))
@@ -112,11 +114,15 @@ def equal_tags(df: DataFrame, tags: Column, row_id: Column) -> DataFrame:
     )
     keys = ["n", "_a", "_b", "_c"]
     heads = marks.groupBy(*keys).agg(F.min("tag").alias("same_as"), F.count(F.lit(1)).alias("_k"))
-    return (
+    pairs = cut_lineage(df.sparkSession, (
         marks.join(heads.filter("_k > 1"), keys)
         .filter(F.col("tag") != F.col("same_as"))
         .select("same_as", "tag", "n")
-    )
+    ), "tag_pairs")
+    # Verified row by row: each pair is looked for in the rows of its own tag only.
+    carried = df.select(F.array_distinct(tags).alias("_tags")).withColumn("tag", F.explode("_tags"))
+    shared = carried.join(pairs, "tag").filter(F.array_contains("_tags", F.col("same_as")))
+    return shared.groupBy("same_as", "tag", "n").agg(F.count(F.lit(1)).alias("_shared")).filter("_shared = n").drop("_shared")
 
 
 def fill_rate(df: DataFrame, columns: list[str], by: str = "type_key") -> DataFrame:

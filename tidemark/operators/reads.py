@@ -9,6 +9,7 @@ from tidemark.functions import canon
 from tidemark.functions import risk as R
 from tidemark.operators import KEY
 from tidemark.operators.ordering import newest
+from tidemark.session import cut_lineage
 
 
 def run_changes(rows: DataFrame, run_date, type_key: str | None = None, op: str | None = None,
@@ -91,12 +92,26 @@ def dossier(type_key: str, art_id: str, live: DataFrame, pending: DataFrame, arc
     )
 
 
+def differing(old: DataFrame, new: DataFrame, digest: str, how: str = "full_outer") -> DataFrame:
+    """Keys whose ``digest`` differs between two snapshots, as a table, so that joins with it know its size.
+
+    With ``full_outer``, keys of one side only are among them.
+    """
+    o, n = old.select(*KEY, F.col(digest).alias("_o")), new.select(*KEY, F.col(digest).alias("_n"))
+    keys = o.join(n, KEY, how).filter(~F.col("_o").eqNullSafe(F.col("_n"))).select(*KEY)
+    return cut_lineage(old.sparkSession, keys, "differing")
+
+
 def metadata_diff(old: DataFrame, new: DataFrame, meta: Column | None = None) -> DataFrame:
     """One row per key and field whose values differ, both sides as whole JSON values.
 
-    Both sides are joined once on the article key; the field union is then local to a row,
-    so fields are never shuffled.
+    If both sides have ``metadata_hash``, the keys whose hashes differ are found first and only their
+    metadata are read further. Both sides are joined once on the article key; the field union is then
+    local to a row, so fields are never shuffled.
     """
+    if "metadata_hash" in old.columns and "metadata_hash" in new.columns:
+        changed = differing(old, new, "metadata_hash", "inner")
+        old, new = old.join(changed, KEY, "left_semi"), new.join(changed, KEY, "left_semi")
     meta = F.col("metadata") if meta is None else meta
     o = old.select(*KEY, canon.as_map(meta).alias("_o"))
     n = new.select(*KEY, canon.as_map(meta).alias("_n"))
@@ -128,6 +143,6 @@ def changes_since(changes: DataFrame, runs: DataFrame, since: Column) -> DataFra
     )
 
 
-def trail(df: DataFrame, month: str, limit: int = 500, order: str = "ts") -> DataFrame:
-    """The newest rows of one month of a trail; ``month`` is its partition."""
-    return newest(df.filter(F.col("month") == month), [F.desc(order)], limit)
+def trail(df: DataFrame, month: str, *, limit: int, order: str = "ts", tie: str = "id") -> DataFrame:
+    """The ``limit`` newest rows of one month of a trail; ``month`` is its partition."""
+    return newest(df.filter(F.col("month") == month), [F.desc(order), F.desc(tie)], limit)

@@ -419,10 +419,10 @@ def audit_search(spark, sf):
 
 
 @query("trail_month", f"""WITH {S.LINES_SQL}
-SELECT event_id, action FROM lines WHERE strftime(ts, '%Y-%m') = '2024-01' ORDER BY ts DESC LIMIT 500""")
+SELECT event_id, action FROM lines WHERE strftime(ts, '%Y-%m') = '2024-01' ORDER BY ts DESC, event_id DESC LIMIT 500""")
 def trail_month(spark, sf):
     rows = S.log_lines(spark, sf).withColumn("month", F.date_format("ts", "yyyy-MM"))
-    return reads.trail(rows, "2024-01").select("event_id", "action")
+    return reads.trail(rows, "2024-01", limit=500, tie="event_id").select("event_id", "action")
 
 
 @query("pending_manifest", f"""WITH {S.HISTORY_SQL}

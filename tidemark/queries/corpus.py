@@ -459,7 +459,7 @@ FROM prior p JOIN current_ c ON c.type_key = p.type_key AND c.id = p.id WHERE p.
 def metadata_field_diff(spark, sf):
     meta = F.parse_json(F.to_json(F.struct("lang", "n_chars"))).alias("metadata")
     return reads.metadata_diff(
-        S.prior(spark, sf).select(*KEY, meta), S.current(spark, sf).select(*KEY, meta)
+        S.prior(spark, sf).select(*KEY, "metadata_hash", meta), S.current(spark, sf).select(*KEY, "metadata_hash", meta)
     )
 
 
@@ -484,7 +484,8 @@ d AS (SELECT type_key, id, line, sum(s) AS d FROM (SELECT * FROM ol UNION ALL SE
 SELECT type_key, id, CAST(sum(greatest(d, 0)) AS BIGINT) AS added, CAST(sum(greatest(-d, 0)) AS BIGINT) AS removed
 FROM d WHERE d <> 0 GROUP BY ALL""")
 def body_line_delta(spark, sf):
-    return bodies.line_delta(S.prior(spark, sf), S.current(spark, sf))
+    old, new = S.prior(spark, sf), S.current(spark, sf)
+    return bodies.line_delta(old, new, changed=reads.differing(old, new, "content_hash"))
 
 
 KB_HOST = "kb.example"

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import health as H
 from tidemark.operators import KEY, logs, runs
+from tidemark.operators.diff import classify_incoming
 from tidemark.operators.ordering import top_per_group
 from tidemark.queries import scenario as S
 from tidemark.queries.registry import query
@@ -128,15 +129,10 @@ SELECT run_date, count(*) AS waiting FROM (
 def gate_waiting(spark, sf):
     """Types of each run without their last marker."""
     rows = S.log_lines(spark, sf)
-    # One row per (run, type) that logged at all; types without any line of the day are waiting too.
-    types = rows.select("type_key").distinct().agg(F.array_sort(F.collect_set("type_key")).alias("t"))
-    plan = rows.select("run_date").distinct().withColumn("type_key", F.explode(types.scalar())).withColumn(
-        "enrichable", F.lit(False)
-    )
-    markers = rows.filter("action = 'purchase' AND k < 30").select(
-        "run_date", "type_key", F.lit("dump").alias("stage")
-    ).distinct()
-    return runs.not_terminal(plan, markers).groupBy("run_date").agg(_n("waiting"))
+    done = F.when(F.expr("action = 'purchase' AND k < 30"), F.col("type_key"))
+    expected = rows.agg(F.countDistinct("type_key")).scalar()
+    waiting = expected - F.countDistinct(done)
+    return rows.groupBy("run_date").agg(waiting.alias("waiting")).filter("waiting > 0")
 
 
 @query("hold_ages", f"""{LINES}, g AS (
@@ -223,9 +219,9 @@ def latency_by_type(spark, sf):
 
 @query("log_errors", f"""{LINES}
 SELECT event_id, source, type_key FROM lines WHERE level = 'ERROR' AND ts >= TIMESTAMP '{NOW}' - to_minutes(14400)
-ORDER BY ts DESC LIMIT 100""")
+ORDER BY ts DESC, event_id DESC LIMIT 100""")
 def log_errors(spark, sf):
-    return logs.recent_errors(S.log_lines(spark, sf), 14400, S.now()).select("event_id", "source", "type_key")
+    return logs.recent_errors(S.log_lines(spark, sf), 14400, S.now(), limit=100).select("event_id", "source", "type_key")
 
 
 @query("log_search", f"""{LINES}, r AS (
@@ -239,7 +235,7 @@ def log_search(spark, sf):
 
 
 @query("run_timeline", f"""{LINES}
-SELECT event_id, source, action FROM lines WHERE run_date = '2024-01-15' ORDER BY ts""")
+SELECT event_id, source, action FROM lines WHERE run_date = '2024-01-15' ORDER BY ts, event_id""")
 def run_timeline(spark, sf):
     return logs.run_timeline(S.log_lines(spark, sf), "2024-01-15").select("event_id", "source", "action")
 
@@ -251,29 +247,29 @@ def article_history(spark, sf):
 
 @query("write_conflicts", f"""{LINES}
 SELECT event_id, a AS action FROM (SELECT *, CASE WHEN k % 3 = 0 THEN action || '_won' WHEN k % 3 = 1 THEN action || '_lost_412'
-  ELSE action END AS a FROM lines) WHERE regexp_matches(a, '(_won|_lost_412)') ORDER BY ts DESC LIMIT 500""")
+  ELSE action END AS a FROM lines) WHERE regexp_matches(a, '(_won|_lost_412)') ORDER BY ts DESC, event_id DESC LIMIT 500""")
 def write_conflicts(spark, sf):
     m = F.col("k") % 3
     rows = S.log_lines(spark, sf).withColumn(
         "action", F.concat("action", F.when(m == 0, "_won").when(m == 1, "_lost_412").otherwise(""))
     )
-    return logs.write_conflicts(rows).select("event_id", "action")
+    return logs.write_conflicts(rows, limit=500).select("event_id", "action")
 
 
 @query("ack_latency", f"""{LINES}
-SELECT event_id, duration_ms FROM lines WHERE action = 'click' ORDER BY ts DESC LIMIT 200""")
+SELECT event_id, duration_ms FROM lines WHERE action = 'click' ORDER BY ts DESC, event_id DESC LIMIT 200""")
 def ack_latency(spark, sf):
     rows = S.log_lines(spark, sf).withColumn(
         "action", F.when(F.col("action") == "click", "ack_sent").otherwise(F.col("action"))
     )
-    return logs.ack_latency(rows).select("event_id", "duration_ms")
+    return logs.ack_latency(rows, limit=200).select("event_id", "duration_ms")
 
 
 @query("group_caps", f"""{LINES}
-SELECT source, event_id FROM lines QUALIFY row_number() OVER (PARTITION BY source ORDER BY ts DESC) <= 5""")
+SELECT source, event_id FROM lines QUALIFY row_number() OVER (PARTITION BY source ORDER BY ts DESC, event_id DESC) <= 5""")
 def group_caps(spark, sf):
     """Newest five lines per source."""
-    return top_per_group(S.log_lines(spark, sf), ["source"], [F.desc("ts")], 5).select("source", "event_id")
+    return top_per_group(S.log_lines(spark, sf), ["source"], logs.by_time(S.log_lines(spark, sf)), 5).select("source", "event_id")
 
 
 def _platform_lines(spark, sf):
@@ -348,6 +344,21 @@ def _stream(spark, sf):
     return S.shape_lines(jobs.parquet_source(spark, f"{sf.rstrip('/')}/events.parquet"))
 
 
+def _slices(spark, sf, parts=4):
+    """All events as files of equal spans of time, landed one after the other; the stream reads one per batch."""
+    path = scratch_dir(spark, "slices")
+    e = S.load(spark, sf, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = e.agg(F.min(micros), F.max(micros)).first()
+    if low is None:
+        e.write.parquet(path)
+    else:
+        span = (high - low) // parts + 1
+        for i in range(parts):
+            e.filter((micros >= low + i * span) & (micros < low + (i + 1) * span)).coalesce(1).write.mode("append").parquet(path)
+    return S.shape_lines(spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path))
+
+
 @query("stream_metric_windows", POINTS_SQL)
 def stream_metric_windows(spark, sf):
     """The same metrics from the stream."""
@@ -382,8 +393,8 @@ def stream_recent_counts(spark, sf):
 
 @query("stream_dedup", f"""{LINES} SELECT DISTINCT type_key, id, action AS content_hash FROM lines""")
 def stream_dedup(spark, sf):
-    """Redelivered versions of an article pass once."""
-    rows = _stream(spark, sf).select("ts", "type_key", "id", F.col("action").alias("content_hash"))
+    """Redelivered versions of an article pass once, in several batches."""
+    rows = _slices(spark, sf).select("ts", "type_key", "id", F.col("action").alias("content_hash"))
     return jobs.run_available(jobs.drop_redeliveries(rows), spark, "dedup").drop("ts")
 
 
@@ -400,34 +411,39 @@ def stream_run_counters(spark, sf):
 SELECT run_date, count(DISTINCT type_key) AS types FROM lines WHERE action <> 'error' GROUP BY 1
 HAVING count(DISTINCT type_key) >= 13""")
 def stream_gate_once(spark, sf):
-    """A run's gate opens once, when all 13 types have logged their last stage."""
-    gates.use_rocksdb(spark)
-    markers = _stream(spark, sf).filter("action <> 'error'")
-    return jobs.run_available(gates.gate_once(markers, 13), spark, "gate").drop("opened_at")
+    """A run's gate opens once, when all 13 types have logged their last stage, in several batches."""
+    markers = _slices(spark, sf).filter("action <> 'error'")
+    return jobs.run_available(gates.gate_once(markers, 13), spark, "gate", "update", ["run_date"]).drop("opened_at")
 
 
 @query("stream_hold_timeout")
 def stream_hold_timeout(spark, sf):
     """Holds open for a day of event time (checked against a brute-force replay in the tests)."""
-    gates.use_rocksdb(spark)
+    restore = gates.use_rocksdb(spark)
     rows = _stream(spark, sf).filter("action IN ('error', 'purchase')").withColumn(
         "action", F.when(F.col("action") == "error", "held").otherwise("resolved")
     )
-    return jobs.run_available(gates.escalate_holds(rows), spark, "holds")
+    try:
+        return jobs.run_available(gates.escalate_holds(rows), spark, "holds")
+    finally:
+        restore()
 
 
 @query("stream_classify", f"""{LINES},
 latest AS (SELECT type_key, id, arg_max(action, ts) AS h FROM lines GROUP BY ALL),
 idx AS (SELECT DISTINCT type_key, id FROM lines WHERE k < 20)
-SELECT l.type_key, l.id, l.h AS metadata_hash, CASE WHEN i.id IS NULL THEN 'new' ELSE 'changed' END AS op
-FROM latest l LEFT JOIN idx i ON i.type_key = l.type_key AND i.id = l.id WHERE i.id IS NULL OR l.h <> 'view'""")
+SELECT l.type_key, l.id, l.h AS metadata_hash,
+  CASE WHEN i.id IS NULL THEN 'new' WHEN l.h <> 'view' THEN 'changed' ELSE 'unchanged' END AS op
+FROM latest l LEFT JOIN idx i ON i.type_key = l.type_key AND i.id = l.id""")
 def stream_classify(spark, sf):
-    """Arriving rows against the index, batch by batch; the action stands for the hash."""
+    """The index after arriving rows were classified batch by batch, against the one before; the action stands for the hash."""
     base = scratch_dir(spark, "classify")
     initial = S.log_lines(spark, sf).filter("k < 20").select(*KEY).distinct().withColumn("metadata_hash", F.lit("view"))
-    rows = _stream(spark, sf).select(*KEY, F.col("action").alias("metadata_hash"), "ts")
-    run = arrivals.classify_epoch(spark, f"{base}/index", f"{base}/staged", initial)
+    rows = _slices(spark, sf).select(*KEY, F.col("action").alias("metadata_hash"), "ts")
+    run = arrivals.classify_epoch(spark, f"{base}/index", f"{base}/staged", initial, compact_every=3)
     rows.writeStream.foreachBatch(run).option("checkpointLocation", f"{base}/checkpoint").trigger(
         availableNow=True
     ).start().awaitTermination()
-    return spark.read.parquet(f"{base}/staged").select(*KEY, "metadata_hash", "op")
+    after = arrivals.index_after(spark, f"{base}/index", f"{base}/staged")
+    op = F.when(F.col("op") == "edited", "changed").otherwise(F.col("op"))
+    return classify_incoming(after, initial).select(*KEY, "metadata_hash", op.alias("op"))

@@ -14,24 +14,43 @@ from tidemark.plans.tracking import consume
 from tidemark.sources.tables import read_snapshot, write_snapshot
 
 
-def classify_epoch(spark: SparkSession, index_path: str, staged_path: str,
-                   initial: DataFrame) -> Callable[[DataFrame, int], None]:
+COMPACT_EVERY = 64  # epochs between two whole snapshots of the index
+
+
+def index_after(spark: SparkSession, index_path: str, staged_path: str, epoch: int | None = None,
+                compact_every: int = COMPACT_EVERY) -> DataFrame:
+    """The index once ``epoch`` is done: a snapshot and the rows that the epochs since then have staged.
+
+    Without ``epoch``, the first snapshot and all epochs there are.
+    """
+    base = -1 if epoch is None else (epoch + 1) // compact_every * compact_every - 1
+    index = read_snapshot(spark, index_path, str(base)).select(*KEY, "metadata_hash")
+    if epoch is not None and base >= epoch:
+        return index
+    folders = [staged_path] if epoch is None else [f"{staged_path}/epoch={e}" for e in range(base + 1, epoch + 1)]
+    staged = spark.read.option("basePath", staged_path).parquet(*folders)
+    rows = staged.select(*KEY, "metadata_hash", "epoch").unionByName(index.withColumn("epoch", F.lit(base)))
+    return latest_by_key(rows, KEY, F.col("epoch")).drop("epoch")
+
+
+def classify_epoch(spark: SparkSession, index_path: str, staged_path: str, initial: DataFrame,
+                   compact_every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function over rows ``type_key, id, metadata_hash, ts``.
 
-    Epoch n reads index snapshot n-1 and writes snapshot n, so a replayed epoch starts from
-    the same index and writes the same rows. The index is narrow; its join with the batch
-    spreads by article key.
+    An epoch writes only the rows it stages; they are the index's delta. Every ``compact_every`` epochs the
+    index is written whole. A replayed epoch reads what earlier ones have written, so it writes the same rows again.
+    The index is narrow; its join with the batch spreads by article key.
     """
     write_snapshot(initial.select(*KEY, "metadata_hash"), index_path, "-1")
 
     def run(batch: DataFrame, epoch: int) -> None:
-        index = read_snapshot(spark, index_path, str(epoch - 1))
+        index = index_after(spark, index_path, staged_path, epoch - 1, compact_every)
         latest = latest_by_key(batch, KEY, F.col("ts"))
         staged = changed_only(classify_incoming(latest, index))
         staged.write.mode("overwrite").parquet(f"{staged_path}/epoch={epoch}")
-        done = spark.read.parquet(f"{staged_path}/epoch={epoch}").select(*KEY, "metadata_hash")
-        rest = index.join(done.select(*KEY), KEY, "left_anti")
-        write_snapshot(rest.unionByName(done), index_path, str(epoch))
+        if (epoch + 1) % compact_every == 0:
+            rows = spark.read.parquet(f"{staged_path}/epoch={epoch}").select(*KEY, "metadata_hash")
+            write_snapshot(index.join(rows.select(*KEY), KEY, "left_anti").unionByName(rows), index_path, str(epoch))
 
     return run
 

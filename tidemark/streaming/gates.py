@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,51 +15,25 @@ from tidemark.streaming.jobs import LATENESS
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """State with timers needs the RocksDB store."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+def use_rocksdb(spark: SparkSession) -> Callable[[], None]:
+    """State with timers needs the RocksDB store. The function returned puts the session's own setting back."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKSDB)
+    return lambda: spark.conf.set(name, before)
 
 
-class OpenOnce(StatefulProcessor):
-    """Remember which types of a run are terminal; emit the run when the last one arrives."""
+def gate_once(markers: DataFrame, expected: int) -> DataFrame:
+    """One row per run when ``expected`` types have reached their last stage (update mode, keyed by run).
 
-    def __init__(self, expected: int):
-        self.expected = expected
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.done = handle.getMapState("done", "type_key string", "seen boolean")
-        self.opened = handle.getValueState("opened", "opened boolean")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = None
-        for batch in rows:
-            for kind, ts in zip(batch["type_key"], batch["ts"]):
-                if not self.done.containsKey((kind,)):
-                    self.done.updateValue((kind,), (True,))
-                    last = ts if last is None else max(last, ts)
-        count = sum(1 for _ in self.done.keys())
-        if count >= self.expected and not self.opened.exists():
-            self.opened.update((True,))
-            yield pd.DataFrame({"run_date": [key[0]], "types": [count], "opened_at": [last]})
-
-    def close(self) -> None:
-        pass
-
-
-def gate_once(markers: DataFrame, expected: int, lateness: str = LATENESS) -> DataFrame:
-    """One row per run when ``expected`` types have reached their last stage.
-
-    Repeats of a marker are dropped by (run, type) before the rows meet under one run, so
-    the task of a run sees one row per type however many lines the run logged.
+    Repeats of a marker are dropped by (run, type), so a run's state is one row per type however many lines
+    it logged, and nothing expires: the answer does not depend on the batches. A type that ends after the gate has
+    opened writes the run's row again, with the new count.
     """
-    first = markers.select("run_date", "type_key", "ts").withWatermark("ts", lateness)
-    unique = first.dropDuplicatesWithinWatermark(["run_date", "type_key"])
-    return unique.groupBy("run_date").transformWithStateInPandas(
-        statefulProcessor=OpenOnce(expected),
-        outputStructType="run_date string, types long, opened_at timestamp",
-        outputMode="Append",
-        timeMode="None",
-    )
+    first = markers.select("run_date", "type_key", "ts").dropDuplicates(["run_date", "type_key"])
+    return first.groupBy("run_date").agg(
+        F.count(F.lit(1)).alias("types"), F.max("ts").alias("opened_at")
+    ).filter(F.col("types") >= expected)
 
 
 class HoldTimer(StatefulProcessor):

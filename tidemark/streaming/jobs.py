@@ -28,8 +28,9 @@ def parquet_source(spark: SparkSession, path: str, max_files: int | None = None)
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    # As a glob, the path may be one file as well as a folder.
-    return reader.parquet(f"{path.rstrip('/')}*")
+    # A stream takes folders only, but a glob may also match one file; this one matches this very name.
+    path = path.rstrip("/")
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def metric_windows(points: DataFrame, period: str = COUNT_PERIOD, lateness: str = LATENESS) -> DataFrame:
@@ -56,7 +57,10 @@ def error_alarms(lines: DataFrame, period: str = ALARM_PERIOD, lateness: str = L
 
 def latency_p99(lines: DataFrame, action: str, period: str = ALARM_PERIOD, lateness: str = LATENESS,
                 accuracy: int = 10000) -> DataFrame:
-    """99th percentile of the duration per window; the sketch keeps state small."""
+    """99th percentile of the duration per window; the sketch keeps state small.
+
+    It is exact up to about ``accuracy`` rows a window; beyond, the rank is off by at most a share of 1 / ``accuracy``.
+    """
     return (
         lines.filter(F.col("action") == action)
         .withWatermark("ts", lateness)
@@ -82,13 +86,22 @@ def recent_counts(lines: DataFrame, length: str = "60 minutes", slide: str = "10
 
 
 def drop_redeliveries(rows: DataFrame, keys: list[str] = ("type_key", "id", "content_hash"),
-                      lateness: str = LATENESS) -> DataFrame:
-    """Deliver each version of an article once, however often it is sent within the lateness."""
+                      lateness: str | None = None) -> DataFrame:
+    """Deliver each version of an article once, whatever the batches are.
+
+    The state holds one key per version, as the hash index does. With ``lateness`` it is dropped after that
+    time, and a version sent again later passes again.
+    """
+    if lateness is None:
+        return rows.dropDuplicates(list(keys))
     return rows.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
 def run_counters(records: DataFrame) -> DataFrame:
-    """Running counts per run and type while the run is on (update or complete mode)."""
+    """Running counts per run and type while the run is on (update or complete mode).
+
+    The state is one row per (run, type), a few dozen a run, and is kept: a late line still counts.
+    """
     n = lambda op: F.count_if(F.col("op") == op)
     return records.groupBy("run_date", "type_key").agg(
         n("new").alias("new"), n("changed").alias("changed"), n("unchanged").alias("unchanged")
