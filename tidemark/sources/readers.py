@@ -60,10 +60,8 @@ def run_manifest(spark: SparkSession, path: str, run_date: str) -> DataFrame:
 def hash_index_file(spark: SparkSession, path: str) -> DataFrame:
     """Import a hash index kept as one JSON object ``{"<type> <id>": hash}``, gzip or plain."""
     doc = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
-    doc.createOrReplaceTempView("_tidemark_hash_doc")
-    pairs = spark.sql(
-        "SELECT e.key AS k, CAST(e.value AS STRING) AS metadata_hash "
-        "FROM _tidemark_hash_doc, LATERAL variant_explode(v) e"
+    pairs = doc.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select(
+        F.col("key").alias("k"), F.col("value").cast("string").alias("metadata_hash")
     )
     parts = F.split("k", " ", 2)
     return pairs.select(
