@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the number of local threads and
-``BENCH_QUERIES`` (optional) a comma list of query names. Each query is warmed up once and
+``BENCH_QUERIES`` (optional) a comma list of query names, or ``all`` for the whole catalogue. Each query is warmed up once and
 then timed; the value of a query is the median of its runs.
 """
 
@@ -33,6 +33,9 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
 
     from tidemark.queries import catalog
+
+    if names == ["all"]:
+        names = list(catalog.QUERIES)
     from tidemark.session import build_session
 
     spark = build_session(

@@ -40,15 +40,19 @@ def reconcile(tracked: DataFrame, live: DataFrame, upstream: DataFrame, now: Col
     return out
 
 
+def fresh_for(store: DataFrame, manifest: DataFrame, live: DataFrame) -> DataFrame:
+    """Live rows that a manifest lists and whose content the store does not have."""
+    keys = manifest.select(*KEY).distinct()
+    listed = live.join(keys, KEY, "left_semi")
+    return listed.join(store.select(*KEY, "content_hash"), [*KEY, "content_hash"], "left_anti")
+
+
 def consume(store: DataFrame, manifest: DataFrame, live: DataFrame) -> DataFrame:
     """A consumer's next store after a batch: listed rows are upserted, equal content is skipped.
 
     The manifest may list a key several times and arrive twice; the result is the same.
     """
-    keys = manifest.select(*KEY).distinct()
-    listed = live.join(keys, KEY, "left_semi")
-    fresh = listed.join(store.select(*KEY, "content_hash"), [*KEY, "content_hash"], "left_anti")
-    return zones.upsert_in_place(store, fresh.select(*store.columns))
+    return zones.upsert_in_place(store, fresh_for(store, manifest, live).select(*store.columns))
 
 
 def backfill(store: DataFrame, manifests: DataFrame, live: DataFrame, run_date) -> DataFrame:

@@ -447,3 +447,21 @@ def stream_classify(spark, sf):
     after = arrivals.index_after(spark, f"{base}/index", f"{base}/staged")
     op = F.when(F.col("op") == "edited", "changed").otherwise(F.col("op"))
     return classify_incoming(after, initial).select(*KEY, "metadata_hash", op.alias("op"))
+
+
+@query("stream_consumer", f"""{S.SNAPSHOTS_SQL}
+SELECT coalesce(c.type_key, p.type_key) AS type_key, coalesce(c.id, p.id) AS id, coalesce(c.content_hash, p.content_hash) AS content_hash
+FROM prior p FULL JOIN current_ c ON c.type_key = p.type_key AND c.id = p.id""")
+def stream_consumer(spark, sf):
+    """A consumer's store after polling four manifests that list the articles read, one per batch."""
+    base = scratch_dir(spark, "consumer")
+    live = S.current(spark, sf).select(*KEY, "content_hash", "doc_id")
+    for i in range(4):
+        live.filter(F.col("doc_id") % 4 == i).select(*KEY).write.mode("append").json(f"{base}/manifests")
+    manifests = jobs.json_source(spark, f"{base}/manifests", "type_key string, id string", 1)
+    start = S.prior(spark, sf).select(*KEY, "content_hash")
+    run = arrivals.consume_epoch(spark, f"{base}/store", lambda: live.drop("doc_id"), start)
+    manifests.writeStream.foreachBatch(run).option("checkpointLocation", f"{base}/checkpoint").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return arrivals.store_after(spark, f"{base}/store")

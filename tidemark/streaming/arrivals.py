@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import KEY
 from tidemark.operators.diff import changed_only, classify_incoming
 from tidemark.operators.ordering import latest_by_key
-from tidemark.plans.tracking import consume
+from tidemark.plans.tracking import fresh_for
 from tidemark.sources.tables import read_snapshot, write_snapshot
 
 
@@ -55,17 +55,27 @@ def classify_epoch(spark: SparkSession, index_path: str, staged_path: str, initi
     return run
 
 
+def store_after(spark: SparkSession, store_path: str, epoch: int | None = None) -> DataFrame:
+    """A consumer's store once ``epoch`` (or the last one) is done: of each key the row written last."""
+    rows = spark.read.parquet(store_path)
+    if epoch is not None:
+        rows = rows.filter(F.col("epoch") <= epoch)
+    last = rows.groupBy(*KEY).agg(F.max("epoch").alias("epoch"))
+    return rows.join(last, [*KEY, "epoch"], "left_semi").drop("epoch")
+
+
 def consume_epoch(spark: SparkSession, store_path: str, live: Callable[[], DataFrame],
                   initial: DataFrame) -> Callable[[DataFrame, int], None]:
     """A polling consumer as a ``foreachBatch`` function over new manifest rows.
 
+    An epoch writes only the rows it upserts; to find them, only keys and hashes of the store are read.
     The stream's checkpoint remembers which manifests were processed. ``live`` is read anew
     for each batch, as it moves between runs.
     """
-    write_snapshot(initial, store_path, "-1")
+    initial.write.mode("overwrite").parquet(f"{store_path}/epoch=-1")
 
     def run(batch: DataFrame, epoch: int) -> None:
-        store = read_snapshot(spark, store_path, str(epoch - 1))
-        write_snapshot(consume(store, batch, live()), store_path, str(epoch))
+        fresh = fresh_for(store_after(spark, store_path, epoch - 1), batch, live())
+        fresh.select(*initial.columns).write.mode("overwrite").parquet(f"{store_path}/epoch={epoch}")
 
     return run
