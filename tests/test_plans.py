@@ -45,6 +45,17 @@ def test_sync(spark):
     assert rows(one.bodies, "id", "outcome") == [("m1", "ok"), ("m2", "raised")]
     assert one.live.filter("id = 'm1'").first().body_chars == len(("word " * 30).strip())
 
+    assert rows(one.report, "type_key", "enriched", "failed", "skipped", "staged") == [("Man", 1, 1, 0, 0)]
+    assert rows(one.errors, "id", "link") == [("m2", "https://d.example/none")]
+
+    # Fetched again: the body that is there stays, the new one waits; m2 had none, so its error is written at once.
+    new_page = spark.createDataFrame([("https://d.example/a/x.html", None, page.replace("word", "news"))], pages.schema)
+    redo = sync(first, types, one.live, one.state, new_page, F.lit("r1b"), at("date"), at("timestamp"), refetch=True)
+    assert rows(redo.pending, "id", "has_body") == [("m1", 1)]
+    assert rows(redo.live, "id", "content_hash") == rows(one.live, "id", "content_hash")
+    assert redo.pending.first().content_hash != one.live.filter("id = 'm1'").first().content_hash
+    assert rows(redo.report, "type_key", "enriched", "failed", "skipped", "staged") == [("Man", 1, 1, 0, 1)]
+
     second = world(spark, ("Manual", doc("m1", "de")), ("Policy", doc("p1", "en")), ("Policy", doc("p2", "fr")))
     two = sync(second, types, one.live, one.state, pages, F.lit("r2"), at("date"), at("timestamp"), full=True)
     assert rows(two.pending, "id") == [("m1",)]  # the edit waits, the live row keeps its body

@@ -128,6 +128,6 @@ def test_bucketed_diff_needs_no_exchange_of_the_table(spark, tmp_path):
 
 
 def test_enrich_report_document(spark):
-    r = spark.createDataFrame([("A", 1, 2, 3, 6)], "type_key string, enriched int, failed int, skipped int, total int")
+    r = spark.createDataFrame([("A", 1, 2, 3, 6, 1)], "type_key string, enriched int, failed int, skipped int, total int, staged int")
     doc = json.loads(exports.enrich_report_document(r, F.lit("now")).first()[0])
-    assert doc == {"generatedAt": "now", "types": [{"type_key": "A", "enriched": 1, "failed": 2, "skipped": 3, "total": 6}]}
+    assert doc == {"generatedAt": "now", "types": [{"type_key": "A", "enriched": 1, "failed": 2, "skipped": 3, "total": 6, "staged": 1}]}

@@ -184,14 +184,24 @@ def merge_bodies(articles: DataFrame, results: DataFrame, fetched_at: Column) ->
     )
 
 
-def enrich_report(results: DataFrame, skipped: DataFrame) -> DataFrame:
-    """Per type: enriched, failed, skipped, total. A returned error counts as failed."""
+def enrich_errors(results: DataFrame) -> DataFrame:
+    """The articles that failed, with where and why."""
+    return results.filter(F.col("body_error").isNotNull()).select(*KEY, F.col("url").alias("link"), F.col("body_error").alias("error"))
+
+
+def enrich_report(results: DataFrame, skipped: DataFrame, staged: DataFrame | None = None) -> DataFrame:
+    """Per type: enriched, failed, skipped, total, and how many results wait in pending (``staged``).
+
+    A returned error counts as failed. A staged row is one of the enriched or failed too.
+    """
     done = results.select("type_key", F.when(F.col("body_error").isNull(), "enriched").otherwise("failed").alias("k"))
     all_rows = done.unionByName(skipped.select("type_key", F.lit("skipped").alias("k")))
+    if staged is not None:
+        all_rows = all_rows.unionByName(staged.select("type_key", F.lit("staged").alias("k")))
     n = lambda k: F.count_if(F.col("k") == k)
     return all_rows.groupBy("type_key").agg(
         n("enriched").alias("enriched"), n("failed").alias("failed"), n("skipped").alias("skipped"),
-        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("k") != "staged").alias("total"), n("staged").alias("staged"),
     )
 
 

@@ -569,14 +569,21 @@ def extract_outcomes(spark, sf):
 @query("enrich_report", f"""
 SELECT 'manual' AS type_key, count(*) FILTER (page_id % 10 NOT IN (3, 5)) AS enriched,
   count(*) FILTER (page_id % 10 IN (3, 5)) AS failed, (SELECT count(*) FROM conversations) AS skipped,
-  count(*) + (SELECT count(*) FROM conversations) AS total FROM pages""")
+  count(*) + (SELECT count(*) FROM conversations) AS total, count(*) FILTER (page_id % 4 = 0) AS staged FROM pages""")
 def enrich_report(spark, sf):
     """Report of a job that stores pages as they are; the conversations stand for articles
-    that already have a body."""
+    that already have a body, every fourth page for one fetched again, whose result waits."""
     landed = _landed(spark, sf).withColumn("body_text", F.col("html")).withColumn("raised", F.lit(None).cast("string"))
     results = bodies.with_outcome(landed, kb_host=KB_HOST)
     skipped = S.load(spark, sf, "conversations").select(F.lit("manual").alias("type_key"))
-    return bodies.enrich_report(results, skipped)
+    return bodies.enrich_report(results, skipped, results.filter(F.col("id").cast("bigint") % 4 == 0))
+
+
+@query("enrich_errors", f"""{EXTRACTED}
+SELECT CAST(page_id AS VARCHAR) AS id, url AS link FROM kinds WHERE outcome <> 'ok'""")
+def enrich_errors(spark, sf):
+    """The pages whose extraction failed; each has a message."""
+    return bodies.enrich_errors(_extracted(spark, sf)).filter("error <> ''").select("id", "link")
 
 
 @query("next_data", r"""

@@ -126,14 +126,14 @@ def run_index_document(spark, sf):
 
 @query("enrich_document", f"""{LINES}
 SELECT type_key, count(*) FILTER (level <> 'ERROR' AND k >= 20) AS enriched, count(*) FILTER (level = 'ERROR' AND k >= 20) AS failed,
-  count(*) FILTER (k < 20) AS skipped, count(*) AS total FROM lines GROUP BY 1""")
+  count(*) FILTER (k < 20) AS skipped, count(*) AS total, 0::BIGINT AS staged FROM lines GROUP BY 1""")
 def enrich_document(spark, sf):
     """The extraction report as written and read back."""
     rows = S.log_lines(spark, sf)
     done = rows.filter("k >= 20").select("type_key", F.when(F.col("level") == "ERROR", "e").alias("body_error"))
     path = scratch_dir(spark, "report")
     exports.write_document(exports.enrich_report_document(bodies.enrich_report(done, rows.filter("k < 20")), F.lit(S.NOW)), path)
-    entry = "struct<type_key string, enriched bigint, failed bigint, skipped bigint, total bigint>"
+    entry = "struct<type_key string, enriched bigint, failed bigint, skipped bigint, total bigint, staged bigint>"
     return spark.read.schema(f"types array<{entry}>").json(path).select(F.inline("types"))
 
 

@@ -66,7 +66,7 @@ def write_document(doc: DataFrame, path: str) -> None:
 
 def enrich_report_document(report: DataFrame, generated: Column) -> DataFrame:
     """The extraction report as one JSON document, one entry per type."""
-    entry = F.struct("type_key", "enriched", "failed", "skipped", "total")
+    entry = F.struct("type_key", "enriched", "failed", "skipped", "total", "staged")
     return report.agg(
         F.to_json(
             F.struct(generated.alias("generatedAt"), F.array_sort(F.collect_list(entry)).alias("types"))
