@@ -38,8 +38,9 @@ def extract_bodies(work: DataFrame, json_hosts: tuple[str, ...] = ()) -> DataFra
         shaped = with_embedded_body(shaped, "_data")
         data = host(F.col("url")).isin(list(json_hosts)) & (F.length("_data") >= pages.MIN_BODY)
         body = F.when(data, F.col("_data")).otherwise(body)
+    # One element exploded: filters and later columns then use the text instead of repeating its expression.
     return shaped.select(
-        *KEY, "url", "final_url", body.alias("body_text"), F.lit(None).cast("map<string,string>").alias("sections"),
+        *KEY, "url", "final_url", F.explode(F.array(body)).alias("body_text"), F.lit(None).cast("map<string,string>").alias("sections"),
         F.when(F.col("html").isNull(), "no page landed").alias("raised"),
     )
 
