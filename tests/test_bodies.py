@@ -72,7 +72,7 @@ def test_outcomes(results):
 def test_report(spark, results):
     skipped = spark.createDataFrame([("Manual",), ("Old",)], "type_key string")
     got = sorted(tuple(r) for r in bodies.enrich_report(results, skipped).collect())
-    assert got == [("Manual", 4, 8, 1, 13), ("Old", 0, 0, 1, 1)]
+    assert got == [("Manual", 4, 8, 1, 13, 0), ("Old", 0, 0, 1, 1, 0)]
 
 
 def test_work_selection_and_merge(spark):
