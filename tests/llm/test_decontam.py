@@ -48,8 +48,9 @@ def corpus(seed):
 
 
 def test_against_edit_distance(spark, monkeypatch):
-    for seed, chunk in ((1, 1 << 19), (2, 900)):
+    for seed, chunk, held in ((1, 1 << 19, 1 << 20), (2, 900, 1 << 20), (3, 1 << 19, 300)):
         monkeypatch.setattr(decontam, "CHUNK", chunk)
+        monkeypatch.setattr(decontam, "ITEM_BYTES", held)
         items, docs = corpus(seed)
         df = spark.createDataFrame([(d, t, 0) for d, t in docs], "doc_id long, text string, found int")
         bench = spark.createDataFrame(items + [(90, None), (91, ""), (92, "short")], "item_id long, text string")
@@ -84,6 +85,40 @@ def test_odd_rows(spark):
     assert decontam.decontaminate(docs.limit(0), bench).count() == 0
 
 
+def test_rounds_and_long_items(spark, monkeypatch):
+    """An item of 300,000 bytes, whole and in part, and equal ids in several rounds."""
+    rng = random.Random(4)
+    long = " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) + str(rng.randrange(1000)) for _ in range(33_000))[:300_000]
+    short = ["the first passage of a benchmark item", "another passage with the very same id"]
+    docs = [(1, "lead " + long + " tail"), (2, short[1] + " | " + short[0]), (3, long[:150_000]), (4, short[1][:-1] + "D"), (5, None), (6, long[:3000])]
+    df = spark.createDataFrame([(d, t, 0, 0) for d, t in docs], "doc_id long, text string, found int, _all int")
+    bench = spark.createDataFrame([(7, short[0]), (7, short[1]), (8, long), (None, "an item that has no id of its own")], "item_id long, text string")
+    for held in (1 << 23, 50):
+        monkeypatch.setattr(decontam, "ITEM_BYTES", held)
+        assert len(list(decontam.indexes(bench))) == (1 if held > 50 else 4)
+        got = {r["doc_id"]: [tuple(f) for f in r["found"]] for r in decontam.matches(df, bench, ["doc_id"]).collect()}
+        first = len(long) // -(-len(long) // decontam.PIECE_BYTES)
+        assert got == {1: [(8, 0, 5, 5 + first)], 2: [(7, 0, 0, len(short[1]))], 3: [(8, 0, 0, first)], 4: [(7, 0, 0, len(short[1]))], 5: [], 6: []}
+        left = decontam.decontaminate(df, bench)
+        assert left.columns == df.columns and sorted(r["doc_id"] for r in left.collect()) == [5, 6]
+
+
+def test_banded_alignment_of_a_middling_item():
+    """Edits in an item of 1,500 bytes: their number equals the plain edit distance within the budget."""
+    rng = random.Random(6)
+    item = "".join(rng.choice("abcdefgh ") for _ in range(1500))
+    text = list(item)
+    for k in (100, 400, 401, 900, 1300):
+        text[k] = "#"
+    del text[700]
+    text.insert(1100, "~")
+    text = "lead " * 50 + "".join(text) + " tail" * 40
+    index = decontam.Index([(1, item.encode())])
+    raw = np.frombuffer(text.encode(), np.uint8)
+    found = list(index.search(raw, np.array([0, len(raw)])))
+    assert found and {f[2] for f in found} == {distance(item, text)} == {7}
+
+
 def test_planted_passages(spark):
     got = catalog.QUERIES["op3_decontaminate"](spark, "/root/testdata/sf0.01").filter("contaminated")
     assert {29, 37, 39, 79, 95, 238, 248, 281, 339, 342} <= {r["doc_id"] for r in got.collect()}

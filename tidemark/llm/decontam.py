@@ -8,26 +8,27 @@ item within the band. Texts and items are compared with A-Z in lower case and wh
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import query, table
+from tidemark.llm.common import query, stored, table
 from tidemark.llm.textbytes import SPACE, overlapping, utf8
 
 GRAM = 14
 EDITS = 0.05  # edit budget as a share of an item's length
+PIECE_BYTES = 8192  # longer items are searched in equal pieces of so many bytes at most, each of which counts for the item
 BAND = 32  # distance of bands; each is wider by the item's budget
 CHUNK = 1 << 19
-ITEM_BYTES = 8 << 20  # items that one index holds; more items are searched block by block
+ITEM_BYTES = 8 << 20  # of items that one index holds (about 30 times as much in memory); more are searched round by round
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 LOWER[SPACE] = 32
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
-SIEVE = 22  # bits of the table that most other q-grams fail at
+SIEVE = 22  # bits, or more for many q-grams, of the table that most other q-grams fail at
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -50,7 +51,7 @@ def budget(size: int) -> int:
 
 
 class Index:
-    """q-grams of a block of items."""
+    """q-grams of the items of a round."""
 
     def __init__(self, items: list[tuple[int, bytes]]) -> None:
         self.ids = [i for i, _ in items]
@@ -61,17 +62,19 @@ class Index:
         hashes = [gram_hashes(t) for t in self.texts]
         every = np.concatenate(hashes)
         order = np.argsort(every, kind="stable")
-        self.item = np.repeat(np.arange(len(items)), [len(h) for h in hashes])[order]
-        self.place = np.concatenate([np.arange(len(h)) for h in hashes])[order]
-        self.grams, self.start, self.count = np.unique(every[order], return_index=True, return_counts=True)
-        self.sieve = np.zeros(1 << SIEVE, bool)
-        self.sieve[(self.grams >> np.uint64(64 - SIEVE)).astype(np.int64)] = True
+        self.item = np.repeat(np.arange(len(items), dtype=np.int32), [len(h) for h in hashes])[order]
+        self.place = np.concatenate([np.arange(len(h), dtype=np.int32) for h in hashes])[order]
+        self.grams, start, count = np.unique(every[order], return_index=True, return_counts=True)
+        self.start, self.count = start.astype(np.int32), count.astype(np.int32)
+        bits = max(SIEVE, len(self.grams).bit_length() + 3)
+        self.sieve, self.shift = np.zeros(1 << bits, bool), np.uint64(64 - bits)
+        self.sieve[(self.grams >> self.shift).astype(np.int64)] = True
         self.reach = int((self.sizes + self.edits).max()) + 1  # a match lies within so many bytes
 
     def candidates(self, data: np.ndarray, begins: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """(piece, item, band) with enough shared q-grams."""
         h = gram_hashes(data)
-        at = np.flatnonzero(self.sieve[(h >> np.uint64(64 - SIEVE)).astype(np.int64)])
+        at = np.flatnonzero(self.sieve[(h >> self.shift).astype(np.int64)])
         at = at[piece[at] == piece[at + GRAM - 1]]
         slot = np.minimum(np.searchsorted(self.grams, h[at]), len(self.grams) - 1)
         hit = self.grams[slot] == h[at]
@@ -107,7 +110,7 @@ class Index:
         found = region.tobytes().find(own.tobytes())
         if found >= 0:
             return 0, low + found, low + found + len(own)
-        width = len(region) + 1
+        width, big = len(region) + 1, len(own) + 1
         steps = np.arange(width)
         cost, origin = np.zeros(width, np.int64), steps.copy()
         edge = first - low
@@ -116,16 +119,20 @@ class Index:
             a, b = max(0, edge + i), min(width, edge + i + BAND + 3 * k + 1)
             if a >= b:
                 return None
-            diagonal = np.full(width, len(own) + 1, np.int64)
-            diagonal[1:] = cost[:-1] + (region != c)
-            down = cost + 1
-            best = np.minimum(diagonal, down)
-            source = np.where(diagonal <= down, np.concatenate(([origin[0]], origin[:-1])), origin)
-            best[:a], best[b:] = len(own) + 1, len(own) + 1
-            slope = np.minimum.accumulate(best - steps)
-            taken = np.maximum.accumulate(np.where(best - steps == slope, steps, 0))
-            cost, origin = slope + steps, source[taken]
-            cost[:a], cost[b:] = len(own) + 1, len(own) + 1
+            best, source = cost[a:b] + 1, origin[a:b].copy()
+            skip = int(a == 0)  # the first column has nothing to its left
+            left = slice(a + skip - 1, b - 1)
+            diagonal = cost[left] + (region[left] != c)
+            closer = diagonal <= best[skip:]
+            best[skip:][closer], source[skip:][closer] = diagonal[closer], origin[left][closer]
+            ahead = best - steps[a:b]
+            slope = np.minimum.accumulate(ahead)
+            taken = np.maximum.accumulate(np.where(ahead == slope, steps[: b - a], 0))
+            cost[a:b], origin[a:b] = slope + steps[a:b], source[taken]
+            if i == 1:
+                cost[:a], cost[b:] = big, big
+            elif a:
+                cost[a - 1] = big
             if cost[a:b].min() > k:
                 return None
         end = int(cost.argmin())
@@ -133,7 +140,7 @@ class Index:
 
     def search(self, raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         """(row, item id, edits, start, end) in bytes of the row's text; an item may be found more than once."""
-        for pieces in overlapping(offsets, CHUNK, GRAM) if self.reach * 2 < CHUNK else []:
+        for pieces in overlapping(offsets, max(CHUNK, 4 * self.reach), GRAM):
             yield from self._search(raw, offsets, pieces)
 
     def _search(self, raw, offsets, pieces):
@@ -142,60 +149,106 @@ class Index:
         lengths = np.array([e - s for s, (_, _, e) in zip(starts, pieces)])
         begins = np.cumsum(lengths) - lengths
         piece = np.repeat(np.arange(len(pieces)), lengths)
+        exact = None
         for p, item, band in self.candidates(data, begins, piece).tolist():
+            if (p, item) == exact:  # bands rise, so no later one holds a better match or an earlier equal one
+                continue
             found = self.verify(data[begins[p] : begins[p] + lengths[p]], item, band)
             if found:
+                exact = exact if found[0] else (p, item)
                 row, shift = pieces[p][0], starts[p] - int(offsets[pieces[p][0]])
                 yield row, self.ids[item], found[0], found[1] + shift, found[2] + shift
 
 
-def indexes(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> list[Index]:
-    """Indexes of blocks of items, ITEM_BYTES at most each. Null items and items shorter than a q-gram take no part."""
-    blocks: list[list[tuple[int, bytes]]] = [[]]
-    size = 0
+def indexes(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Iterator[Index]:
+    """Indexes of ITEM_BYTES of items at most, each made when it is asked for.
+
+    Null items and items shorter than a q-gram take no part. Items longer than PIECE_BYTES come in equal pieces with their id.
+    """
     rows = benchmark.select(F.col(item).alias("i"), F.col(text).cast("binary").alias("t")).filter(F.octet_length("t") >= GRAM)
+    held: list[tuple[int, bytes]] = []
+    size = 0
     for r in rows.orderBy("i", "t").toLocalIterator():
         t = bytes(r["t"])
-        if blocks[-1] and size + len(t) > ITEM_BYTES:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((r["i"], t))
+        if held and size + len(t) > ITEM_BYTES:
+            yield Index(held)
+            held, size = [], 0
+        n = -(-len(t) // PIECE_BYTES)
+        cuts = [len(t) * i // n for i in range(n + 1)]
+        held += [(r["i"], t[a:b]) for a, b in zip(cuts, cuts[1:])]
         size += len(t)
-    return [Index(b) for b in blocks if b]
+    if held:
+        yield Index(held)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of every document and ``found``: array of (item, edits, start, end), the best match of each item, in bytes.
+FOUND = "array<struct<item:long,edits:int,start:long,end:long>>"
 
-    A null text is empty and holds nothing; repeated rows are judged alike; an empty benchmark finds nothing. Of equally good
-    matches of an item the first in the text counts. Items of half CHUNK bytes or more aren't supported and raise.
-    """
-    made = indexes(benchmark)
-    if any(i.reach * 2 >= CHUNK for i in made):
-        raise ValueError("a benchmark item is too long for the chunk size")
-    shared = docs.sparkSession.sparkContext.broadcast(made)
+
+def searched(docs: DataFrame, index: Index, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of every document and ``found``, by the items of one round."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("item", pa.int64()), ("edits", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             raw, offsets = utf8(batch.column(len(keep)))
             best: list[dict] = [{} for _ in range(batch.num_rows)]
-            for index in shared.value:
-                for row, item, edits, start, end in index.search(raw, offsets):
-                    known = best[row].get(item)
-                    if known is None or (edits, start) < known[:2]:
-                        best[row][item] = (edits, start, end)
+            for row, item, edits, start, end in shared.value.search(raw, offsets):
+                known = best[row].get(item)
+                if known is None or (edits, start) < known[:2]:
+                    best[row][item] = (edits, start, end)
             found = [[{"item": i, "edits": e, "start": s, "end": t} for i, (e, s, t) in sorted(b.items())] for b in best]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(found, kind)], [*keep, "found"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(found, kind)], [*keep, "_found"])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes)
-    return docs.select(*[F.col(c).alias(c) for c in keep], F.col("text").alias("_text")).mapInArrow(
-        run, f"{schema}, found array<struct<item:long,edits:int,start:long,end:long>>")
+    return docs.select(*[F.col(c).alias(c) for c in keep], F.col("text").alias("_text")).mapInArrow(run, f"{schema}, _found {FOUND}")
+
+
+def rounds(docs: DataFrame, benchmark: DataFrame, search: Callable[[DataFrame, Index, bool], DataFrame]) -> DataFrame:
+    """``search`` by each index on what the one before gave; it is told whether more follow.
+
+    A usual benchmark is one index, and nothing is written. A larger one is never held whole: what an index gave goes to
+    the shared folder before the next one is made.
+    """
+    last = None
+    for index in indexes(benchmark):
+        if last is not None:
+            docs = stored(search(docs, last, True), "decontam_round")
+        last = index
+    return docs if last is None else search(docs, last, False)
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of every document and ``found``: array of (item, edits, start, end), the best match of each item, in bytes.
+
+    A null text is empty and holds nothing; repeated rows are judged alike; an empty benchmark finds nothing. Of equally good
+    matches of an item the first in the text counts. Items with equal ids are one item. Texts and items may have any length; of an item
+    longer than PIECE_BYTES the best match of one of its pieces is given.
+    """
+    held = [f"_k{i}" for i in range(len(keep))]
+
+    def search(df: DataFrame, index: Index, more: bool) -> DataFrame:
+        got = searched(df, index, [c for c in df.columns if more or c != "text"])
+        if "_all" not in df.columns:
+            return got.withColumnRenamed("_found", "_all")
+        # An item's id may stand in both indexes.
+        both = got.withColumn("_all", F.concat("_all", "_found")).drop("_found")
+        best = F.transform(
+            F.array_distinct(F.transform("_all", lambda f: f["item"])), lambda i: F.array_min(F.filter("_all", lambda f: f["item"].eqNullSafe(i))))
+        return both.withColumn("_all", best)
+
+    out = rounds(docs.select(*[F.col(c).alias(h) for c, h in zip(keep, held)], "text"), benchmark, search)
+    found = F.array_sort("_all") if "_all" in out.columns else F.expr(f"cast(array() as {FOUND})")
+    return out.select(*[F.col(h).alias(c) for c, h in zip(keep, held)], found.alias("found"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns. Nothing is shuffled."""
-    return matches(docs, benchmark, docs.columns).filter(F.size("found") == 0).select(*docs.columns)
+
+    def clean(df: DataFrame, index: Index, more: bool) -> DataFrame:
+        return searched(df, index, docs.columns).filter(F.size("_found") == 0).drop("_found")
+
+    return rounds(docs, benchmark, clean)
 
 
 @query("op3_decontaminate")
