@@ -123,3 +123,57 @@ def test_first_of_each(spark):
     assert out.columns == df.columns
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(want | {500})
     assert simhash.first_of_each(df.limit(0)).count() == 0
+
+
+def shingle_set(text):
+    w = text.lower().split()
+    return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def test_similarities_from_07_to_09(spark):
+    """Copies cut, lengthened and edited to similarities around 0.8: what stays is what brute force over all sets leaves."""
+    rng = random.Random(12)
+    vocab = [f"u{i}" for i in range(3000)]
+    texts = []
+    for g in range(240):
+        w = rng.choices(vocab, k=rng.choice([30, 120, 400]))
+        share = rng.uniform(0.68, 0.92)
+        if g % 3 == 0:
+            v = w[: round(len(w) * share)]
+        elif g % 3 == 1:
+            v = w + rng.choices(vocab, k=round(len(w) * (1 / share - 1)))
+        else:
+            v = list(w)
+            for i in rng.sample(range(len(w)), round(len(w) * (1 - share) / 9)):
+                v[i] = "edit"
+        texts += [" ".join(w), " ".join(v)]
+    texts += [" ".join(["same line again and again"] * 50 + rng.choices(vocab, k=40)) for _ in range(30)]
+    sets = [shingle_set(t) for t in texts]
+    root = list(range(len(texts)))
+    near = []
+    for i in range(len(texts)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            union = len(sets[i]) + len(sets[j]) - shared
+            if shared * 10 >= union * 6:
+                near.append(shared / union)
+            if shared * 5 >= union * 4:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert sum(0.7 <= x < 0.8 for x in near) > 40 and sum(0.8 <= x < 0.9 for x in near) > 40
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    assert sorted(r["doc_id"] for r in simhash.first_of_each(df).collect()) == sorted(set(root))
+
+
+def test_a_group_that_its_smallest_node_does_not_hold_together(spark, monkeypatch):
+    """Texts that each resemble the first one too little, but one another enough; also with crowded bands."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(200)]
+    other = base[:172] + [f"c{i}" for i in range(28)]
+    texts = [base] + [other[:i] + [f"d{i}"] + other[i + 1 :] for i in range(174, 194)]
+    rng.shuffle(texts)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = sorted({texts.index(base), min(i for i, t in enumerate(texts) if t is not base)})
+    for limit in (4096, 5):
+        monkeypatch.setattr(simhash, "HOME_LIMIT", limit)
+        assert sorted(r["doc_id"] for r in simhash.first_of_each(df).collect()) == want

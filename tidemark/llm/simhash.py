@@ -38,10 +38,15 @@ class Block(NamedTuple):
 
 # 4 bits or fewer: thresholds 1, 1 and 0 (2 + 2 + 1 > 4).
 EXACT = [Block(0, 0, True, 7, 1), Block(0, 22, True, 7, 1), Block(0, 44, False, 20, 0)]
-# Five blocks of 18 bits, for fingerprints that are checked by a second one.
-WIDE = [Block(0, 0, True, 3, 1), Block(0, 18, True, 3, 1), Block(0, 36, True, 3, 1), Block(1, 0, True, 3, 1), Block(1, 18, True, 3, 1)]
 NEAR_SHINGLE = 5
-NEAR_BITS = 26  # of 128: shingle sets of Jaccard similarity 0.8 differ in 19 bits, give or take 4; those of 0.7 in 25
+# Near copies share 4 / 5 of their shingles. Of pairs that share just so many, 1 in 65,000 has no band of equal minima:
+# (1 - 0.8^5)^28; of pairs that share half, 6 in 10 have one and are turned down by their sets.
+BANDS, ROWS = 28, 5
+_random = np.random.default_rng(20)
+TIMES, PLUS = (_random.integers(0, 1 << 64, BANDS * ROWS, np.uint64) for _ in range(2))
+TIMES |= np.uint64(1)
+BY_ROW = _random.integers(0, 1 << 64, (BANDS, ROWS), np.uint64) | np.uint64(1)
+BY_BAND = _random.integers(0, 1 << 64, BANDS, np.uint64)
 
 
 def words(text: bytes) -> list[bytes]:
@@ -173,7 +178,36 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def compared(bits: int) -> Callable:
+def smallest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs, that of each node with its smallest partner below it."""
+    a, b = np.maximum(a, b), np.minimum(a, b)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    first = np.concatenate(([True], a[1:] != a[:-1]))
+    return a[first], b[first]
+
+
+def once(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every pair once."""
+    a, b = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
+    return a, b
+
+
+def within(bits: int) -> Callable:
+    """Whether fingerprints (c0, c1) differ by ``bits`` or fewer."""
+
+    def near(c0, c1, d0, d1):
+        return np.bitwise_count(c0 ^ d0).astype(np.int16) + np.bitwise_count(c1 ^ d1) <= bits
+
+    return near
+
+
+def may_share(c0, c1, d0, d1) -> np.ndarray:
+    """Whether sets of c0 and d0 members can have a similarity of 4 / 5, and are not in one group (c1, d1) already."""
+    return (np.minimum(c0, d0) * 5 >= np.maximum(c0, d0) * 4) & (c1 != d1)
+
+
+def compared(alike: Callable, linked: Callable) -> Callable:
     """Compare homes and copies of anchors; rows come sorted by anchor and part, homes first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,10 +234,9 @@ def compared(bits: int) -> Callable:
                 if n.any():
                     row = np.repeat(np.arange(i, j), n)
                     mate = starts[group[row]] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                    off = np.bitwise_count(c0[row] ^ c0[mate]).astype(np.int16) + np.bitwise_count(c1[row] ^ c1[mate])
-                    near = (off <= bits) & (node[row] != node[mate])
+                    near = alike(c0[row], c1[row], c0[mate], c1[mate]) & (node[row] != node[mate])
                     if near.any():
-                        a, b = stars(np.concatenate([a, node[row[near]]]), np.concatenate([b, node[mate[near]]]))
+                        a, b = linked(np.concatenate([a, node[row[near]]]), np.concatenate([b, node[mate[near]]]))
                 i = j
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -214,12 +247,16 @@ def compared(bits: int) -> Callable:
 
 
 def near_links(prints: DataFrame, blocks: list[Block], bits: int) -> DataFrame:
-    """Links (a, b) that connect exactly the nodes that some chain of meeting pairs within ``bits`` connects.
+    """Links (a, b) that connect exactly the nodes that some chain of meeting pairs within ``bits`` connects. ``prints`` has one row per node."""
+    return met(placed(prints, blocks), within(bits), stars)
+
+
+def met(rows: DataFrame, alike: Callable, linked: Callable) -> DataFrame:
+    """What ``linked`` makes of the pairs of a home and a copy of one anchor that are ``alike``.
 
-    ``prints`` has one row per node. Anchors with more than HOME_LIMIT homes are split into parts of homes, and their copies go to all parts.
+    Anchors with more than HOME_LIMIT homes are split into parts of homes, and their copies go to all parts.
     """
-    many = partitions(prints.sparkSession)
-    rows = placed(prints, blocks)
+    many = partitions(rows.sparkSession)
     crowded = stored(
         rows.filter("home").groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > HOME_LIMIT)
         .select("anchor", F.ceil(F.col("n") / HOME_LIMIT).cast("long").alias("parts")), "anchors")
@@ -229,7 +266,7 @@ def near_links(prints: DataFrame, blocks: list[Block], bits: int) -> DataFrame:
     return (
         spread.select("anchor", "part", "node", "c0", "c1", (F.col("home") & (F.col("part") == own)).alias("home"))
         .repartition(many, "anchor", "part").sortWithinPartitions("anchor", "part", F.desc("home"))
-        .mapInArrow(compared(bits), "a long, b long")
+        .mapInArrow(compared(alike, linked), "a long, b long")
     )
 
 
@@ -257,23 +294,90 @@ def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
     return found.join(whole, "print").select("doc_id", "print", "component_id")
 
 
+def bands(members: np.ndarray) -> np.ndarray:
+    """A number for each band of minima of a set of 64-bit hashes; none for an empty set."""
+    if not len(members):
+        return np.zeros(0, np.int64)
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(members), 1 << 11):
+        least = np.minimum(least, (members[at : at + (1 << 11), None] * TIMES + PLUS).min(axis=0))
+    mixed = (least.reshape(BANDS, ROWS) * BY_ROW).sum(axis=1, dtype=np.uint64) + BY_BAND
+    return (mixed ^ mixed >> np.uint64(29)).view(np.int64)
+
+
+def shingle_sets(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """Columns ``keep``, the set of five-word shingles of every whole text as sorted hashes, two hashes of the set, and its bands."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                sets = []
+                for t in part.column(len(keep)).cast(pa.binary()).to_pylist():
+                    own = [xxhash.xxh3_64_intdigest(x) for x in set(shingles(words(t or b""), NEAR_SHINGLE))]
+                    sets.append(np.unique(np.array(own, np.uint64)))
+                keys = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
+                k0, k1 = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2).T
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[: len(keep)], pa.array(k0), pa.array(k1), lists([x.view(np.int64) for x in sets]), lists([bands(x) for x in sets])],
+                    [*keep, "k0", "k1", "members", "bands"])
+
+    schema = ", ".join([*[f"`{c}` {t}" for c, t in docs.select(*keep).dtypes], "k0 long, k1 long, members array<long>, bands array<long>"])
+    return docs.select(*[F.col(c).alias(c) for c in keep], F.col("text").alias("_text")).mapInArrow(made, schema)
+
+
+def lists(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
+
+
+def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets have 4 / 5 of their members in common: i / (x + y - i) >= 4 / 5 if 9 i >= 4 (x + y)."""
+    pairs = stored(pairs.distinct(), "candidates")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    held = stored(sets.join(asked, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    one, two = (held.select(F.col("node").alias(n), F.col("members").alias(f"_{n}")) for n in "ab")
+    both = pairs.join(one, "a").join(two, "b")
+    shared = F.size(F.array_intersect("_a", "_b"))
+    return stored(both.filter(shared * 9 >= (F.size("_a") + F.size("_b")) * 4).select("a", "b"), "similar")
+
+
+def near_groups(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, root) of the nodes that chains of similar pairs connect. ``nodes``: node, size, bands; ``sets``: node, members.
+
+    First each node is checked with the smallest node it meets in each band, so that a large group of near copies makes no pairs.
+    Then every pair that meets and is not in one group yet is checked.
+    """
+
+    def rows(grouped: DataFrame) -> DataFrame:
+        return grouped.select(
+            F.explode("bands").alias("anchor"), "node", F.col("size").cast("long").alias("c0"), F.col("root").alias("c1"), F.lit(True).alias("home"))
+
+    first = similar(met(rows(nodes.withColumn("root", F.col("node"))), may_share, smallest), sets)
+    grouped = nodes.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    second = similar(met(rows(grouped), may_share, once), sets)
+    return components(first.unionByName(second))
+
+
 def first_of_each(docs: DataFrame) -> DataFrame:
     """The documents without near copies: of each group the row with the smallest id stays, and all columns with it.
 
-    Similarity is that of five-word shingles, 0.8 or more, as estimated by a 128-bit SimHash of them. Anchors work on a second
-    SimHash, of the set of words, in which near copies differ by fewer bits. Rows without words are one group. Null ids
-    count as the largest; of rows with one id, one stays by the hash of the whole row.
+    Two documents are near copies if their sets of five-word shingles (64-bit hashes) have a Jaccard similarity of 0.8 or more;
+    chains of near copies are a group. Pairs that meet in a band of minima are compared by their whole sets. Rows without words
+    are one group. Null ids count as the largest; of rows with one id, one stays by the hash of the whole row.
     """
     narrow = docs.select("doc_id", F.xxhash64("text").alias("spot"), "text")
-    kinds = [
-        (16, lambda w: [xxhash.xxh3_128_digest(x) for x in set(w)]),
-        (16, lambda w: [xxhash.xxh3_128_digest(s) for s in shingles(w, NEAR_SHINGLE)]),
-    ]
-    found = stored(digested(narrow, ["doc_id", "spot"], kinds, ["k0", "k1", "c0", "c1"]), "prints")
-    node = F.xxhash64("k0", "k1", "c0", "c1")
-    nodes = found.groupBy("k0", "k1", "c0", "c1").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "spot")).alias("least"))
-    nodes = stored(nodes.withColumn("node", node), "nodes")
-    member = components(near_links(nodes, WIDE, NEAR_BITS))
+    found = stored(shingle_sets(narrow, ["doc_id", "spot"]).withColumn("node", F.xxhash64("k0", "k1")), "shingles")
+    nodes = stored(
+        found.groupBy("node").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "spot")).alias("least"),
+            F.first("bands").alias("bands"), F.first(F.size("members")).alias("size")),
+        "nodes")
+    # Of exact copies, the first one's set stands for all.
+    least = nodes.select("node", F.col("least.doc_id").alias("_id"), F.col("least.spot").alias("_at"))
+    sets = found.join(least.withColumnRenamed("node", "_node"), (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (
+        F.col("spot").eqNullSafe(F.col("_at"))), "left_semi").select("node", "members")
+    member = near_groups(nodes.select("node", "size", "bands"), sets)
     group = nodes.join(member, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("least").alias("least"))
     times = found.groupBy("doc_id", "spot").agg(F.count("*").alias("times"))
     first = group.select(F.col("least.doc_id").alias("_id"), F.col("least.spot").alias("_at"))
@@ -282,9 +386,9 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumn("_spot", F.xxhash64("text"))
     same = keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_spot") == F.col("_at"))
     # Whole texts move once, past a hash of the narrow side. Rows repeated with id and text, mostly none, are cut to one.
-    once = keyed.join(kept.filter("times = 1").hint("shuffle_hash"), same, "left_semi")
+    single = keyed.join(kept.filter("times = 1").hint("shuffle_hash"), same, "left_semi")
     often = keyed.join(stored(kept.filter("times > 1"), "repeated"), same, "left_semi").dropDuplicates(["doc_id", "_spot"])
-    return once.unionByName(often).select(*docs.columns)
+    return single.unionByName(often).select(*docs.columns)
 
 
 @query("op5_simhash")
