@@ -122,3 +122,33 @@ def test_banded_alignment_of_a_middling_item():
 def test_planted_passages(spark):
     got = catalog.QUERIES["op3_decontaminate"](spark, "/root/testdata/sf0.01").filter("contaminated")
     assert {29, 37, 39, 79, 95, 238, 248, 281, 339, 342} <= {r["doc_id"] for r in got.collect()}
+
+
+def test_capitals_of_all_scripts(spark):
+    """Passages in capitals are the passages, and places are those of the text as it stands."""
+    items = [
+        (1, "l'été dernier, la fenêtre fut brisée à côté du château"), (2, "σήμερα ο καιρός είναι καλός και ο ήλιος λάμπει"),
+        (3, "сегодня хорошая погода и солнце светит весь день"), (4, "größere straßen führen über die brücken der stadt"),
+    ]
+    docs = [(i, "ⱥȺK É " + t.upper() + " É") for i, t in items] + [(9, "rien du tout, nichts, ничего"), (10, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items + [(7, "ΑΒΓΔΕ")], "item_id long, text string")
+    got = {r["doc_id"]: [tuple(f) for f in r["found"]] for r in decontam.matches(df, bench, ["doc_id"]).collect()}
+    lead = len("ⱥȺK É ".encode())
+    assert got == {**{i: [(i, 0, lead, lead + len(t.upper().encode()))] for i, t in items}, 9: [], 10: []}
+
+
+def test_not_utf8(spark):
+    """A text with bytes that are no characters is searched with A-Z folded; the other texts of its batch are not touched by it."""
+    item = "exactly the passage of a benchmark, word by word, é"
+    df = spark.createDataFrame([(1, b"\xff\xc3 " + item.encode()), (2, item.upper().encode()), (3, b"\xc3")], "doc_id long, raw binary").coalesce(1)
+    bench = spark.createDataFrame([(5, item)], "item_id long, text string")
+    got = {r["doc_id"]: [tuple(f) for f in r["found"]] for r in decontam.matches(df.selectExpr("doc_id", "cast(raw as string) text"), bench, ["doc_id"]).collect()}
+    assert got == {1: [(5, 0, 3, 3 + len(item.encode()))], 2: [(5, 0, 0, len(item.encode()))], 3: []}
+
+
+def test_passages_in_accented_capitals(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id in (1699, 6420)")
+    bench = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")
+    got = {r["doc_id"]: {f["item"] for f in r["found"]} for r in decontam.matches(docs, bench, ["doc_id"]).collect()}
+    assert 130 in got[1699] and 37 in got[6420]

@@ -3,7 +3,8 @@
 A stretch of text within k edits of a benchmark item of m characters shares at least m - q + 1 - k q of its q-grams, all on
 diagonals (place in the text less place in the item) that lie at most k apart. Shared q-grams are counted in overlapping bands
 of diagonals, so that any k neighbouring ones lie in one band; bands that reach the bound are verified by an alignment of the whole
-item within the band. Texts and items are compared with A-Z in lower case and white space as blanks, byte by byte.
+item within the band. Texts and items are compared byte by byte in lower case (Unicode's, one character for one; ß as ss, final sigma
+as sigma), with white space as blanks.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,39 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def lower(column: pa.Array) -> pa.Array:
+    """Texts in lower case; in one that is not valid UTF-8 only A-Z change."""
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    try:
+        return pc.utf8_lower(column)
+    except pa.ArrowInvalid:
+        made = []
+        for i in range(len(column)):
+            try:
+                made.append(pc.utf8_lower(column[i]).as_buffer().to_pybytes())
+            except pa.ArrowInvalid:
+                made.append(column[i].as_buffer().to_pybytes().lower())
+        return pa.array(made, pa.large_binary()).view(pa.large_string())
+
+
+def folded(raw: np.ndarray) -> np.ndarray:
+    """Bytes of lower-case texts with the small letters alike that have one capital."""
+    out = raw.copy()
+    sharp = np.flatnonzero((raw[:-1] == 0xC3) & (raw[1:] == 0x9F))
+    out[sharp], out[sharp + 1] = 115, 115
+    out[1:][(raw[:-1] == 0xCF) & (raw[1:] == 0x82)] = 0x83
+    return out
+
+
+def places(own: np.ndarray, low: np.ndarray, at: list[int]) -> list[int]:
+    """Places in a text of those in its lower case, whose characters may have other lengths."""
+    a, b = (np.append(np.flatnonzero(x & 0xC0 != 0x80), len(x)) for x in (own, low))
+    if len(own) == len(low) and np.array_equal(a, b):
+        return at
+    n = np.maximum(np.searchsorted(b, at, "right") - 1, 0)
+    return np.minimum(a[n] + np.array(at) - b[n], a[np.minimum(n + 1, len(a) - 1)]).tolist()
+
+
 def budget(size: int) -> int:
     """Edits allowed: the share of the length, but so few that a match must share a q-gram."""
     return min(int(size * EDITS), (size - GRAM) // GRAM)
@@ -165,11 +200,14 @@ def indexes(benchmark: DataFrame, item: str = "item_id", text: str = "text") ->
 
     Null items and items shorter than a q-gram take no part. Items longer than PIECE_BYTES come in equal pieces with their id.
     """
-    rows = benchmark.select(F.col(item).alias("i"), F.col(text).cast("binary").alias("t")).filter(F.octet_length("t") >= GRAM)
+    rows = benchmark.select(F.col(item).alias("i"), F.col(text).cast("binary").alias("t")).filter("t is not null")
     held: list[tuple[int, bytes]] = []
     size = 0
     for r in rows.orderBy("i", "t").toLocalIterator():
-        t = bytes(r["t"])
+        text = pa.array([bytes(r["t"])], pa.large_binary()).view(pa.large_string())
+        t = folded(utf8(lower(text))[0]).tobytes()
+        if len(t) < GRAM:
+            continue
         if held and size + len(t) > ITEM_BYTES:
             yield Index(held)
             held, size = [], 0
@@ -192,8 +230,10 @@ def searched(docs: DataFrame, index: Index, keep: list[str]) -> DataFrame:
         kind = pa.list_(pa.struct([("item", pa.int64()), ("edits", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             raw, offsets = utf8(batch.column(len(keep)))
+            small, cuts = utf8(lower(batch.column(len(keep))))
             best: list[dict] = [{} for _ in range(batch.num_rows)]
-            for row, item, edits, start, end in shared.value.search(raw, offsets):
+            for row, item, edits, start, end in shared.value.search(folded(small), cuts):
+                start, end = places(raw[offsets[row] : offsets[row + 1]], small[cuts[row] : cuts[row + 1]], [start, end])
                 known = best[row].get(item)
                 if known is None or (edits, start) < known[:2]:
                     best[row][item] = (edits, start, end)
