@@ -71,3 +71,28 @@ def test_sanitise(spark):
     assert out[7] is None and out[8] == "no data" and out[21] == "mail 1"
     assert pii.sanitise(frame(spark, [])).count() == 0
     assert pii.find_private(frame(spark, []), ["doc_id"]).count() == 0
+
+
+def test_terms_far_from_their_entity(spark):
+    """A name 300 characters away, in every document of an address, and again at the end, is found; brute force over all words."""
+    far = " ".join(["plain words of a long text"] * 12)
+    rows = [(i, f"Quixley wrote {'abcde'[i] * 3} {far} mail joe@x.org {far} then Quixley left", 1, "x") for i in range(4)]
+    rows += [(10 + i, f"{far} plain mail now {i} wrote then left", 1, "x") for i in range(60)]
+    rows += [(80, "only here bob@y.org with Onceword", 1, "x"), rows[0]]
+    got = {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in pii.find_private(frame(spark, rows).repartition(3), ["doc_id"]).collect()}
+    words = [set(re.findall(r"\w{2,}", r[1].lower())) for r in rows]
+    has = ["joe@x.org" in r[1] for r in rows]
+    n, n_c = len(rows), sum(has)
+    told = set()
+    for t in set().union(*(w for w, h in zip(words, has) if h)) - {"joe", "org"}:
+        n_t, n_ct = sum(t in w for w in words), sum(t in w and h for w, h in zip(words, has))
+        texts = len({r[1] for r, w, h in zip(rows, words, has) if h and t in w})
+        if texts >= pii.MIN_TEXTS and math.log2(n_ct * n / (n_c * n_t)) >= math.log2(n / n_c) / pii.ALPHA:
+            told.add(t)
+    assert "quixley" in told
+    for d, text, *_ in rows[:4]:
+        want = [(m.start(), 4, m.end()) for m in re.finditer(r"\w{2,}", text) if m.group().lower() in told]
+        assert [s for s in got[d] if s[1] == 4] == want and len(want) >= 2
+    assert [s[1] for s in got[80]] == [0] and got[10] == []
+    out = {r["doc_id"]: r["text"] for r in pii.sanitise(frame(spark, rows)).collect()}
+    assert "Quixley" not in out[2] and out[2].count("[NAME]") == 2 and "Onceword" in out[80]

@@ -1,9 +1,9 @@
 """Personal data: patterns, and terms that give protected entities away.
 
-Patterns find emails, addresses, cards and phone numbers; each distinct value is a protected entity. A term that stands
-near an entity may disclose it too: over the whole corpus, the pointwise mutual information of term and entity is set
-against the information of the entity itself, -log2 p(entity). A term whose share of it reaches 1 / ALPHA is sanitised where it
-stands near that entity. Documents without an entity keep their text.
+Patterns find emails, addresses, cards and phone numbers; each distinct value is a protected entity. A term that stands in
+the documents of an entity may disclose it too: over the whole corpus, the pointwise mutual information of term and entity is set
+against the information of the entity itself, -log2 p(entity). A term whose share of it reaches 1 / ALPHA is sanitised wherever it
+stands in documents of that entity. Documents without an entity keep their text.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 TERM = re.compile(r"\w{2,}")
 DIGIT = re.compile(r"[0-9]")
 
-REACH, NEAR = 80, 6  # characters and words on each side of an entity whose words are its context
 ALPHA = 1.1  # the share of an entity's information that a term must disclose is 1 / ALPHA
 MIN_TEXTS = 3  # different texts in which term and entity stand together
 HELD_TERMS = 200_000  # distinct terms a task counts before it passes the counts on
@@ -83,34 +82,26 @@ def signed(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63
 
 
-def context(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """The words near each entity: entity c, term t, place, and whether (c, t) is new in this text."""
-    out, seen = [], set()
-    for start, kind, end in spans:
-        c = signed(f"{kind}:{text[start:end].lower()}")
-        before = [m for m in TERM.finditer(text, max(0, start - REACH), start)][-NEAR:]
-        after = [m for m in TERM.finditer(text, end, end + REACH)][:NEAR]
-        for m in before + after:
-            s, e = m.span()
-            # Not a word cut by the window, nor part of an entity.
-            cut = (s and text[s - 1].isalnum()) or (e < len(text) and text[e].isalnum())
-            if cut or any(a < e and s < b for a, _, b in spans):
-                continue
-            t = signed(m.group().lower())
-            out.append({"c": c, "t": t, "s": s, "e": e, "new": (c, t) not in seen})
-            seen.add((c, t))
-    return out
+def terms(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(term, start, end) of every word of a text that is not part of an entity; spans are sorted by their start."""
+    at, reached = 0, 0
+    for m in TERM.finditer(text):
+        s, e = m.span()
+        while at < len(spans) and spans[at][0] < e:
+            reached = max(reached, spans[at][2])
+            at += 1
+        if s >= reached:
+            yield signed(m.group().lower()), s, e
 
 
 SURVEY = pa.schema([
     ("h1", pa.int64()), ("h2", pa.int64()),
     ("base", pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))),
-    ("near", pa.list_(pa.struct([("c", pa.int64()), ("t", pa.int64()), ("s", pa.int32()), ("e", pa.int32()), ("new", pa.bool_())]))),
-    ("entities", pa.list_(pa.int64())), ("term", pa.int64()), ("texts", pa.int64()),
+    ("entities", pa.list_(pa.int64())), ("words", pa.list_(pa.int64())), ("term", pa.int64()), ("texts", pa.int64()),
 ])
 SURVEY_SQL = (
     "h1 long, h2 long, base array<struct<start:int,kind:int,end:int>>, "
-    "near array<struct<c:long,t:long,s:int,e:int,new:boolean>>, entities array<long>, term long, texts long"
+    "entities array<long>, words array<long>, term long, texts long"
 )
 
 
@@ -121,7 +112,7 @@ def text_key() -> list[Column]:
 
 
 def survey(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """One pass over all texts: a row per document with its base spans and contexts, and rows (term, texts) of term counts."""
+    """One pass over all texts: a row per document with its base spans, its entities and (if it has any) its terms, and rows (term, texts) of term counts."""
 
     def counts(held: Counter, idle: list[pa.Field]) -> pa.RecordBatch:
         n = len(held)
@@ -141,12 +132,12 @@ def survey(docs: DataFrame, keep: list[str]) -> DataFrame:
                 for text in part.column(len(keep)).to_pylist():
                     text = text or ""
                     spans = base_spans(text)
-                    near = context(text, spans) if spans else []
                     rows.append({
-                        "base": [{"start": s, "kind": k, "end": e} for s, k, e in spans], "near": near,
-                        "entities": list({x["c"] for x in near}),
+                        "base": [{"start": s, "kind": k, "end": e} for s, k, e in spans],
+                        "entities": list({signed(f"{k}:{text[s:e].lower()}") for s, k, e in spans}),
+                        "words": list({t for t, _, _ in terms(text, spans)}) if spans else [],
                     })
-                    held.update(set(TERM.findall(text.lower())))
+                    held.update({t.lower() for t in set(TERM.findall(text))})
                 made = pa.Table.from_pylist(rows, pa.schema(list(SURVEY)[2:5])).combine_chunks().to_batches()[0]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[: len(keep)], part.column(len(keep) + 1), part.column(len(keep) + 2), *made.columns,
@@ -164,27 +155,59 @@ def survey(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def disclosing(seen: DataFrame, alpha: float = ALPHA, min_texts: int = MIN_TEXTS) -> DataFrame:
-    """(h1, h2, terms) of the texts that hold terms to be sanitised.
+    """(h1, h2, told) of the texts that hold terms to be sanitised: told is their array.
 
-    PMI(c, t) = log2(n(c, t) N / (n(c) n(t))) is compared with log2(N / n(c)) / alpha; n counts documents. Copies of a text
-    are one text for ``min_texts``, so that copying alone makes nothing disclosing.
+    PMI(c, t) = log2(n(c, t) N / (n(c) n(t))) is compared with log2(N / n(c)) / alpha; n counts whole documents. Copies of a text
+    are one text for ``min_texts``, so that copying alone makes nothing disclosing. An entity of fewer texts has no pair of so many,
+    so pairs are made of the others only.
     """
     rows = seen.filter("h1 is not null")
-    near = rows.select("h1", "h2", F.explode("near").alias("x")).select("h1", "h2", "x.*")
     whole = rows.agg(F.count("*").alias("n"))
+    texts = rows.filter(F.size("entities") > 0).groupBy("h1", "h2").agg(
+        F.count("*").alias("times"), F.first("entities").alias("entities"), F.first("words").alias("words"))
+    texts = stored(texts, "pii_texts")
+    entities = stored(
+        texts.select(F.explode("entities").alias("c"), "times").groupBy("c").agg(F.sum("times").alias("n_c"), F.count("*").alias("texts"))
+        .filter(F.col("texts") >= min_texts).drop("texts"), "pii_entities")
+    of = stored(texts.select("h1", "h2", F.explode("entities").alias("c")).join(entities, "c", "left_semi"), "pii_of")
     pairs = (
-        near.groupBy("c", "t", "h1", "h2").agg(F.sum(F.col("new").cast("long")).alias("n"))
-        .groupBy("c", "t").agg(F.sum("n").alias("n_ct"), F.count("*").alias("texts")).filter(F.col("texts") >= min_texts)
+        of.join(texts.select("h1", "h2", "times", "words"), ["h1", "h2"]).select("c", F.explode("words").alias("t"), "times")
+        .groupBy("c", "t").agg(F.sum("times").alias("n_ct"), F.count("*").alias("texts")).filter(F.col("texts") >= min_texts)
     )
-    entities = rows.select(F.explode("entities").alias("c")).groupBy("c").agg(F.count("*").alias("n_c"))
-    terms = seen.filter("term is not null").groupBy(F.col("term").alias("t")).agg(F.sum("texts").alias("n_t"))
+    counts = seen.filter("term is not null").groupBy(F.col("term").alias("t")).agg(F.sum("texts").alias("n_t"))
     total = F.lit(float(whole.first()["n"]))
     told = F.log2(F.col("n_ct") * total / (F.col("n_c") * F.col("n_t"))) >= F.log2(total / F.col("n_c")) / alpha
-    flagged = stored(pairs.join(entities, "c").join(terms, "t").filter(told).select("c", "t"), "pii_flagged")
-    return (
-        near.join(flagged, ["c", "t"]).groupBy("h1", "h2")
-        .agg(F.collect_set(F.struct(F.col("s").alias("start"), F.lit(4).alias("kind"), F.col("e").alias("end"))).alias("terms"))
-    )
+    flagged = stored(pairs.join(entities, "c").join(counts, "t").filter(told).select("c", "t"), "pii_flagged")
+    # Flagged pairs of an entity meet its texts; each text keeps those of its own terms.
+    own = texts.select("h1", "h2", F.explode("words").alias("t"))
+    asked = of.join(flagged.select("c").distinct(), "c", "left_semi").select("h1", "h2").distinct()
+    held = own.join(asked, ["h1", "h2"], "left_semi").join(of, ["h1", "h2"])
+    return held.join(flagged, ["c", "t"], "left_semi").groupBy("h1", "h2").agg(F.collect_set("t").alias("told"))
+
+
+SPANS = "array<struct<start:int,kind:int,end:int>>"
+
+
+def told_spans(text: str, told: list[int]) -> list[tuple[int, int, int]]:
+    """Places of all occurrences of disclosing terms."""
+    held = set(told)
+    return [(s, 4, e) for t, s, e in terms(text, base_spans(text)) if t in held]
+
+
+def term_spans(docs: DataFrame, added: DataFrame) -> DataFrame:
+    """(h1, h2, terms): the places of disclosing terms in each text that has any, once per text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
+        for batch in batches:
+            found = [
+                [{"start": s, "kind": k, "end": e} for s, k, e in told_spans(t or "", told)]
+                for t, told in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, kind)], ["h1", "h2", "terms"])
+
+    keyed = docs.select(*text_key(), "text").join(added, ["h1", "h2"]).select("h1", "h2", "text", "told")
+    return keyed.mapInArrow(run, f"h1 long, h2 long, terms {SPANS}").dropDuplicates(["h1", "h2"])
 
 
 def find_private(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -193,10 +216,10 @@ def find_private(docs: DataFrame, keep: list[str]) -> DataFrame:
     Places are code points, the end is exclusive. A null text is empty; equal rows give equal results; an empty table gives none.
     """
     seen = survey(docs, keep)
-    added = stored(disclosing(seen), "pii_terms")
+    added = stored(term_spans(docs, stored(disclosing(seen), "pii_told")), "pii_terms")
     return (
         seen.filter("h1 is not null").join(added, ["h1", "h2"], "left")
-        .withColumn("spans", F.array_sort(F.concat("base", F.coalesce("terms", F.expr("cast(array() as array<struct<start:int,kind:int,end:int>>)")))))
+        .withColumn("spans", F.array_sort(F.concat("base", F.coalesce("terms", F.expr(f"cast(array() as {SPANS})")))))
         .select(*keep, "base", "spans")
     )
 
@@ -224,7 +247,7 @@ def sanitised(text: str, terms: list[tuple[int, int, int]]) -> str:
 def sanitise(docs: DataFrame) -> DataFrame:
     """The documents with private spans replaced in ``text``; other columns and rows stay. Null texts stay null."""
     names = docs.columns
-    added = stored(disclosing(survey(docs, [])), "pii_terms")
+    added = stored(disclosing(survey(docs, [])), "pii_told")
     at = names.index("text")
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +255,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
             for i in range(0, batch.num_rows, 1000):
                 part = batch.slice(i, 1000)
                 new = [
-                    None if t is None else sanitised(t, [(x["start"], x["kind"], x["end"]) for x in extra or []])
+                    None if t is None else sanitised(t, told_spans(t, extra) if extra else [])
                     for t, extra in zip(part.column(at).to_pylist(), part.column(len(names)).to_pylist())
                 ]
                 yield pa.RecordBatch.from_arrays(
@@ -240,8 +263,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
     keyed = docs.select("*", *[c.alias(f"_{n}") for c, n in zip(text_key(), ("h1", "h2"))])
-    joined = keyed.join(added.withColumnsRenamed({"h1": "_h1", "h2": "_h2", "terms": "_terms"}), ["_h1", "_h2"], "left")
-    return joined.select(*names, "_terms").mapInArrow(cleaned, schema)
+    joined = keyed.join(added.withColumnsRenamed({"h1": "_h1", "h2": "_h2", "told": "_told"}), ["_h1", "_h2"], "left")
+    return joined.select(*names, "_told").mapInArrow(cleaned, schema)
 
 
 def joined(spans: Column) -> Column:
