@@ -96,3 +96,8 @@ def test_terms_far_from_their_entity(spark):
     assert [s[1] for s in got[80]] == [0] and got[10] == []
     out = {r["doc_id"]: r["text"] for r in pii.sanitise(frame(spark, rows)).collect()}
     assert "Quixley" not in out[2] and out[2].count("[NAME]") == 2 and "Onceword" in out[80]
+
+
+def test_address_with_a_long_run_of_zeros():
+    assert pii.base_spans("0" * 5000 + ".1.1.1") == [(0, 1, 5006)]
+    assert pii.base_spans("0" * 5000 + "256.1.1.1") == []
