@@ -42,6 +42,9 @@ NEAR_SHINGLE = 5
 # Near copies share 4 / 5 of their shingles. Of pairs that share just so many, 1 in 65,000 has no band of equal minima:
 # (1 - 0.8^5)^28; of pairs that share half, 6 in 10 have one and are turned down by their sets.
 BANDS, ROWS = 28, 5
+# Sketches of a pair of similarity 0.8 agree in fewer than 84 of 140 places in fewer than two cases in 10^8.
+AGREE = 84
+MARK_BITS = 26  # size of the table that tells tasks which texts to take: 8 MB
 _random = np.random.default_rng(20)
 TIMES, PLUS = (_random.integers(0, 1 << 64, BANDS * ROWS, np.uint64) for _ in range(2))
 TIMES |= np.uint64(1)
@@ -294,68 +297,118 @@ def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
     return found.join(whole, "print").select("doc_id", "print", "component_id")
 
 
-def bands(members: np.ndarray) -> np.ndarray:
-    """A number for each band of minima of a set of 64-bit hashes; none for an empty set."""
-    if not len(members):
-        return np.zeros(0, np.int64)
+def minima(members: np.ndarray) -> np.ndarray:
+    """The least of every permutation of a set of 64-bit hashes."""
     least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
     for at in range(0, len(members), 1 << 11):
         least = np.minimum(least, (members[at : at + (1 << 11), None] * TIMES + PLUS).min(axis=0))
+    return least
+
+
+def bands(members: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """A number for each band of minima of a set; none for an empty set."""
+    if not len(members):
+        return np.zeros(0, np.int64)
     mixed = (least.reshape(BANDS, ROWS) * BY_ROW).sum(axis=1, dtype=np.uint64) + BY_BAND
     return (mixed ^ mixed >> np.uint64(29)).view(np.int64)
 
 
-def shingle_sets(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep``, the set of five-word shingles of every whole text as sorted hashes, two hashes of the set, and its bands."""
+def set_of(text: bytes | None) -> np.ndarray:
+    """The set of five-word shingles as sorted 64-bit hashes."""
+    return np.unique(np.array([xxhash.xxh3_64_intdigest(x) for x in set(shingles(words(text or b""), NEAR_SHINGLE))], np.uint64))
+
+
+def node_keys(sets: list[np.ndarray]) -> list[pa.Array]:
+    keys = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in sets), np.int64).reshape(-1, 2)
+    return [pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy())]
+
+
+def sketches(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """Columns ``keep``, two hashes of the set of shingles of every whole text, the set's size, its bands, and a byte of each minimum."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                sets = []
-                for t in part.column(len(keep)).cast(pa.binary()).to_pylist():
-                    own = [xxhash.xxh3_64_intdigest(x) for x in set(shingles(words(t or b""), NEAR_SHINGLE))]
-                    sets.append(np.unique(np.array(own, np.uint64)))
-                keys = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
-                k0, k1 = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2).T
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [set_of(t) for t in part.column(len(keep)).cast(pa.binary()).to_pylist()]
+                least = [minima(x) for x in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[: len(keep)], pa.array(k0), pa.array(k1), lists([x.view(np.int64) for x in sets]), lists([bands(x) for x in sets])],
-                    [*keep, "k0", "k1", "members", "bands"])
+                    [*part.columns[: len(keep)], *node_keys(sets), pa.array([len(x) for x in sets]), lists([bands(x, m) for x, m in zip(sets, least)]),
+                     pa.array([m.astype(np.uint8).tobytes() for m in least], pa.binary())],
+                    [*keep, "k0", "k1", "size", "bands", "sketch"])
 
-    schema = ", ".join([*[f"`{c}` {t}" for c, t in docs.select(*keep).dtypes], "k0 long, k1 long, members array<long>, bands array<long>"])
+    schema = ", ".join([*[f"`{c}` {t}" for c, t in docs.select(*keep).dtypes], "k0 long, k1 long, size long, bands array<long>, sketch binary"])
     return docs.select(*[F.col(c).alias(c) for c in keep], F.col("text").alias("_text")).mapInArrow(made, schema)
 
 
+def marks(column: DataFrame) -> np.ndarray:
+    """The longs of a one-column frame as a bit table of fixed size, 2^MARK_BITS bits: however many there are, no more is sent to tasks."""
+    mark = F.col(column.columns[0])
+    spots = column.select(F.pmod(mark, F.lit(1 << MARK_BITS)).alias("spot"))
+    words = spots.groupBy(F.shiftright("spot", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.col("spot"), F.lit(64)).cast("int"))).alias("bits"))
+    table, found = np.zeros(1 << (MARK_BITS - 6), np.int64), words.toArrow()
+    table[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return table.view(np.uint64)
+
+
+def sets_of_marked(docs: DataFrame, table: np.ndarray) -> DataFrame:
+    """(k0, k1, members) of the whole texts whose ``mark`` is in the table. ``docs``: mark, text. A few more texts pass than were marked."""
+    sent = docs.sparkSession.sparkContext.broadcast(table)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spot = batch.column(0).to_numpy() & ((1 << MARK_BITS) - 1)
+            own = np.flatnonzero(sent.value[spot >> 6] >> (spot & 63).astype(np.uint64) & np.uint64(1))
+            for at in range(0, len(own), 64):
+                sets = [set_of(t) for t in batch.column(1).take(pa.array(own[at : at + 64])).cast(pa.binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*node_keys(sets), lists([x.view(np.int64) for x in sets])], ["k0", "k1", "members"])
+
+    return docs.select("mark", "text").mapInArrow(made, "k0 long, k1 long, members array<long>")
+
+
 def lists(rows: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
 
 
-def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets have 4 / 5 of their members in common: i / (x + y - i) >= 4 / 5 if 9 i >= 4 (x + y)."""
-    pairs = stored(pairs.distinct(), "candidates")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    held = stored(sets.join(asked, "node", "left_semi").dropDuplicates(["node"]), "sets")
+def promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b), each once, whose sketches agree in AGREE places or more."""
+
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS) for i in (2, 3))
+            near = pa.array((one == two).sum(axis=1) >= AGREE)
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(near) for i in (0, 1)], ["a", "b"])
+
+    one, two = (nodes.select(F.col("node").alias(n), F.col("sketch").alias(f"_{n}")) for n in "ab")
+    return stored(pairs.distinct().join(one, "a").join(two, "b").select("a", "b", "_a", "_b").mapInArrow(agreeing, "a long, b long"), "promising")
+
+
+def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs whose sets have 4 / 5 of their members in common: i / (x + y - i) >= 4 / 5 if 9 i >= 4 (x + y). Only sets of texts in promising pairs are made."""
+    pairs = promising(pairs, nodes)
+    asked = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "mark")
+    found = sets_of_marked(docs, marks(asked.select("mark"))).withColumn("node", F.xxhash64("k0", "k1"))
+    held = stored(found.join(asked, "node", "left_semi").select("node", "members").dropDuplicates(["node"]), "sets")
     one, two = (held.select(F.col("node").alias(n), F.col("members").alias(f"_{n}")) for n in "ab")
     both = pairs.join(one, "a").join(two, "b")
     shared = F.size(F.array_intersect("_a", "_b"))
     return stored(both.filter(shared * 9 >= (F.size("_a") + F.size("_b")) * 4).select("a", "b"), "similar")
 
 
-def near_groups(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, root) of the nodes that chains of similar pairs connect. ``nodes``: node, size, bands; ``sets``: node, members.
+def near_groups(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, root) of the nodes that chains of similar pairs connect. ``nodes``: node, size, bands, sketch, mark; ``docs``: mark, text.
 
     First each node is checked with the smallest node it meets in each band, so that a large group of near copies makes no pairs.
     Then every pair that meets and is not in one group yet is checked.
     """
 
     def rows(grouped: DataFrame) -> DataFrame:
-        return grouped.select(
-            F.explode("bands").alias("anchor"), "node", F.col("size").cast("long").alias("c0"), F.col("root").alias("c1"), F.lit(True).alias("home"))
+        return grouped.select(F.explode("bands").alias("anchor"), "node", F.col("size").alias("c0"), F.col("root").alias("c1"), F.lit(True).alias("home"))
 
-    first = similar(met(rows(nodes.withColumn("root", F.col("node"))), may_share, smallest), sets)
+    first = similar(met(rows(nodes.withColumn("root", F.col("node"))), may_share, smallest), nodes, docs)
     grouped = nodes.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    second = similar(met(rows(grouped), may_share, once), sets)
+    second = similar(met(rows(grouped), may_share, once), nodes, docs)
     return components(first.unionByName(second))
 
 
@@ -363,21 +416,19 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     """The documents without near copies: of each group the row with the smallest id stays, and all columns with it.
 
     Two documents are near copies if their sets of five-word shingles (64-bit hashes) have a Jaccard similarity of 0.8 or more;
-    chains of near copies are a group. Pairs that meet in a band of minima are compared by their whole sets. Rows without words
-    are one group. Null ids count as the largest; of rows with one id, one stays by the hash of the whole row.
+    chains of near copies are a group. Pairs that meet in a band of minima and whose sketches agree are compared by their whole sets. Rows
+    without words are one group. Null ids count as the largest; of rows with one id, one stays by the hash of the whole row.
     """
     narrow = docs.select("doc_id", F.xxhash64("text").alias("spot"), "text")
-    found = stored(shingle_sets(narrow, ["doc_id", "spot"]).withColumn("node", F.xxhash64("k0", "k1")), "shingles")
+    found = stored(sketches(narrow, ["doc_id", "spot"]).withColumn("node", F.xxhash64("k0", "k1")), "sketches")
     nodes = stored(
         found.groupBy("node").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "spot")).alias("least"),
-            F.first("bands").alias("bands"), F.first(F.size("members")).alias("size")),
+            F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("size").alias("size"))
+        # Of exact copies, the first one's set stands for all.
+        .withColumn("mark", F.xxhash64("least.doc_id", "least.spot")),
         "nodes")
-    # Of exact copies, the first one's set stands for all.
-    least = nodes.select("node", F.col("least.doc_id").alias("_id"), F.col("least.spot").alias("_at"))
-    sets = found.join(least.withColumnRenamed("node", "_node"), (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (
-        F.col("spot").eqNullSafe(F.col("_at"))), "left_semi").select("node", "members")
-    member = near_groups(nodes.select("node", "size", "bands"), sets)
+    member = near_groups(nodes, narrow.select(F.xxhash64("doc_id", "spot").alias("mark"), "text"))
     group = nodes.join(member, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("least").alias("least"))
     times = found.groupBy("doc_id", "spot").agg(F.count("*").alias("times"))
     first = group.select(F.col("least.doc_id").alias("_id"), F.col("least.spot").alias("_at"))
