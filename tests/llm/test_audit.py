@@ -71,8 +71,10 @@ def test_matrix_counts_every_word(spark, monkeypatch):
         names[r["block"]] = [bytes(t) for t in r["terms"]]
     seen = []
     for r in made.collect():
-        for name, number in zip(names[r["block"]], r["ids"] or []):
-            assert words.setdefault(name, number) == number
+        own = {p: i for x in r["ids"] or [] for p, i in zip(x["places"], x["ids"])}
+        assert sorted(own) == list(range(len(names[r["block"]])))
+        for place, number in own.items():
+            assert words.setdefault(names[r["block"]][place], number) == number
     assert len(set(words.values())) == len(words)
     for r in audit.matrix(frame(spark)).collect():
         for i, doc_id in enumerate(r["doc_id"]):

@@ -1,7 +1,7 @@
 """Interaction audit of quality filters over a sparse document-term matrix.
 
 Texts are tokenised in blocks of some megabytes; a block numbers its own words and is stored as compressed sparse rows: row starts, local word numbers and
-counts. The different words of all blocks make the global dictionary, and each block's words are looked up in it once, not once per occurrence.
+counts. The words of all blocks meet, sorted, and are numbered: that is the global dictionary, in which a block's word is looked up once, not once per occurrence.
 With global word numbers, in sorted rows without repeats, a block is a shard of the matrix. A row's sum is the document's words, its number of entries
 the different words. The other filters' verdicts are attached, and documents are counted by the set of filters they fail; everything an
 order of filters does follows from those at most 32 counts per part.
@@ -15,14 +15,15 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import query, stored, table
+from tidemark.llm.common import partitions, query, stored, table
 
 LEAST_WORDS, DISTINCT_PERCENT, UPPER_PERCENT, SYMBOLS = 200, 50, 2, b"#$%&*|"
-BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 16  # a block ends with the text that reaches either
+BLOCK_BYTES, BLOCK_DOCS = 32 << 20, 1 << 16  # a block ends with the text that reaches either
 LETTERS = "ABCDE"
 BITS = {f: 1 << i for i, f in enumerate(LETTERS)}
 ORDERS = ["".join(p) for p in permutations(LETTERS)]
@@ -30,12 +31,23 @@ ORDERS = ["".join(p) for p in permutations(LETTERS)]
 UPPER = bytes(range(65, 91))
 INNER = bytes(range(0x80, 0xC0))  # bytes that continue a character
 
+GATHERED = 1 << 20  # looked-up words that a task holds before it sorts them by block
+
 ROWS = "doc_id array<long>, source array<string>, key array<binary>, upper array<long>, points array<long>, symbol array<boolean>"
-SHARD = f"block long, {ROWS}, starts array<int>, places array<int>, counts array<int>"
+SHARD = f"block long, {ROWS}, starts array<int>, places binary, counts binary"
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Small numbers byte by byte, all lowest bytes first, so that the zeros of the high bytes compress."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
 class Block:
-    """Documents with their words as compressed sparse rows over the block's own word numbers."""
+    """Documents with their words as compressed sparse rows over the block's own word numbers; a row's numbers rise, and their differences are kept."""
 
     def __init__(self):
         self.book: defaultdict[bytes, int] = defaultdict()
@@ -46,7 +58,7 @@ class Block:
     def add(self, doc_id: int | None, source: str | None, key: bytes, text: bytes) -> None:
         found = text.split()  # cuts at x20 and x09 to x0D
         place, count = np.unique(np.fromiter(map(self.book.__getitem__, found), np.int32, len(found)), return_counts=True)
-        self.places.append(place)
+        self.places.append(np.diff(place, prepend=0))
         self.counts.append(count.astype(np.int32))
         self.starts.append(self.starts[-1] + len(place))
         upper, points = (len(text) - len(text.translate(None, own)) for own in (UPPER, INNER))
@@ -57,11 +69,11 @@ class Block:
     def batch(self, number: int) -> pa.RecordBatch:
         kinds = [pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.bool_()]
         columns = [pa.array([list(c)], pa.list_(k)) for c, k in zip(zip(*self.rows), kinds)]
-        arrays = [np.array(self.starts, np.int32), np.concatenate(self.places), np.concatenate(self.counts)]
-        lists = [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), pa.array(a)) for a in arrays]
+        starts = pa.array([np.array(self.starts, np.int32)], pa.list_(pa.int32()))
+        packed = [pa.array([planes(np.concatenate(x))], pa.binary()) for x in (self.places, self.counts)]
         terms = pa.array([list(self.book)], pa.list_(pa.binary()))
         return pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()), *columns, *lists, terms],
+            [pa.array([number], pa.int64()), *columns, starts, *packed, terms],
             ["block", "doc_id", "source", "key", "upper", "points", "symbol", "starts", "places", "counts", "terms"])
 
 
@@ -85,15 +97,43 @@ def blocks(docs: DataFrame) -> DataFrame:
     return stored(rows.mapInArrow(made, f"{SHARD}, terms array<binary>"), "blocks")
 
 
+def looked_up(terms: DataFrame) -> DataFrame:
+    """(block, places, ids): the global numbers of words. ``terms`` (block, place, term), a word's rows together and sorted; nothing is gathered but numbers."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, last, held, size = TaskContext.get().partitionId() << 40, None, [], 0
+
+        def by_block() -> pa.RecordBatch:
+            block, place, number = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(block, kind="stable")
+            names, starts = np.unique(block[order], return_index=True)
+            ends = pa.array(np.append(starts, len(block)).astype(np.int32))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names), *[pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in (place, number)]], ["block", "places", "ids"])
+
+        for batch in batches:
+            if batch.num_rows:
+                term = batch.column(2)
+                new = np.concatenate(([term[0].as_py() != last], pc.not_equal(term.slice(1), term.slice(0, len(term) - 1)).to_numpy(zero_copy_only=False)))
+                number = at + np.cumsum(new)
+                held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), number))
+                at, last, size = int(number[-1]), term[len(term) - 1].as_py(), size + len(term)
+                if size >= GATHERED:
+                    yield by_block()
+                    held, size = [], 0
+        if held:
+            yield by_block()
+
+    return terms.repartition(partitions(terms.sparkSession), "term").sortWithinPartitions("term").mapInArrow(made, "block long, places array<int>, ids array<long>")
+
+
 def numbered_blocks(made: DataFrame) -> DataFrame:
-    """The blocks with ``ids``, the global number of each of their words. Numbers are unique over all texts, not dense.
+    """The blocks with ``ids``, the global numbers of their words in lists of (places, ids). Numbers are unique over all texts, not dense.
 
-    A word is one row per block here, so even one in every document is as many rows as there are blocks, and AQE may split its join.
+    A word is one row per block here, so one in every document is as many rows as there are blocks.
     """
-    terms = made.select("block", F.posexplode("terms").alias("place", "term"))
-    dictionary = stored(terms.select("term").distinct().withColumn("id", F.monotonically_increasing_id()), "dictionary")
-    ids = terms.join(dictionary, "term").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("place", "id"))).alias("ids"))
-    return made.drop("terms").join(ids.select("block", F.col("ids.id").alias("ids")), "block", "left")
+    ids = looked_up(made.select("block", F.posexplode("terms").alias("place", "term")))
+    return made.drop("terms").join(ids.groupBy("block").agg(F.collect_list(F.struct("places", "ids")).alias("ids")), "block", "left")
 
 
 def canonical(starts: np.ndarray, columns: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,9 +149,23 @@ def canonical(starts: np.ndarray, columns: np.ndarray, counts: np.ndarray) -> tu
 def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, np.ndarray, np.ndarray]]:
     for batch in batches:
         for i in range(batch.num_rows):
-            starts, places, counts, ids = (batch.column(n)[i].values for n in ("starts", "places", "counts", "ids"))
-            ids = np.zeros(0, np.int64) if ids is None else ids.to_numpy()
-            yield batch, i, *canonical(starts.to_numpy(), ids[places.to_numpy()], counts.to_numpy())
+            starts = batch.column("starts")[i].values.to_numpy()
+            places, counts = (from_planes(batch.column(n)[i].as_py()).astype(np.int64) for n in ("places", "counts"))
+            columns = np.cumsum(places)
+            # A row's differences begin with its first number: take off what the rows before it add up to.
+            before = np.concatenate(([0], columns))[starts[:-1]]
+            columns -= np.repeat(before, np.diff(starts))
+            yield batch, i, *canonical(starts, global_numbers(batch.column("ids")[i])[columns], counts)
+
+
+def global_numbers(found: pa.Scalar) -> np.ndarray:
+    """The global number of each local word, from (places, ids) in any order."""
+    if found.values is None or not len(found.values):
+        return np.zeros(0, np.int64)
+    place, number = (found.values.field(n).flatten().to_numpy() for n in ("places", "ids"))
+    out = np.zeros(len(place), np.int64)
+    out[place] = number
+    return out
 
 
 def matrix(docs: DataFrame) -> DataFrame:
