@@ -86,7 +86,7 @@ def test_odd_rows(spark):
 
 
 def test_rounds_and_long_items(spark, monkeypatch):
-    """An item of 300,000 bytes, whole and in part, and equal ids in several rounds."""
+    """An item of 300,000 bytes, whole and in part (which does not count, whatever the length), and equal ids in several rounds."""
     rng = random.Random(4)
     long = " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) + str(rng.randrange(1000)) for _ in range(33_000))[:300_000]
     short = ["the first passage of a benchmark item", "another passage with the very same id"]
@@ -96,11 +96,11 @@ def test_rounds_and_long_items(spark, monkeypatch):
     for held in (1 << 23, 50):
         monkeypatch.setattr(decontam, "ITEM_BYTES", held)
         assert len(list(decontam.indexes(bench))) == (1 if held > 50 else 4)
+        whole = (8, 0, 5, 5 + len(long))
         got = {r["doc_id"]: [tuple(f) for f in r["found"]] for r in decontam.matches(df, bench, ["doc_id"]).collect()}
-        first = len(long) // -(-len(long) // decontam.PIECE_BYTES)
-        assert got == {1: [(8, 0, 5, 5 + first)], 2: [(7, 0, 0, len(short[1]))], 3: [(8, 0, 0, first)], 4: [(7, 0, 0, len(short[1]))], 5: [], 6: []}
+        assert got == {1: [whole], 2: [(7, 0, 0, len(short[1]))], 3: [], 4: [(7, 0, 0, len(short[1]))], 5: [], 6: []}
         left = decontam.decontaminate(df, bench)
-        assert left.columns == df.columns and sorted(r["doc_id"] for r in left.collect()) == [5, 6]
+        assert left.columns == df.columns and sorted(r["doc_id"] for r in left.collect()) == [3, 5, 6]
 
 
 def test_banded_alignment_of_a_middling_item():
@@ -152,3 +152,56 @@ def test_passages_in_accented_capitals(spark):
     bench = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")
     got = {r["doc_id"]: {f["item"] for f in r["found"]} for r in decontam.matches(docs, bench, ["doc_id"]).collect()}
     assert 130 in got[1699] and 37 in got[6420]
+
+
+def search(items, text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return sorted(decontam.Index.of(decontam.Index(items).arrays()).search(raw, np.array([0, len(raw)])))
+
+
+def test_one_rule_for_every_length():
+    """Whole items within 5 % edits count, halves do not, at lengths about a former limit and far beyond."""
+    rng = random.Random(7)
+    for size in (14, 100, 1500, 8191, 8192, 8193, 300_000):
+        item = "".join(rng.choice("abcdefghijklmnop ") for _ in range(size))
+        few = decontam.budget(size) * 2 // 3
+        text = list(item)
+        for k in rng.sample(range(size), min(few, 200)):
+            text[k] = rng.choice(["#", "", text[k] + "~"])
+        edited = "lead " + "".join(text) + " tail"
+        assert search([(1, item.encode())], "lead " + item + " tail") == [(0, 1, 0, 5, 5 + size)]
+        found = search([(1, item.encode())], edited)
+        assert found and all(f[2] <= decontam.budget(size) for f in found), size
+        if size <= 1500:
+            assert min(f[2] for f in found) == distance(item, edited)
+        assert search([(1, item.encode())], item[: size // 2] + " tail") == []
+        many = list(item)
+        for k in rng.sample(range(size), size // 9 + 1):
+            many[k] = "#"
+        assert size > 20_000 or search([(1, item.encode())], "".join(many)) == []
+
+
+def test_items_shorter_than_a_gram():
+    items = [(1, b"word by word!"), (2, b"cat"), (3, b"\xc3\xa9t\xc3\xa9"), (4, b"?"), (5, b"a passage longer than a gram")]
+    text = "Cat, concatenate été étéx word  by word! word by word! a passage longer than a gram"
+    plain = text.lower().encode().decode()
+    at = {k: len(plain[: plain.index(v)].encode()) for k, v in ((3, "été "), (1, "word by word!"), (5, "a passage"))}
+    assert search(items, text) == sorted([
+        (0, 2, 0, 0, 3), (0, 3, 0, at[3], at[3] + 5), (0, 1, 0, at[1], at[1] + 13), (0, 5, 0, at[5], at[5] + 28)])
+    assert search([(2, b"cat")], "concatenate") == [] and search([(2, b"cat")], "a") == []
+
+
+def test_short_items_at_the_borders_of_pieces(monkeypatch):
+    monkeypatch.setattr(decontam, "CHUNK", 64)
+    text = "concat cat " * 60
+    found = {(f[3], f[4]) for f in search([(2, b"cat")], text)}
+    assert found == {(i * 11 + 7, i * 11 + 10) for i in range(60)}
+
+
+def test_an_index_travels_as_plain_arrays():
+    import pickle
+    import pickletools
+
+    made = pickle.dumps(decontam.Index([(1, b"a passage longer than a gram"), (2, b"cat")]).arrays())
+    names = {str(arg) for _, arg, _ in pickletools.genops(made) if isinstance(arg, str)}
+    assert not any("tidemark" in n for n in names)
