@@ -10,9 +10,9 @@ from tidemark.operators.ordering import latest_by_key, newest, numbered, page
 from tidemark.operators import reads
 from tidemark.plans import daily, tracking
 from tidemark.queries import scenario as S
-from tidemark.queries.registry import query
-from tidemark.session import cut_lineage
-from tidemark.sources import exports
+from tidemark.queries.registry import ORACLE, query
+from tidemark.session import cut_lineage, scratch_dir
+from tidemark.sources import buckets, exports
 
 RUN = "2024-01-31"
 
@@ -108,6 +108,17 @@ def promote_live(spark, sf):
     return _approved(spark, sf).live.select(*KEY, "metadata_hash", "content_hash")
 
 
+@query("bucket_promote", ORACLE["promote_live"])
+def bucket_promote(spark, sf):
+    """The same promotion on a bucketed live table: buckets without a promoted row are not rewritten."""
+    cols, path = [*KEY, "metadata_hash", "content_hash"], scratch_dir(spark, "live")
+    live, pending = S.run_tables(spark, sf)
+    buckets.create(live.select(*cols), path, "base")
+    safe = _approved(spark, sf).approved.select(*KEY)
+    buckets.upsert(path, "base", RUN, pending.select(*cols).join(safe, KEY, "left_semi"))
+    return buckets.read(live.select(*cols), path, RUN).select(*cols)
+
+
 @query("archive_displaced", S.GATED_SQL + """
 SELECT p.type_key, p.id, p.metadata_hash, p.content_hash FROM prior p JOIN gated g
   ON g.type_key = p.type_key AND g.id = p.id WHERE g.action = 'promoted'""")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import canon, hierarchy, pages, text, urls
-from tidemark.operators import KEY, bodies, diff, ingest, profile, reads, review, runs
+from tidemark.operators import KEY, bodies, diff, ingest, profile, reads, review, runs, textindex
 from tidemark.operators.ordering import newest, page, page_info, top_per_group
 from tidemark.queries import scenario as S
-from tidemark.queries.registry import query
+from tidemark.queries.registry import ORACLE, query
+from tidemark.session import scratch_dir
 from tidemark.sources import exports
 
 B = S.BASE_MS
@@ -403,10 +404,21 @@ def find_article(spark, sf):
     return reads.locate(S.prior(spark, sf), S.staged(spark, sf))
 
 
-@query("body_term_search", f"""{S.SNAPSHOTS_SQL}
-SELECT type_key, id FROM current_ WHERE contains(lower(body_text), 'license')""")
+@query("body_term_search", """
+SELECT source AS type_key, 'D' || doc_id AS id FROM documents WHERE contains(lower(text), 'license')""")
 def body_term_search(spark, sf):
-    return reads.search_bodies(S.current(spark, sf), "License").select(*KEY)
+    """Over all documents and their whole texts."""
+    d = S.load(spark, sf, "documents").select(F.col("source").alias("type_key"), F.concat(F.lit("D"), F.col("doc_id")).alias("id"), F.col("text").alias("body_text"))
+    return reads.search_bodies(d, "License").select(*KEY)
+
+
+@query("indexed_term_search", ORACLE["body_term_search"])
+def indexed_term_search(spark, sf):
+    """The same through a skip index of the documents' files."""
+    d, path = S.load(spark, sf, "documents"), scratch_dir(spark, "trigrams")
+    textindex.write(textindex.build(d, F.col("text")), path)
+    found = textindex.search(d, spark.read.parquet(path), F.col("text"), "License")
+    return found.select(F.col("source").alias("type_key"), F.concat(F.lit("D"), F.col("doc_id")).alias("id"))
 
 
 @query("corpus_counts", """

@@ -8,7 +8,9 @@ from tidemark.operators import KEY, diff, ingest, reads, runs, zones
 from tidemark.operators.ordering import latest_by_key
 from tidemark.plans import tracking
 from tidemark.queries import scenario as S
-from tidemark.queries.registry import query
+from tidemark.queries.registry import ORACLE, query
+from tidemark.session import scratch_dir
+from tidemark.sources import buckets
 
 R1, R2, R3 = "2024-01-01", "2024-01-02", "2024-01-03"
 
@@ -65,6 +67,38 @@ def snapshot_diff_rows(spark, sf):
     )
 
 
+COMPARED = [c for _, c in diff.DIFF_COLUMNS]
+
+
+def _two_commits(spark, sf):
+    """Tracked and current snapshot as commits of one bucketed table, digests only."""
+    path = scratch_dir(spark, "state")
+    tracked, current = _tracked(spark, sf).drop("body_text"), S.current(spark, sf).drop("body_text")
+    buckets.create(tracked, path, R1, COMPARED)
+    buckets.create(current, path, R2, COMPARED)
+    return path, tracked, current
+
+
+@query("tree_diff_rows", ORACLE["snapshot_diff_rows"])
+def tree_diff_rows(spark, sf):
+    """The same rows from the hash trees: both sides are read and joined where digests differ; of the rest the tracked side is listed."""
+    path, tracked, current = _two_commits(spark, sf)
+    delta, marked = buckets.tree_diff(tracked, current, path, R1, R2, F.lit(R2))
+    rest = buckets.pointers(spark, path, R1).select("bucket", "type_key").join(marked, ["bucket", "type_key"], "left_anti")
+    stamps = ["first_seen_run", "last_seen_run", "last_changed_run", "first_removed_run"]
+    same = buckets.read(tracked, path, R1, rest).withColumn("last_seen_run", F.lit(R2)).select(
+        *KEY, F.lit("unchanged").alias("change_type"), F.lit("").alias("reasons"), *stamps)
+    return delta.select(*KEY, "change_type", F.array_join("reasons", ",").alias("reasons"), *stamps).unionByName(same)
+
+
+@query("tree_diff_summary", ORACLE["snapshot_diff_summary"])
+def tree_diff_summary(spark, sf):
+    """The counts from the hash trees: rows where digests agree are counted without being read."""
+    path, tracked, current = _two_commits(spark, sf)
+    delta, marked = buckets.tree_diff(tracked, current, path, R1, R2, F.lit(R2))
+    return buckets.tree_summary(delta, marked, path, R2)
+
+
 @query("track_run_totals", DIFF_SQL + """
 SELECT count(DISTINCT type_key) AS types, count(*) FILTER (change_type <> 'removed') AS scanned,
   count(*) FILTER (change_type = 'new') AS new, count(*) FILTER (change_type = 'changed') AS changed,
@@ -201,6 +235,18 @@ def consumer_upsert(spark, sf):
     return tracking.consume(store, manifest.unionByName(manifest), live)
 
 
+@query("bucket_upsert", ORACLE["consumer_upsert"])
+def bucket_upsert(spark, sf):
+    """A consumer's store as a bucketed table; the batch arrives twice, and the second commit touches nothing."""
+    cols, path = [*KEY, "content_hash", "lang"], scratch_dir(spark, "store")
+    store, live, manifest = S.prior(spark, sf).select(*cols), S.current(spark, sf).select(*cols), S.staged(spark, sf).select(*KEY)
+    buckets.create(store, path, R1)
+    for base, commit in ((R1, R2), (R2, R3)):
+        held = buckets.read(store, path, base).drop("bucket")
+        buckets.upsert(path, base, commit, tracking.fresh_for(held, manifest, live).select(*cols))
+    return buckets.read(store, path, R3).select(*cols)
+
+
 @query("backfill_replay", f"""{S.SNAPSHOTS_SQL}, {S.STAGED_SQL},
 picked AS (SELECT * FROM staged WHERE has_body = 1)
 SELECT type_key, count(*) AS n, count(*) FILTER (replayed) AS replayed FROM (
