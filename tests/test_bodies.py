@@ -26,6 +26,58 @@ def test_article_text(one):
     assert one(pages.article_text(F.lit(deep))) == "deep x"
 
 
+def test_nested_elements_of_hidden_and_dropped_ones(one):
+    text = pages.page_text
+    assert text('<div style="display:none"><div>a</div>SECRET</div><p>ok text</p>') == "ok text"
+    assert text("<nav>a<nav>b</nav>c</nav>d<aside><form>e</form>f<aside>g</aside>h</aside>i") == "di"
+    assert text("<section STYLE='x; Display : none'>a<div>b</section>c</div>d") == "c\n\nd"
+    assert text("<p style='display:none'>a<p>b</p>c") == "b\n\nc"
+    assert text("<header>a<nav>b</header>c</nav>d") == "d"
+    assert one(pages.article_text(F.lit("<nav><nav>x</nav>y</nav>z"))) == "z"
+
+
+def test_what_is_never_closed_stays():
+    text = pages.page_text
+    assert text("<nav>a<p>b") == "a\n\nb" and text("a<!-- b <i>c</i>") == "a<!-- b c".replace("<!-- b ", "")
+    assert text("a<script>b</p>c") == "ab\n\nc" and text("a < b") == "a < b" and text("a<b") == "a<b"
+    assert text("</nav>a</div>b<main>c") == "a\n\nbc" and text("") == ""
+    assert text("<!-- <nav> -->a<script>'<nav>'</script>b</nav>c") == "abc"
+
+
+def test_regions():
+    text = pages.page_text
+    assert text("x<article>a</article>y<main>b</main>z<main>c</main>w") == "bzc"
+    assert text("x<main></main><article>a</article>y") == "a" and text("<main><nav>n</nav></main><body>b</body>") == "b"
+    assert text("<nav><main>n</main></nav><body>b<main>m</main></body>") == "m" and text("a</main>b<main>c") == "abc"
+
+
+def test_pages_of_unclosed_tags_take_linear_time():
+    import time
+
+    for tag in ("<nav>", "<nav", "<!--", "<script>", '<div style="display:none">', "<nav></nav>", "</nav>"):
+        begun = time.process_time()
+        pages.page_text(tag * (2_000_000 // len(tag)))
+        assert time.process_time() - begun < 20, tag
+
+
+def test_scan_and_patterns_agree_on_random_flat_pages():
+    """The SQL's patterns are another way to the same text where no element stands in one of its kind."""
+    import duckdb
+
+    r, made = random.Random(4), []
+    for _ in range(300):
+        parts = []
+        for _ in range(r.randrange(12)):
+            tag = r.choice([*pages.DROPPED[2:], *pages.HIDDEN, "li", "h2", "b", "ul", "td"])
+            hidden = r.choice(["", "", " style='display:none'", " class=x"])
+            parts.append(r.choice(["t &lt; u", " a\n b ", "<br>", "<!-- c <nav> -->", "<hr/>", f"<{tag}{hidden}>in <i>side</i> </{tag}>", "<script>a<b>c</script>"]))
+        made.append(r.choice(["%s", "<body>%s</body>", "x<main>%s</main>y", "<article> %s</article>"]) % "".join(parts))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT unnest(?::VARCHAR[]) AS html", [made])
+    for html, want in con.execute(f"SELECT html, {pages.article_text_sql('html')} FROM t").fetchall():
+        assert pages.page_text(html) == want, html
+
+
 # ── the job ──
 
 LONG = "word " * 20

@@ -1,7 +1,7 @@
 """Body extraction over landed pages: choose work, extract, classify, merge, report.
 
-The page table is joined to the work list by URL. Everything is column expressions on rows where they already lie;
-there is no shuffle by type, so one type that holds most pages does not slow the job down.
+The page table is joined to the work list by URL. Texts are made by one scan over a page's tags, in Arrow batches, all else by column expressions,
+on rows where they already lie; there is no shuffle by type, so one type that holds most pages does not slow the job down.
 """
 
 from __future__ import annotations
