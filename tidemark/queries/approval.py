@@ -444,25 +444,26 @@ def pending_manifest(spark, sf):
 
 
 @query("edited_articles", """
-WITH d AS (SELECT doc_id, source, lang, n_chars, n_chars % 9 = 0 AS hit FROM documents)
+WITH d AS (SELECT doc_id, source, lang, text, n_chars % 9 = 0 AS hit FROM documents)
 SELECT source AS type_key, 'D' || doc_id AS id,
-  sha256('{"lang":' || to_json(CASE WHEN hit THEN 'zz' ELSE lang END) || '}') AS metadata_hash, hit AS edited FROM d""")
+  sha256('{"lang":' || to_json(CASE WHEN hit THEN 'zz' ELSE lang END) || '}') AS metadata_hash,
+  sha256('{"body_text":' || to_json(CASE WHEN hit THEN text || ' (edited)' ELSE text END) || '}') AS content_hash,
+  length(text) + CASE WHEN hit THEN 9 ELSE 0 END AS body_chars, hit AS edited FROM d""")
 def edited_articles(spark, sf):
     """Hand-made edits of some articles: new hashes, and the displaced rows archived."""
     d = S.load(spark, sf, "documents")
 
-    def shape(df, lang):
+    def shape(df, lang, body):
         meta = F.parse_json(F.to_json(F.struct(lang.alias("lang"))))
         return df.select(
             F.col("source").alias("type_key"), F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("id"),
-            meta.alias("metadata"), F.parse_json(F.lit('{"body_text":"b"}')).alias("content"),
+            meta.alias("metadata"), F.parse_json(F.to_json(F.struct(body.alias("body_text")))).alias("content"),
         )
 
     cols = [*KEY, "metadata", "content", "metadata_hash", "content_hash", "has_body", "body_chars", "body_error"]
-    live = ingest.with_digest(shape(d, F.col("lang"))).select(*cols)
-    edits = shape(d.filter("n_chars % 9 = 0"), F.lit("zz"))
+    live = ingest.with_digest(shape(d, F.col("lang"), F.col("text"))).select(*cols)
+    edits = shape(d.filter("n_chars % 9 = 0"), F.lit("zz"), F.concat("text", F.lit(" (edited)")))
     out = daily.edit_articles(live, edits, F.lit("ann"), F.lit(RUN), S.now())
     done = out["archive"].select(*KEY, F.lit(True).alias("edited"))
-    return out["live"].select(*KEY, "metadata_hash").join(done, KEY, "left").withColumn(
-        "edited", F.coalesce("edited", F.lit(False))
-    )
+    return out["live"].select(*KEY, "metadata_hash", "content_hash", F.col("body_chars").cast("bigint").alias("body_chars")).join(
+        done, KEY, "left").withColumn("edited", F.coalesce("edited", F.lit(False)))

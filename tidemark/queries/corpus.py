@@ -121,21 +121,21 @@ def filtered_count(spark, sf):
 
 
 @query("flat_listing", f"""WITH {HITS_SQL}
-SELECT title AS name, click AS link, excerpt AS summary, '' AS publication_date,
+SELECT title AS name, click AS link, text AS summary, '' AS publication_date,
   CASE WHEN date_ms = 0 THEN '' ELSE strftime(make_timestamp(date_ms * 1000), '%b %-d, %Y') END AS modification_date
 FROM hits ORDER BY CASE WHEN date_ms <> 0 THEN date_ms END DESC NULLS LAST, click LIMIT 500""")
 def flat_listing(spark, sf):
-    """Newest 500 of the flat listing."""
-    flat = ingest.flat_listing(S.hits(spark, sf))
+    """Newest 500 of the flat listing, with whole texts as summaries."""
+    flat = ingest.flat_listing(S.hits(spark, sf, whole=True))
     return newest(flat, [F.desc_nulls_last("mod_ms"), F.col("link")], 500).drop("mod_ms")
 
 
 @query("csv_export", f"""WITH {HITS_SQL}
-SELECT '"' || title || '","' || click || '","' || replace(replace(excerpt, '"', '""'), chr(10), ' ') || '","","' ||
+SELECT '"' || title || '","' || click || '","' || replace(replace(text, '"', '""'), chr(10), ' ') || '","","' ||
   CASE WHEN date_ms = 0 THEN '' ELSE strftime(make_timestamp(date_ms * 1000), '%b %-d, %Y') END || '"' AS value
 FROM hits""")
 def csv_export(spark, sf):
-    return exports.csv_lines(ingest.flat_listing(S.hits(spark, sf)))
+    return exports.csv_lines(ingest.flat_listing(S.hits(spark, sf, whole=True)))
 
 
 @query("sanitize_ids", """
@@ -155,10 +155,19 @@ def canonical_hash(spark, sf):
     return e.select("event_id", canon.canonical_hash(F.parse_json(doc)).alias("hash"))
 
 
-@query("ascii_hash", """
-SELECT event_id, sha256('{"k":' || json_extract_string(props, '$.k') || '}') AS hash FROM events""")
+@query("ascii_hash", r"""
+WITH marked AS (
+  SELECT doc_id, n_chars, regexp_extract_all(to_json('𝄞 ' || text), '(?s).') AS chars FROM documents
+), escaped AS (
+  SELECT doc_id, n_chars, array_to_string(list_transform(chars, lambda c: CASE WHEN unicode(c) < 128 THEN c
+    WHEN unicode(c) < 65536 THEN '\u' || lpad(lower(to_hex(unicode(c))), 4, '0')
+    ELSE '\u' || lower(to_hex(55296 + ((unicode(c) - 65536) >> 10))) || '\u' || lower(to_hex(56320 + ((unicode(c) - 65536) & 1023))) END), '') AS t FROM marked
+)
+SELECT doc_id, sha256('{"share":' || to_json(n_chars / 8.0::DOUBLE) || ',"text":' || t || '}') AS hash FROM escaped""")
 def ascii_hash(spark, sf):
-    return S.load(spark, sf, "events").select("event_id", canon.ascii_hash("props").alias("hash"))
+    """Whole texts with characters of all planes, and floats."""
+    doc = F.struct(F.concat(F.lit("𝄞 "), "text").alias("text"), (F.col("n_chars") / 8).alias("share"))
+    return S.load(spark, sf, "documents").select("doc_id", canon.ascii_hash(F.to_json(doc)).alias("hash"))
 
 
 def _contents(spark, sf):
@@ -356,22 +365,22 @@ def version_strings(spark, sf):
 # ── reads ────────────────────────────────────────────────────────────────────
 
 
-@query("article_search", f"""{S.SNAPSHOTS_SQL}, {S.STAGED_SQL}
-SELECT p.type_key, p.id, p.body_chars, s.id IS NOT NULL AS has_pending FROM prior p
+@query("article_search", f"""{S.SNAPSHOTS_SQL}, {S.STAGED_SQL}, {S.EVERY_SQL}
+SELECT p.type_key, p.id, p.body_chars, s.id IS NOT NULL AS has_pending FROM every p
 LEFT JOIN staged s ON s.type_key = p.type_key AND s.id = p.id
 WHERE contains(p.id, '7') ORDER BY p.type_key, p.id LIMIT 20 OFFSET 20""")
 def article_search(spark, sf):
     """Second page of the live articles whose id contains the term, flagged when an edit waits."""
-    found = reads.search_ids(S.prior(spark, sf).select(*KEY, "body_chars"), "7")
+    found = reads.search_ids(S.everything(spark, sf).select(*KEY, "body_chars"), "7")
     shown = page(found, [F.col("type_key"), F.col("id")], 2, 20, max_size=100)
     out = reads.with_pending_flag(shown, S.staged(spark, sf))
     return out.select(*KEY, F.col("body_chars").cast("bigint").alias("body_chars"), "has_pending")
 
 
-@query("article_search_total", f"""{S.SNAPSHOTS_SQL}
-SELECT count(*) AS total, CAST(greatest(ceil(count(*) / 20.0), 1) AS BIGINT) AS pages FROM prior WHERE contains(id, '7')""")
+@query("article_search_total", f"""WITH {S.EVERY_SQL}
+SELECT count(*) AS total, CAST(greatest(ceil(count(*) / 20.0), 1) AS BIGINT) AS pages FROM every WHERE contains(id, '7')""")
 def article_search_total(spark, sf):
-    return page_info(reads.search_ids(S.prior(spark, sf).select(*KEY), "7"), 20)
+    return page_info(reads.search_ids(S.everything(spark, sf).select(*KEY), "7"), 20)
 
 
 @query("has_pending", f"""{S.SNAPSHOTS_SQL}, {S.STAGED_SQL}
@@ -433,13 +442,13 @@ def corpus_counts(spark, sf):
     return reads.corpus_counts(d, known)
 
 
-@query("index_parity", f"""{S.SNAPSHOTS_SQL}, i AS (SELECT type_key, count(*) AS n FROM prior WHERE lang <> 'de' GROUP BY 1),
-l AS (SELECT type_key, count(*) AS n FROM prior GROUP BY 1)
+@query("index_parity", f"""WITH {S.EVERY_SQL}, i AS (SELECT type_key, count(*) AS n FROM every WHERE lang <> 'de' GROUP BY 1),
+l AS (SELECT type_key, count(*) AS n FROM every GROUP BY 1)
 SELECT l.type_key, l.n AS live_n, coalesce(i.n, 0) AS index_n FROM l LEFT JOIN i USING (type_key)
 WHERE l.n <> coalesce(i.n, 0)""")
 def index_parity(spark, sf):
     """An index that lost one language against the live rows."""
-    live = S.prior(spark, sf)
+    live = S.everything(spark, sf)
     return reads.index_parity(live, diff.hash_index(live.filter("lang <> 'de'")))
 
 
@@ -694,10 +703,10 @@ def known_and_extra_types(spark, sf):
     return known.withColumn("known", F.lit(True)).unionByName(extra)
 
 
-@query("corpus_totals", f"""{S.SNAPSHOTS_SQL}
-SELECT count(*) AS total, count(*) FILTER (has_body = 1) AS bodied, max(modified_ms) AS newest FROM current_""")
+@query("corpus_totals", f"""WITH {S.EVERY_SQL}
+SELECT count(*) AS total, count(*) FILTER (has_body = 1) AS bodied, max(modified_ms) AS newest FROM every""")
 def corpus_totals(spark, sf):
-    return runs.corpus_totals(S.current(spark, sf).withColumn("captured_at", F.col("modified_ms")))
+    return runs.corpus_totals(S.everything(spark, sf).withColumn("captured_at", F.col("modified_ms")))
 
 
 @query("held_lists", """

@@ -68,6 +68,12 @@ def prior(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def everything(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents as live rows, with their whole texts."""
+    d = load(spark, sf, "documents")
+    return _articles(d, F.col("lang"), F.col("text"), F.lit(None).cast("string"), F.lit(BASE_MS) + F.col("doc_id") * 60000)
+
+
 def current(spark: SparkSession, sf: str) -> DataFrame:
     """The snapshot just read (staged)."""
     d = load(spark, sf, "documents").withColumn("fate", fate(F.col("doc_id"))).filter("fate <> 'removed'")
@@ -128,6 +134,7 @@ CURRENT_SQL = _sql_side(
     f"{BASE_MS} + doc_id * 60000 + CASE WHEN doc_id // 20 % 10 = 2 THEN {DAY_MS} ELSE 0 END",
 )
 SNAPSHOTS_SQL = f"WITH {PRIOR_SQL}, {CURRENT_SQL}"
+EVERY_SQL = _sql_side("every", -1, "lang", "text", "NULL::VARCHAR", f"{BASE_MS} + doc_id * 60000")
 STAGED_SQL = """
 staged AS (
   SELECT c.* FROM current_ c LEFT JOIN prior p
@@ -155,8 +162,8 @@ gated AS (
 GATED_SQL = f"{SNAPSHOTS_SQL}, {STAGED_SQL}, {RATED_SQL}"
 
 
-def hits(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents as raw search hits: ``document_type``, ``hit`` VARIANT and ``seq``.
+def hits(spark: SparkSession, sf: str, whole: bool = False) -> DataFrame:
+    """Documents as raw search hits: ``document_type``, ``hit`` VARIANT and ``seq``; with ``whole`` the excerpt is the whole text.
 
     ``title`` stands in both places, so the top-level one must win; one document in seven
     has no language and one in eleven an empty date.
@@ -173,7 +180,7 @@ def hits(spark: SparkSession, sf: str) -> DataFrame:
     hit = F.struct(
         F.concat(F.lit("Doc "), F.col("doc_id").cast("string")).alias("title"),
         F.concat(F.lit("https://kb.example/"), F.col("doc_id").cast("string")).alias("clickUri"),
-        F.substring("text", 1, 80).alias("excerpt"),
+        (F.col("text") if whole else F.substring("text", 1, 80)).alias("excerpt"),
         raw.alias("raw"),
     )
     return d.select(

@@ -149,10 +149,10 @@ def skip_unchanged(spark, sf):
     return out.select(*KEY, "op")
 
 
-@query("hash_index", f"""{S.SNAPSHOTS_SQL}
-SELECT type_key, id, metadata_hash FROM prior""")
+@query("hash_index", f"""WITH {S.EVERY_SQL}
+SELECT type_key, id, metadata_hash FROM every""")
 def hash_index(spark, sf):
-    return diff.hash_index(S.prior(spark, sf))
+    return diff.hash_index(S.everything(spark, sf))
 
 
 def _suffixed(spark, sf):
