@@ -42,8 +42,10 @@ NEAR_SHINGLE = 5
 # Near copies share 4 / 5 of their shingles. Of pairs that share just so many, 1 in 65,000 has no band of equal minima:
 # (1 - 0.8^5)^28; of pairs that share half, 6 in 10 have one and are turned down by their sets.
 BANDS, ROWS = 28, 5
-# Sketches of a pair of similarity 0.8 agree in fewer than 84 of 140 places in fewer than two cases in 10^8.
-AGREE = 84
+# Of 128 single bits of minima, those of a pair of similarity 0.8 differ in 12.8 on average, and in more than 30 in about 2 cases in 10^6.
+SKETCH_BITS, SKETCH_NEAR = 128, 30
+# Sets of a coarse group are compared in tiles of so many sets, and so many members, at most; every two tiles meet in one task.
+TILE_SETS, TILE_MEMBERS = 400, 500_000
 MARK_BITS = 26  # size of the table that tells tasks which texts to take: 8 MB
 _random = np.random.default_rng(20)
 TIMES, PLUS = (_random.integers(0, 1 << 64, BANDS * ROWS, np.uint64) for _ in range(2))
@@ -181,21 +183,6 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def smallest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the pairs, that of each node with its smallest partner below it."""
-    a, b = np.maximum(a, b), np.minimum(a, b)
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    first = np.concatenate(([True], a[1:] != a[:-1]))
-    return a[first], b[first]
-
-
-def once(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every pair once."""
-    a, b = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
-    return a, b
-
-
 def within(bits: int) -> Callable:
     """Whether fingerprints (c0, c1) differ by ``bits`` or fewer."""
 
@@ -205,12 +192,7 @@ def within(bits: int) -> Callable:
     return near
 
 
-def may_share(c0, c1, d0, d1) -> np.ndarray:
-    """Whether sets of c0 and d0 members can have a similarity of 4 / 5, and are not in one group (c1, d1) already."""
-    return (np.minimum(c0, d0) * 5 >= np.maximum(c0, d0) * 4) & (c1 != d1)
-
-
-def compared(alike: Callable, linked: Callable) -> Callable:
+def compared(alike: Callable) -> Callable:
     """Compare homes and copies of anchors; rows come sorted by anchor and part, homes first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +221,7 @@ def compared(alike: Callable, linked: Callable) -> Callable:
                     mate = starts[group[row]] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
                     near = alike(c0[row], c1[row], c0[mate], c1[mate]) & (node[row] != node[mate])
                     if near.any():
-                        a, b = linked(np.concatenate([a, node[row[near]]]), np.concatenate([b, node[mate[near]]]))
+                        a, b = stars(np.concatenate([a, node[row[near]]]), np.concatenate([b, node[mate[near]]]))
                 i = j
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -251,11 +233,11 @@ def compared(alike: Callable, linked: Callable) -> Callable:
 
 def near_links(prints: DataFrame, blocks: list[Block], bits: int) -> DataFrame:
     """Links (a, b) that connect exactly the nodes that some chain of meeting pairs within ``bits`` connects. ``prints`` has one row per node."""
-    return met(placed(prints, blocks), within(bits), stars)
+    return met(placed(prints, blocks), within(bits))
 
 
-def met(rows: DataFrame, alike: Callable, linked: Callable) -> DataFrame:
-    """What ``linked`` makes of the pairs of a home and a copy of one anchor that are ``alike``.
+def met(rows: DataFrame, alike: Callable) -> DataFrame:
+    """Links (a, b) that connect what the pairs of a home and a copy of one anchor that are ``alike`` connect.
 
     Anchors with more than HOME_LIMIT homes are split into parts of homes, and their copies go to all parts.
     """
@@ -269,7 +251,7 @@ def met(rows: DataFrame, alike: Callable, linked: Callable) -> DataFrame:
     return (
         spread.select("anchor", "part", "node", "c0", "c1", (F.col("home") & (F.col("part") == own)).alias("home"))
         .repartition(many, "anchor", "part").sortWithinPartitions("anchor", "part", F.desc("home"))
-        .mapInArrow(compared(alike, linked), "a long, b long")
+        .mapInArrow(compared(alike), "a long, b long")
     )
 
 
@@ -324,7 +306,7 @@ def node_keys(sets: list[np.ndarray]) -> list[pa.Array]:
 
 
 def sketches(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep``, two hashes of the set of shingles of every whole text, the set's size, its bands, and a byte of each minimum."""
+    """Columns ``keep``, two hashes of the set of shingles of every whole text, the set's size, its bands, and 128 bits of its minima (c0, c1)."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -332,12 +314,13 @@ def sketches(docs: DataFrame, keep: list[str]) -> DataFrame:
                 part = batch.slice(at, 256)
                 sets = [set_of(t) for t in part.column(len(keep)).cast(pa.binary()).to_pylist()]
                 least = [minima(x) for x in sets]
+                bits = (np.stack(least)[:, :SKETCH_BITS] >> np.uint64(20) & np.uint64(1)).astype(bool)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[: len(keep)], *node_keys(sets), pa.array([len(x) for x in sets]), lists([bands(x, m) for x, m in zip(sets, least)]),
-                     pa.array([m.astype(np.uint8).tobytes() for m in least], pa.binary())],
-                    [*keep, "k0", "k1", "size", "bands", "sketch"])
+                     *[pa.array(x) for x in numbers(bits)]],
+                    [*keep, "k0", "k1", "size", "bands", "c0", "c1"])
 
-    schema = ", ".join([*[f"`{c}` {t}" for c, t in docs.select(*keep).dtypes], "k0 long, k1 long, size long, bands array<long>, sketch binary"])
+    schema = ", ".join([*[f"`{c}` {t}" for c, t in docs.select(*keep).dtypes], "k0 long, k1 long, size long, bands array<long>, c0 long, c1 long"])
     return docs.select(*[F.col(c).alias(c) for c in keep], F.col("text").alias("_text")).mapInArrow(made, schema)
 
 
@@ -371,52 +354,81 @@ def lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
 
 
-def promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b), each once, whose sketches agree in AGREE places or more."""
+def shared_members(sets: list[np.ndarray]) -> np.ndarray:
+    """How many members every two sets have in common."""
+    sizes = [len(x) for x in sets]
+    member, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    often = np.cumsum(times > 1) - 1  # members of one set only are shared with none
+    kept = times[at] > 1
+    row, column = row[kept], often[at[kept]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    width = int(column[-1]) + 1 if len(column) else 0
+    for start in range(0, width, 1 << 12):
+        a, b = np.searchsorted(column, [start, start + (1 << 12)])
+        block = np.zeros((len(sets), min(1 << 12, width - start)), np.float32)
+        block[row[a:b], column[a:b] - start] = 1
+        out += block @ block.T
+    return out
 
-    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS) for i in (2, 3))
-            near = pa.array((one == two).sum(axis=1) >= AGREE)
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(near) for i in (0, 1)], ["a", "b"])
 
-    one, two = (nodes.select(F.col("node").alias(n), F.col("sketch").alias(f"_{n}")) for n in "ab")
-    return stored(pairs.distinct().join(one, "a").join(two, "b").select("a", "b", "_a", "_b").mapInArrow(agreeing, "a long, b long"), "promising")
+def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of the sets of each two tiles, whose rows follow each other: i / (x + y - i) >= 4 / 5 if 9 i >= 4 (x + y)."""
+    held: list[tuple[int, np.ndarray]] = []
+    last = None
 
+    def links() -> pa.RecordBatch:
+        size = np.array([len(x) for _, x in held], np.float32)
+        a, b = np.nonzero(np.triu(shared_members([x for _, x in held]) * 9 >= (size[:, None] + size) * 4, 1))
+        node = np.array([n for n, _ in held], np.int64)
+        a, b = stars(node[a], node[b]) if len(a) else (node[:0], node[:0])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose sets have 4 / 5 of their members in common: i / (x + y - i) >= 4 / 5 if 9 i >= 4 (x + y). Only sets of texts in promising pairs are made."""
-    pairs = promising(pairs, nodes)
-    asked = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "mark")
-    found = sets_of_marked(docs, marks(asked.select("mark"))).withColumn("node", F.xxhash64("k0", "k1"))
-    held = stored(found.join(asked, "node", "left_semi").select("node", "members").dropDuplicates(["node"]), "sets")
-    one, two = (held.select(F.col("node").alias(n), F.col("members").alias(f"_{n}")) for n in "ab")
-    both = pairs.join(one, "a").join(two, "b")
-    shared = F.size(F.array_intersect("_a", "_b"))
-    return stored(both.filter(shared * 9 >= (F.size("_a") + F.size("_b")) * 4).select("a", "b"), "similar")
+    for batch in batches:
+        keys = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
+        for i, key in enumerate(keys):
+            if key != last:
+                if len(held) > 1:
+                    yield links()
+                held, last = [], key
+            held.append((batch.column(3)[i].as_py(), batch.column(4)[i].values.to_numpy().copy()))
+    if len(held) > 1:
+        yield links()
 
 
-def near_groups(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, root) of the nodes that chains of similar pairs connect. ``nodes``: node, size, bands, sketch, mark; ``docs``: mark, text.
+def similar(coarse: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the sets of each coarse group (node, root) that share 4 / 5 of their members.
 
-    First each node is checked with the smallest node it meets in each band, so that a large group of near copies makes no pairs.
-    Then every pair that meets and is not in one group yet is checked.
+    Only sets of coarse groups are made. A group is cut into tiles by a hash of the node, and each two tiles meet in a task, so no group is gathered
+    and no pair is written.
     """
+    grouped = stored(coarse.join(nodes.select("node", "size", "mark"), "node"), "coarse")
+    tiles = grouped.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / TILE_SETS), F.ceil(F.sum("size") / TILE_MEMBERS)).cast("long").alias("tiles"))
+    found = sets_of_marked(docs, marks(grouped.select("mark"))).withColumn("node", F.xxhash64("k0", "k1"))
+    held = found.join(grouped.select("node", "root"), "node").dropDuplicates(["node"]).select("root", "node", "members")
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("tiles"))
+    spread = held.join(tiles, "root").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    rows = spread.select("root", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "node", "members")
+    many = partitions(docs.sparkSession)
+    return stored(rows.repartition(many, "root", "one", "two").sortWithinPartitions("root", "one", "two").mapInArrow(tiled, "a long, b long"), "similar")
 
-    def rows(grouped: DataFrame) -> DataFrame:
-        return grouped.select(F.explode("bands").alias("anchor"), "node", F.col("size").alias("c0"), F.col("root").alias("c1"), F.lit(True).alias("home"))
 
-    first = similar(met(rows(nodes.withColumn("root", F.col("node"))), may_share, smallest), nodes, docs)
-    grouped = nodes.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    second = similar(met(rows(grouped), may_share, once), nodes, docs)
-    return components(first.unionByName(second))
+def near_groups(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, root) of the nodes that chains of similar pairs connect. ``nodes``: node, size, bands, c0, c1, mark; ``docs``: mark, text.
+
+    Nodes that meet in a band and whose sketches are near make coarse groups, which hold every similar pair; their sets decide.
+    """
+    rows = nodes.select(F.explode("bands").alias("anchor"), "node", "c0", "c1", F.lit(True).alias("home"))
+    return components(similar(components(met(rows, within(SKETCH_NEAR))), nodes, docs))
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
     """The documents without near copies: of each group the row with the smallest id stays, and all columns with it.
 
     Two documents are near copies if their sets of five-word shingles (64-bit hashes) have a Jaccard similarity of 0.8 or more;
-    chains of near copies are a group. Pairs that meet in a band of minima and whose sketches agree are compared by their whole sets. Rows
+    chains of near copies are a group. Texts that meet in a band of minima and whose sketches are near are compared by their whole sets. Rows
     without words are one group. Null ids count as the largest; of rows with one id, one stays by the hash of the whole row.
     """
     narrow = docs.select("doc_id", F.xxhash64("text").alias("spot"), "text")
@@ -424,7 +436,7 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     nodes = stored(
         found.groupBy("node").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "spot")).alias("least"),
-            F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("size").alias("size"))
+            F.first("bands").alias("bands"), F.first("c0").alias("c0"), F.first("c1").alias("c1"), F.first("size").alias("size"))
         # Of exact copies, the first one's set stands for all.
         .withColumn("mark", F.xxhash64("least.doc_id", "least.spot")),
         "nodes")
