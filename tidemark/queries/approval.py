@@ -12,7 +12,7 @@ from tidemark.plans import daily, tracking
 from tidemark.queries import scenario as S
 from tidemark.queries.registry import ORACLE, query
 from tidemark.session import cut_lineage, scratch_dir
-from tidemark.sources import buckets, exports
+from tidemark.sources import buckets, exports, listing
 
 RUN = "2024-01-31"
 
@@ -278,6 +278,15 @@ def run_changes_page(spark, sf):
     return page(rows, [F.col("type_key"), F.col("id")], 2, 20).select(*KEY, "op", F.array_join("risk", ",").alias("risk"))
 
 
+@query("run_changes_listing", ORACLE["run_changes_page"])
+def run_changes_listing(spark, sf):
+    """The same page from a listing with a directory."""
+    rows = reads.run_changes(_records(spark, sf), RUN, risk="body-shrank").select(*KEY, "op", F.array_join("risk", ",").alias("risk"))
+    path = scratch_dir(spark, "listing")
+    listing.write_listing(rows, path, [F.col("type_key"), F.col("id")])
+    return listing.listing_page(rows, path, 2, 20)
+
+
 @query("ops_by_manifest", S.GATED_SQL + """
 SELECT op, count(*) AS n FROM gated GROUP BY op""")
 def ops_by_manifest(spark, sf):

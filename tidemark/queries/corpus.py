@@ -10,7 +10,7 @@ from tidemark.operators.ordering import newest, page, page_info, top_per_group
 from tidemark.queries import scenario as S
 from tidemark.queries.registry import ORACLE, query
 from tidemark.session import scratch_dir
-from tidemark.sources import exports
+from tidemark.sources import exports, listing
 
 B = S.BASE_MS
 
@@ -383,6 +383,25 @@ def article_search_total(spark, sf):
     return page_info(reads.search_ids(S.everything(spark, sf).select(*KEY), "7"), 20)
 
 
+def _id_listing(spark, sf):
+    found = reads.search_ids(S.everything(spark, sf).select(*KEY, F.col("body_chars").cast("bigint").alias("body_chars")), "7")
+    path = scratch_dir(spark, "listing")
+    listing.write_listing(found, path, [F.col("type_key"), F.col("id")])
+    return found, path
+
+
+@query("article_listing", ORACLE["article_search"])
+def article_listing(spark, sf):
+    """The page of the id search from a listing with a directory."""
+    found, path = _id_listing(spark, sf)
+    return reads.with_pending_flag(listing.listing_page(found, path, 2, 20, max_size=100), S.staged(spark, sf)).select(*KEY, "body_chars", "has_pending")
+
+
+@query("article_listing_total", ORACLE["article_search_total"])
+def article_listing_total(spark, sf):
+    return listing.listing_info(spark, _id_listing(spark, sf)[1], 20)
+
+
 @query("has_pending", f"""{S.SNAPSHOTS_SQL}, {S.STAGED_SQL}
 SELECT p.type_key, p.id, s.id IS NOT NULL AS has_pending FROM prior p
 LEFT JOIN staged s ON s.type_key = p.type_key AND s.id = p.id""")

@@ -10,7 +10,7 @@ from tidemark.plans import tracking
 from tidemark.queries import scenario as S
 from tidemark.queries.registry import ORACLE, query
 from tidemark.session import scratch_dir
-from tidemark.sources import buckets
+from tidemark.sources import buckets, readers
 
 R1, R2, R3 = "2024-01-01", "2024-01-02", "2024-01-03"
 
@@ -155,6 +155,14 @@ def hash_index(spark, sf):
     return diff.hash_index(S.everything(spark, sf))
 
 
+@query("hash_index_import", ORACLE["hash_index"])
+def hash_index_import(spark, sf):
+    """The index of all documents written as one JSON map and read entry by entry."""
+    path = scratch_dir(spark, "index-map")
+    readers.write_hash_index_entries(diff.hash_index(S.everything(spark, sf)), path)
+    return readers.hash_index_entries(spark, path)
+
+
 def _suffixed(spark, sf):
     """Tracked rows in which one language carries a collision suffix the upstream does not know."""
     p = S.prior(spark, sf)

@@ -69,6 +69,34 @@ def hash_index_file(spark: SparkSession, path: str) -> DataFrame:
     ).filter(F.col("id") != "")
 
 
+# An entry of a JSON map of texts, without the quote and comma that end it: a key, a value, and what may stand around them.
+ENTRY = r'^\s*\{?\s*"((?:[^"\\]|\\.)*)"\s*:\s*"((?:[^"\\]|\\.)*)"?\s*\}?\s*$'
+
+
+def hash_index_entries(spark: SparkSession, path: str) -> DataFrame:
+    """The same index read entry by entry: files are cut where an entry ends, so one map is read by many tasks and no row holds more than an entry.
+
+    Any white space between entries will do. A quote and a comma in a row inside a key or value would look like the end of an entry; such a
+    file, like any that is no map of texts, is refused rather than read wrong. Gzip files can be read too, but not cut, each by one task.
+    """
+    lines = spark.read.option("lineSep", '",').text(path).filter(~is_blank(F.col("value")) & ~F.col("value").rlike(r"^\s*\{\s*\}\s*$"))
+    key, value = (F.regexp_extract("value", ENTRY, i) for i in (1, 2))
+    text = lambda raw: F.get_json_object(F.concat(F.lit('{"t":"'), raw, F.lit('"}')), "$.t")
+    sound = F.col("value").rlike(ENTRY)
+    named = lines.select(
+        F.when(sound, text(key)).otherwise(F.raise_error(F.concat(F.lit("not an entry of a hash index: "), F.substring("value", 1, 80)))).alias("k"),
+        text(value).alias("metadata_hash"))
+    parts = F.split("k", " ", 2)
+    return named.select(F.get(parts, F.lit(0)).alias("type_key"), F.get(parts, F.lit(1)).alias("id"), "metadata_hash").filter(F.col("id") != "")
+
+
+def write_hash_index_entries(index: DataFrame, path: str) -> None:
+    """The index as text files of entries, each file a stretch of one JSON map."""
+    quoted = lambda c: F.regexp_extract(F.to_json(F.struct(c.alias("t"))), r'(?s)^\{"t":(.*)"\}$', 1)
+    rows = index.select(F.concat(quoted(F.concat_ws(" ", "type_key", "id")), F.lit('":'), quoted(F.col("metadata_hash"))).alias("value"))
+    rows.write.mode("overwrite").option("lineSep", '",').text(path)
+
+
 def empty_index(spark: SparkSession) -> DataFrame:
     """What a first run starts from."""
     return spark.createDataFrame([], "type_key string, id string, metadata_hash string")
