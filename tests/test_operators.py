@@ -452,3 +452,22 @@ def test_metric_points(spark):
         "action string, level string, source string, type_key string, final boolean",
     ).withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
     assert rows(logs.metric_points(l), "metric", "dim") == [("ArticlesHeld", ""), ("EnrichFailed", "T"), ("ErrorCount", "s")]
+
+
+def test_drill_down_by_kind(spark):
+    import pytest
+
+    from tidemark.operators import reads
+
+    auto = spark.createDataFrame([("r1", "a", "T", "new", "auto"), ("r2", "b", "T", "new", "auto")], "run_date string, id string, type_key string, op string, approved_by string")
+    track = spark.createDataFrame([("r1", "a", "T", "new", ["body-shrank-42%"], None), ("r1", "b", "T", "changed", ["body-error"], ["content"])],
+                                  "run_date string, id string, type_key string, op string, risk array<string>, changed array<string>")
+    tables = {"auto": auto, "track": track, "staged": auto.drop("approved_by"), "holds": auto.limit(0)}
+    rows = reads.changes_of_kind(tables, "auto", "r1").collect()
+    assert [tuple(r) for r in rows] == [("a", "T", "new", [], [], None, "auto")]
+    assert [r["id"] for r in reads.changes_of_kind(tables, "track", "r1", risk="body-shrank").collect()] == ["a"]
+    assert reads.changes_of_kind(tables, "track", "r1", risk="body-shrank").first()["changed"] == []
+    assert reads.changes_of_kind(tables, "staged", "r1", type_key="T").count() == 1 and reads.changes_of_kind(tables, "holds", "r1").count() == 0
+    for kind in ("staged", "other"):
+        with pytest.raises(ValueError):
+            reads.changes_of_kind(tables, kind, "r1")

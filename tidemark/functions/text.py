@@ -14,7 +14,6 @@ _WS_CHARS = "".join(
               0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 )
 # A sample is cut from this many characters when they suffice.
-_SAMPLE_REACH = 2000
 
 
 def or_missing(*cols: Column) -> Column:
@@ -59,19 +58,9 @@ def base_id(c: Column) -> Column:
 
 
 def sample_of(c: Column) -> Column:
-    """One-line sample, 200 characters and an ellipsis when cut.
-
-    The first characters of a text nearly always decide its sample, as they squeeze to more
-    than 200; only where they do not is the whole text squeezed. Both ways give the same.
-    """
-    c = F.coalesce(c, F.lit(""))
-
-    def cut(flat):
-        return F.when(F.length(flat) > 200, F.concat(F.substring(flat, 1, 200), F.lit("…"))).otherwise(flat)
-
-    head = squeeze(F.substring(c, 1, _SAMPLE_REACH))
-    enough = (F.length(c) <= _SAMPLE_REACH) | (F.length(head) > 200)
-    return F.when(enough, cut(head)).otherwise(cut(squeeze(c)))
+    """One-line sample of the whole text, 200 characters and an ellipsis when cut; empty for a null."""
+    flat = squeeze(F.coalesce(c, F.lit("")))
+    return F.when(F.length(flat) > 200, F.concat(F.substring(flat, 1, 200), F.lit("…"))).otherwise(flat)
 
 
 def filter_date(ms: Column) -> Column:

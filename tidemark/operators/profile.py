@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import canon
-from tidemark.functions.text import sample_of
+from tidemark.functions.text import is_blank, sample_of
 from tidemark.session import cut_lineage
 
 
@@ -36,22 +36,25 @@ def field_catalogue(rows: DataFrame, totals: DataFrame, order: str = "seq") -> D
 
     ``totals`` has ``type_key`` and ``total``; it is one row per type. All aggregates
     combine in the map stage, so a field that every hit carries costs one row per task.
+    The first value that is not blank is kept as it is, and only those of the result are made samples.
     """
+    def plain(value: Column) -> Column:
+        return F.when(canon.type_name(value) == "null", F.lit("")).otherwise(
+            F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
+        )
+
     value = F.col("value")
-    plain = F.when(canon.type_name(value) == "null", F.lit("")).otherwise(
-        F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
-    )
     named = rows.select(
-        "type_key", "field", "source", F.col(order).alias("_order"),
-        canon.type_name(value).alias("_type"), sample_of(plain).alias("_sample"),
+        "type_key", "field", "source", F.col(order).alias("_order"), "value",
+        canon.type_name(value).alias("_type"), is_blank(plain(value)).alias("_blank"),
     )
-    first = F.when(F.col("_sample") != "", F.col("_order"))
+    first = F.when(~F.col("_blank"), F.col("_order"))
     grouped = named.groupBy("type_key", "field").agg(
         F.min_by("source", "_order").alias("source"),
         F.array_sort(F.collect_set("_type")).alias("types"),
         F.count(F.lit(1)).alias("occurrences"),
-        F.coalesce(F.min_by("_sample", first), F.lit("")).alias("sample"),
-    )
+        F.min_by("value", first).alias("_value"),
+    ).withColumn("sample", sample_of(plain(F.col("_value")))).drop("_value")
     return grouped.join(totals, "type_key").withColumn(
         "coverage", F.bround(F.col("occurrences") / F.col("total"), 3)
     ).drop("total")

@@ -29,6 +29,28 @@ def run_changes(rows: DataFrame, run_date, type_key: str | None = None, op: str
     return out
 
 
+CHANGE_KINDS = ("staged", "track", "auto", "holds")
+
+
+def changes_of_kind(tables: dict[str, DataFrame], kind: str, run_date, type_key: str | None = None, op: str | None = None,
+                    risk: str | None = None) -> DataFrame:
+    """A run's drill-down: what was staged, rated (track), approved at once (auto) or approved from the holds.
+
+    ``tables`` has a table per kind, each partitioned by run. Staged rows are shown one type at a time. Columns that a kind does not have
+    come as nulls, its lists as empty ones.
+    """
+    if kind not in CHANGE_KINDS:
+        raise ValueError(f"kind of change: {kind!r}, not one of {', '.join(CHANGE_KINDS)}")
+    if kind == "staged" and not type_key:
+        raise ValueError("staged changes are listed by type")
+    rows, none = tables[kind], F.lit(None).cast("string")
+    listed = lambda c: F.coalesce(F.col(c), F.array().cast("array<string>")) if c in rows.columns else F.array().cast("array<string>")
+    shaped = rows.select(
+        "run_date", "id", "type_key", "op", listed("changed").alias("changed"), listed("risk").alias("risk"),
+        *[(F.col(c) if c in rows.columns else none).alias(c) for c in ("document_type", "approved_by")])
+    return run_changes(shaped, run_date, type_key, op, risk).drop("run_date")
+
+
 def search_ids(df: DataFrame, query: str, col: str = "id") -> DataFrame:
     """Case-insensitive substring of the id."""
     return df.filter(F.lower(F.col(col)).contains(query.lower())) if query else df

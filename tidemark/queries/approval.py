@@ -278,6 +278,30 @@ def run_changes_page(spark, sf):
     return page(rows, [F.col("type_key"), F.col("id")], 2, 20).select(*KEY, "op", F.array_join("risk", ",").alias("risk"))
 
 
+@query("run_changes_kinds", S.GATED_SQL + """
+SELECT 'staged' AS kind, type_key, id, op, '' AS risk, NULL::VARCHAR AS approved_by FROM gated WHERE type_key = 'src1'
+UNION ALL SELECT 'track', type_key, id, op, risk, NULL FROM gated WHERE f2 LIKE 'body-shrank-%'
+UNION ALL SELECT 'auto', type_key, id, op, '', 'auto' FROM gated WHERE action = 'promoted' AND op = 'changed'
+UNION ALL SELECT 'holds', type_key, id, op, '', 'ann' FROM gated WHERE action = 'held-risky'""")
+def run_changes_kinds(spark, sf):
+    """The drill-down by each kind, with the filters each has."""
+    live, pending = S.run_tables(spark, sf)
+    records = cut_lineage(spark, _records_of(live, pending), "records")
+    gated = review.gate(records)
+    run, by = F.lit(RUN), lambda action, who: review.approved_records(gated.filter(F.col("action") == action), F.lit(who), F.lit(RUN))
+    tables = {
+        "staged": records.select("op", "id", "type_key", run.alias("run_date")), "track": records,
+        "auto": by("promoted", "auto"), "holds": by("held-risky", "ann"),
+    }
+    asked = [("staged", {"type_key": "src1"}), ("track", {"risk": "body-shrank"}), ("auto", {"op": "changed"}), ("holds", {})]
+    out = None
+    for kind, filters in asked:
+        rows = reads.changes_of_kind(tables, kind, RUN, **filters).select(
+            F.lit(kind).alias("kind"), *KEY, "op", F.array_join("risk", ",").alias("risk"), "approved_by")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("run_changes_listing", ORACLE["run_changes_page"])
 def run_changes_listing(spark, sf):
     """The same page from a listing with a directory."""

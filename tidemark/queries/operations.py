@@ -129,10 +129,10 @@ SELECT run_date, count(*) AS waiting FROM (
 def gate_waiting(spark, sf):
     """Types of each run without their last marker."""
     rows = S.log_lines(spark, sf)
-    done = F.when(F.expr("action = 'purchase' AND k < 30"), F.col("type_key"))
-    expected = rows.agg(F.countDistinct("type_key")).scalar()
-    waiting = expected - F.countDistinct(done)
-    return rows.groupBy("run_date").agg(waiting.alias("waiting")).filter("waiting > 0")
+    expected = rows.agg(F.collect_set("type_key")).scalar()  # the configured types, a few dozen
+    types = rows.select("run_date").distinct().select("run_date", F.explode(expected).alias("type_key"), F.lit(False).alias("enrichable"))
+    markers = rows.filter("action = 'purchase' AND k < 30").select("run_date", "type_key", F.lit("dump").alias("stage"))
+    return runs.not_terminal(types, markers).groupBy("run_date").agg(F.count("*").alias("waiting"))
 
 
 @query("hold_ages", f"""{LINES}, g AS (
@@ -345,18 +345,22 @@ def _stream(spark, sf):
 
 
 def _slices(spark, sf, parts=4):
-    """All events as files of equal spans of time, landed one after the other; the stream reads one per batch."""
-    path = scratch_dir(spark, "slices")
-    e = S.load(spark, sf, "events")
+    """All events as folders of equal spans of time, landed one after the other; the stream takes one per batch.
+
+    One pass deals the rows to their spans; each span then lands as so many files as there are shuffle partitions, which is what a batch takes.
+    """
+    staging, path = scratch_dir(spark, "spans"), scratch_dir(spark, "slices")
+    e, files = S.load(spark, sf, "events"), int(spark.conf.get("spark.sql.shuffle.partitions"))
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     low, high = e.agg(F.min(micros), F.max(micros)).first()
     if low is None:
         e.write.parquet(path)
     else:
-        span = (high - low) // parts + 1
+        span = F.call_function("div", micros - low, F.lit((high - low) // parts + 1)).cast("int")
+        e.withColumn("span", F.coalesce(span, F.lit(0))).write.partitionBy("span").parquet(staging)
         for i in range(parts):
-            e.filter((micros >= low + i * span) & (micros < low + (i + 1) * span)).coalesce(1).write.mode("append").parquet(path)
-    return S.shape_lines(spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path))
+            spark.read.parquet(staging).filter(F.col("span") == i).drop("span").repartition(files).write.mode("append").parquet(path)
+    return S.shape_lines(spark.readStream.schema(e.schema).option("maxFilesPerTrigger", files).parquet(path))
 
 
 @query("stream_metric_windows", POINTS_SQL)
