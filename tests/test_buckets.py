@@ -127,3 +127,28 @@ def test_digests_tell_places_of_nulls_and_types_apart(spark):
 
 def test_bucket_of_uses_the_whole_key():
     assert KEY == ["type_key", "id"]
+
+
+def test_a_consumer_of_many_epochs_keeps_few_folders(spark):
+    """Many epochs, some of them replayed: the store is that of a plain upsert, and old deltas and commits go."""
+    from tidemark.streaming import arrivals
+
+    r, path = random.Random(3), scratch_dir(spark, "store")
+    schema = "type_key string, id string, content_hash string"
+    store = {f"a{i}": "h" for i in range(50)}
+    initial = spark.createDataFrame([("t", i, h) for i, h in store.items()], schema).coalesce(1)
+    live: dict[str, str] = {}
+    run = arrivals.consume_compacted(spark, path, lambda: spark.createDataFrame([("t", i, h) for i, h in live.items()], schema).coalesce(1), initial, 4, 8)
+    most = 0
+    for epoch in range(14):
+        keys = [f"a{r.randrange(70)}" for _ in range(3)]
+        live.update({k: f"h{epoch}" for k in keys})
+        batch = spark.createDataFrame([("t", k) for k in [*keys, *keys]], "type_key string, id string")
+        for _ in range(2 if epoch in (3, 5, 7) else 1):
+            run(batch, epoch)
+        store.update({k: live[k] for k in keys})
+        got = {x["id"]: x["content_hash"] for x in arrivals.compacted_store(initial, path, epoch, 4).collect()}
+        assert got == store, epoch
+        most = max(most, len(buckets.folders(spark, f"{path}/delta", "epoch")))
+    assert most <= 8 and set(buckets.folders(spark, f"{path}/base/pointers", "commit")) == {"7", "11"}
+    assert len(buckets.folders(spark, f"{path}/delta", "epoch")) <= 8

@@ -9,7 +9,8 @@ from tidemark.operators import KEY, logs, runs
 from tidemark.operators.diff import classify_incoming
 from tidemark.operators.ordering import top_per_group
 from tidemark.queries import scenario as S
-from tidemark.queries.registry import query
+from tidemark.queries.registry import ORACLE, query
+from tidemark.sources import buckets
 from tidemark.session import scratch_dir
 from tidemark.streaming import arrivals, gates, jobs
 
@@ -453,19 +454,39 @@ def stream_classify(spark, sf):
     return classify_incoming(after, initial).select(*KEY, "metadata_hash", op.alias("op"))
 
 
-@query("stream_consumer", f"""{S.SNAPSHOTS_SQL}
-SELECT coalesce(c.type_key, p.type_key) AS type_key, coalesce(c.id, p.id) AS id, coalesce(c.content_hash, p.content_hash) AS content_hash
-FROM prior p FULL JOIN current_ c ON c.type_key = p.type_key AND c.id = p.id""")
-def stream_consumer(spark, sf):
-    """A consumer's store after polling four manifests that list the articles read, one per batch."""
+def _manifests(spark, sf):
+    """(folder, live rows, stream of four manifests that list them, store to start from)."""
     base = scratch_dir(spark, "consumer")
     live = S.current(spark, sf).select(*KEY, "content_hash", "doc_id")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for i in range(4):
-        live.filter(F.col("doc_id") % 4 == i).select(*KEY).write.mode("append").json(f"{base}/manifests")
-    manifests = jobs.json_source(spark, f"{base}/manifests", "type_key string, id string", 1)
-    start = S.prior(spark, sf).select(*KEY, "content_hash")
-    run = arrivals.consume_epoch(spark, f"{base}/store", lambda: live.drop("doc_id"), start)
+        live.filter(F.col("doc_id") % 4 == i).select(*KEY).repartition(files).write.mode("append").json(f"{base}/manifests")
+    manifests = jobs.json_source(spark, f"{base}/manifests", "type_key string, id string", files)
+    return base, live, manifests, S.prior(spark, sf).select(*KEY, "content_hash")
+
+
+def _consumed(manifests, run, base):
     manifests.writeStream.foreachBatch(run).option("checkpointLocation", f"{base}/checkpoint").trigger(
         availableNow=True
     ).start().awaitTermination()
+
+
+@query("stream_consumer", f"""{S.SNAPSHOTS_SQL}
+SELECT coalesce(c.type_key, p.type_key) AS type_key, coalesce(c.id, p.id) AS id, coalesce(c.content_hash, p.content_hash) AS content_hash
+FROM prior p FULL JOIN current_ c ON c.type_key = p.type_key AND c.id = p.id""")
+def stream_consumer(spark, sf):
+    """A consumer's store after polling four manifests that list the articles read."""
+    base, live, manifests, start = _manifests(spark, sf)
+    run = arrivals.consume_epoch(spark, f"{base}/store", lambda: live.drop("doc_id"), start)
+    _consumed(manifests, run, base)
     return arrivals.store_after(spark, f"{base}/store")
+
+
+@query("stream_consumer_compacted", ORACLE["stream_consumer"])
+def stream_consumer_compacted(spark, sf):
+    """The same store with its epochs merged into a bucketed base every second epoch."""
+    base, live, manifests, start = _manifests(spark, sf)
+    run = arrivals.consume_compacted(spark, f"{base}/store", lambda: live.drop("doc_id"), start, compact_every=2, many=16)
+    _consumed(manifests, run, base)
+    last = max(map(int, buckets.folders(spark, f"{base}/store/delta", "epoch")), default=-1)
+    return arrivals.compacted_store(start, f"{base}/store", last, 2)

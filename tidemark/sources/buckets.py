@@ -130,3 +130,34 @@ def tree_summary(delta: DataFrame, marked: DataFrame, path: str, after: str) ->
     same = rest.select("type_key", F.col("n").alias("scanned"), zero.alias("new"), zero.alias("changed"), F.col("n").alias("unchanged"), zero.alias("removed"))
     both = diff.track_summary(delta).unionByName(same)
     return both.groupBy("type_key").agg(*[F.sum(c).alias(c) for c in both.columns if c != "type_key"])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there, in whatever store the path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folders(spark: SparkSession, path: str, name: str) -> list[str]:
+    """Values of the ``name=`` folders below a path, one per commit or epoch."""
+    parent = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = parent.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath().getName() for f in store.listStatus(parent)] if store.exists(parent) else []
+    return [f.partition("=")[2] for f in found if f.startswith(f"{name}=")]
+
+
+def keep_commits(spark: SparkSession, path: str, commits: list[str]) -> None:
+    """Forget all other commits: their pointers go, and the data that no kept commit points at, bucket by bucket."""
+    used = set()
+    for commit in commits:
+        used |= {(r["data"], str(r["bucket"])) for r in pointers(spark, path, commit).select("data", "bucket").distinct().collect()}
+    for commit in set(folders(spark, f"{path}/pointers", "commit")) - set(commits):
+        remove(spark, f"{path}/pointers/commit={commit}")
+    for commit in folders(spark, f"{path}/data", "commit"):
+        own = folders(spark, f"{path}/data/commit={commit}", "bucket")
+        kept = [b for b in own if (commit, b) in used]
+        if not kept and commit not in commits:
+            remove(spark, f"{path}/data/commit={commit}")
+            continue
+        for bucket in set(own) - set(kept):
+            remove(spark, f"{path}/data/commit={commit}/bucket={bucket}")

@@ -11,6 +11,7 @@ from tidemark.operators import KEY
 from tidemark.operators.diff import changed_only, classify_incoming
 from tidemark.operators.ordering import latest_by_key
 from tidemark.plans.tracking import fresh_for
+from tidemark.sources import buckets
 from tidemark.sources.tables import read_snapshot, write_snapshot
 
 
@@ -79,3 +80,46 @@ def consume_epoch(spark: SparkSession, store_path: str, live: Callable[[], DataF
         fresh.select(*initial.columns).write.mode("overwrite").parquet(f"{store_path}/epoch={epoch}")
 
     return run
+
+
+def _base(epoch: int, compact_every: int) -> int:
+    """The last epoch that the base holds once ``epoch`` is done; -1 is the initial store."""
+    return (epoch + 1) // compact_every * compact_every - 1
+
+
+def compacted_store(initial: DataFrame, path: str, epoch: int, compact_every: int = COMPACT_EVERY) -> DataFrame:
+    """The store once ``epoch`` is done: the base and the rows of the epochs since, of each key the last."""
+    spark, base = initial.sparkSession, _base(epoch, compact_every)
+    rows = buckets.read(initial, f"{path}/base", str(base)).drop("bucket")
+    if base == epoch:
+        return rows
+    since = spark.read.option("basePath", f"{path}/delta").parquet(*[f"{path}/delta/epoch={e}" for e in range(base + 1, epoch + 1)])
+    both = since.select(*initial.columns, "epoch").unionByName(rows.withColumn("epoch", F.lit(base)))
+    return latest_by_key(both, KEY, F.col("epoch")).drop("epoch")
+
+
+def consume_compacted(spark: SparkSession, path: str, live: Callable[[], DataFrame], initial: DataFrame,
+                      compact_every: int = COMPACT_EVERY, many: int = buckets.BUCKETS) -> Callable[[DataFrame, int], None]:
+    """The same consumer with a store that does not grow by the epoch.
+
+    An epoch writes the rows it upserts as a delta. Every ``compact_every`` epochs the deltas are merged into a bucketed base, of which only the
+    touched buckets are rewritten; then the deltas and commits before the base that is left are removed. So an epoch reads the base and at
+    most ``compact_every`` deltas, and never more than twice as many are kept. A replayed epoch finds what it needs and writes the same again.
+    """
+    buckets.create(initial, f"{path}/base", "-1", buckets=many)
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        held = compacted_store(initial, path, epoch - 1, compact_every)
+        fresh = fresh_for(held, batch, live()).select(*initial.columns)
+        fresh.write.mode("overwrite").parquet(f"{path}/delta/epoch={epoch}")
+        base = _base(epoch - 1, compact_every)
+        if _base(epoch, compact_every) == epoch:
+            since = spark.read.option("basePath", f"{path}/delta").parquet(*[f"{path}/delta/epoch={e}" for e in range(base + 1, epoch + 1)])
+            rows = latest_by_key(since, KEY, F.col("epoch")).select(*initial.columns)
+            buckets.upsert(f"{path}/base", str(base), str(epoch), rows, buckets=many)
+            buckets.keep_commits(spark, f"{path}/base", [str(base), str(epoch)])
+            for old in buckets.folders(spark, f"{path}/delta", "epoch"):
+                if int(old) <= base:
+                    buckets.remove(spark, f"{path}/delta/epoch={old}")
+
+    return run
