@@ -68,3 +68,22 @@ def test_bundle_is_the_sum_of_bound_letters():
     want = sum(
         np.roll(v[a], 2) * np.roll(v[b], 1) * v[c] for a, b, c in zip(sym, sym[1:], sym[2:]) if b)
     assert (made[0] == want).all() and lettered.tolist() == [True, False, False] and not made[1:].any()
+
+
+def test_bundles_of_scripts_with_many_letters_take_bounded_memory():
+    """512 texts of 170 random Han characters, by chunks of trigrams and by one: equal sums, without a large matrix."""
+    import random
+    import tracemalloc
+
+    import pyarrow as pa
+
+    r = random.Random(1)
+    texts = pa.array(["".join(chr(0x4E00 + r.randrange(20_000)) for _ in range(170)) for _ in range(512)])
+    profiler = langid.Profiler()
+    tracemalloc.start()
+    made, _ = profiler.bundles(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6, peak
+    one = langid.Profiler().bundles(texts.slice(7, 1))[0]
+    assert (made[7] == one[0]).all()

@@ -44,3 +44,21 @@ def test_odd_rows(spark):
     assert every == {(1, 1, 5 * s), (2, 2, 5 * s), (3, 2, 5 * s), (4, 100, 5 * s), (5, None, 5 * s), (6, 5, -2048)}
     assert mine[600] == [(1, 7, -2 * s)] and 800 not in mine and set(mine) == {100, 600}
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_large_components_do_not_wrap(spark):
+    """64 components of up to 1,500 each: products add up beyond 2^47."""
+    import numpy as np
+
+    from tidemark.llm import topk
+
+    values = np.random.default_rng(3).normal(0, 1500, (600, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)], "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in topk.top_k(df, df["vec_id"] % 100 == 0).collect())
+    whole = np.floor(values.astype(np.float64) * 1024).astype(np.int64)
+    want = []
+    for q in range(0, 600, 100):
+        scores = whole @ whole[q]
+        best = sorted((i for i in range(600) if i != q), key=lambda i: (-int(scores[i]), i))[:10]
+        want += [(q, n, i, int(scores[i])) for n, i in enumerate(best, 1)]
+    assert got == sorted(want) and max(w[3] for w in want) > 1 << 46

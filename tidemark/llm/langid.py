@@ -22,6 +22,9 @@ LETTERS = 128  # symbol 0 is anything but a letter, 1 to 26 are a to z, other le
 UNKNOWN = 255
 
 
+AT_ONCE = 4096  # different trigrams counted at once: scripts of many letters have very many
+
+
 def letter_vectors() -> np.ndarray:
     return np.random.default_rng(11).choice(np.array([-1, 1], np.int8), (LETTERS, DIM))
 
@@ -70,9 +73,14 @@ class Profiler:
             code, whose = code[ok], whose[1:-1][ok]
             here = np.flatnonzero(np.bincount(code, minlength=1)) if len(code) else np.zeros(0, np.int64)
             self.place[here] = np.arange(len(here))
-            counts = np.bincount(whose * len(here) + self.place[code], minlength=len(rows) * len(here))
-            bound = self.first[here // LETTERS**2] * self.second[here // LETTERS % LETTERS] * self.third[here % LETTERS]
-            part = counts.reshape(len(rows), len(here)).astype(np.float32) @ bound.astype(np.float32)
+            place = self.place[code]
+            part = np.zeros((len(rows), DIM), np.float64)
+            for start in range(0, len(here), AT_ONCE):
+                some = here[start : start + AT_ONCE]
+                own = (place >= start) & (place < start + AT_ONCE)
+                counts = np.bincount(whose[own] * len(some) + place[own] - start, minlength=len(rows) * len(some))
+                bound = self.first[some // LETTERS**2] * self.second[some // LETTERS % LETTERS] * self.third[some % LETTERS]
+                part += counts.reshape(len(rows), len(some)).astype(np.float32) @ bound.astype(np.float32)
             np.add.at(made, rows, np.rint(part))
         return made, lettered
 

@@ -21,7 +21,6 @@ QUERY_ROWS = 2048
 STEP = 16  # values v of one segment share v // STEP
 LEVELS = (0.5, 0.2, 0.1, 0.05)  # impacts, as shares of the largest, down to which the segments are met before each look
 FEW = 128  # rows, or a third of the block, that are rescored without a further look
-COUNT = 16  # bits of the counter of components
 
 
 def whole_numbers(vector: Column) -> Column:
@@ -37,7 +36,7 @@ class Block:
         self.values = values
         self.order = np.argsort(values, axis=0, kind="stable").T.astype(np.int32)
         self.sorted = np.sort(values, axis=0).T.copy()
-        self.shifted = self.sorted // STEP * STEP << COUNT
+        self.quantised = self.sorted // STEP * STEP
         self.low, self.high = values.min(axis=0), values.max(axis=0)
 
     def best(self, q: np.ndarray, k: int) -> np.ndarray:
@@ -50,7 +49,8 @@ class Block:
         least = np.where(up, q * self.low, q * self.high)
         most = np.where(up, q * self.high, q * self.low) - least
         slack = int(np.abs(q).sum()) * (STEP - 1)  # all that quantisation can hide
-        met = np.zeros(n, np.int64)  # 2^COUNT times the impacts so far, plus the number of components met
+        total = np.zeros(n, np.int64)  # impacts so far
+        met = np.zeros(n, np.int32)  # components met
         done = np.zeros(width, np.int64)
         asked = int((q != 0).sum())
         for level in (*LEVELS, 0.0):
@@ -70,11 +70,12 @@ class Block:
                     at = slice(int(done[d]), cut)
                     most_off = STEP - 1
                 if cut > done[d]:
-                    met[self.order[d, at]] += w * self.shifted[d, at] + (((w * most_off - int(least[d])) << COUNT) + 1)  # lower bounds
+                    rows = self.order[d, at]
+                    total[rows] += w * self.quantised[d, at] + (w * most_off - int(least[d]))  # lower bounds
+                    met[rows] += 1
                     done[d] = cut
-            total = met >> COUNT
             floor = np.partition(total, n - k)[n - k]
-            rest = (asked - (met & ((1 << COUNT) - 1))) * bar
+            rest = (asked - met.astype(np.int64)) * bar
             alive = np.flatnonzero(total + slack + rest >= floor)
             if len(alive) <= max(FEW, n // 3):
                 break
@@ -108,8 +109,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
     """query_id, rank (from 1), vec_id, score: the k best rows of each query row by integer inner product, exactly.
 
     Candidates are all rows but the query's own, also rows with equal ids. Ties go to the smaller id, null ids last. Vectors that are
-    null or hold null or non-finite components take no part; vectors are compared with those of the same length. Scores must stay below
-    2^63. Blocks of vectors meet blocks of queries; no block holds more than about BLOCK_ROWS and QUERY_ROWS rows.
+    null or hold null or non-finite components take no part; vectors are compared with those of the same length. The sum of a query's products, each
+    taken as positive and with its component's largest value, must stay below 2^60. Blocks of vectors meet blocks of queries; no block holds more than about BLOCK_ROWS and QUERY_ROWS rows.
     """
     spark = vectors.sparkSession
     rows = stored(
