@@ -42,7 +42,7 @@ def format_conversations(
 
     Rows go by turn; ties by role, then text, nulls first; repeated rows are repeated turns. A null role or text is
     empty, a null conversation id is a conversation of its own. Turns in a wrong order are formatted all the same and
-    marked ``valid = false``. Other columns of ``rows`` are not read. A conversation is one output value, so it must fit one.
+    marked ``valid = false``. An empty table gives no rows. Other columns of ``rows`` are not read. A conversation is one output value, so it must fit one.
     """
     said = rows.select(
         F.col(conv).alias("conv_id"),

@@ -124,7 +124,8 @@ def predict(docs: DataFrame, names: list[str], profiles: np.ndarray, keep: list[
     """Columns ``keep`` of every document, ``lang_pred`` and ``score`` (the cosine, 0 to 1).
 
     A text that is null, empty or without letters is ``und`` with score 0, as is every text if nothing was learned. Of
-    languages with equal cosine the first by code point wins.
+    languages with equal cosine the first by code point wins. Texts of any length are bundled whole, in pieces; repeated rows are predicted alike; an
+    empty table gives no rows. Columns ``lang_pred`` and ``score`` among ``keep`` would clash with the result's.
     """
     norms = np.linalg.norm(profiles, axis=1)
     unit = profiles / np.where(norms > 0, norms, 1)[:, None]

@@ -213,7 +213,8 @@ def term_spans(docs: DataFrame, added: DataFrame) -> DataFrame:
 def find_private(docs: DataFrame, keep: list[str]) -> DataFrame:
     """One row per document: columns ``keep``, base and all spans as arrays of (start, kind, end), kinds as numbered in KINDS.
 
-    Places are code points, the end is exclusive. A null text is empty; equal rows give equal results; an empty table gives none.
+    Places are code points, the end is exclusive. A null text is empty; equal rows give equal results; an empty table gives none. Long texts are
+    searched whole. Spans that begin together are ordered by kind. Columns of ``docs`` but ``keep`` and text are not read; ``base`` and ``spans`` among ``keep`` would clash.
     """
     seen = survey(docs, keep)
     added = stored(term_spans(docs, stored(disclosing(seen), "pii_told")), "pii_terms")

@@ -115,7 +115,7 @@ def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS) -> np.ndarray:
     """Fit on at most ``rows`` labelled documents, those with the smallest hash of their id.
 
-    ``labels``: doc_id and the label 0/1; rows with nulls teach nothing. The sample is drawn before texts are joined, so
+    ``labels``: doc_id and the label 0/1; rows with nulls teach nothing, repeated labels teach once, without any the model is zero. The sample is drawn before texts are joined, so
     only its texts move; one task trains.
     """
     chosen = (
@@ -131,7 +131,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
 def score(docs: DataFrame, model: np.ndarray, keep: list[str], text: str = "text") -> DataFrame:
     """Columns ``keep`` of every document and ``score``, the probability of label 1 for its whole text.
 
-    A null or empty text has no features and gets the bias alone. The model has a fixed size (2^17 + 1 numbers).
+    A null or empty text has no features and gets the bias alone. The model has a fixed size (2^17 + 1 numbers). Long texts are read whole, in
+    pieces; repeated rows are scored alike; equal scores need no order; an empty table gives no rows. A column named ``score`` among ``keep`` would clash
+    and has to be renamed by the caller, as the pipeline does with all columns it does not know.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

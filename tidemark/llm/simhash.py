@@ -264,7 +264,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """One row per document: doc_id, print (long), component_id, the smallest doc_id reachable by links of 4 or fewer differing bits.
 
     Null and empty texts have fingerprint 0, linked like any other. A null id is never the smallest; a component with null ids only has
-    a null component_id. Repeated rows stay. Equal fingerprints are one node from the start, so copies make no pairs.
+    a null component_id. Repeated rows stay. Equal fingerprints are one node from the start, so copies make no pairs. Long texts are read whole, their
+    digests in rounds; an empty table gives no rows. Other columns of ``docs`` are not read, so their names cannot clash.
     """
     found = stored(fingerprints(docs, ["doc_id"], shingle), "prints")
     nodes = found.groupBy("print").agg(F.min("doc_id").alias("least"))

@@ -110,7 +110,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
 
     Candidates are all rows but the query's own, also rows with equal ids. Ties go to the smaller id, null ids last. Vectors that are
     null or hold null or non-finite components take no part; vectors are compared with those of the same length. The sum of a query's products, each
-    taken as positive and with its component's largest value, must stay below 2^60. Blocks of vectors meet blocks of queries; no block holds more than about BLOCK_ROWS and QUERY_ROWS rows.
+    taken as positive and with its component's largest value, must stay below 2^60. An empty table gives no rows; other columns are not read. Blocks of vectors meet blocks of queries; no block holds more than about BLOCK_ROWS and QUERY_ROWS rows.
     """
     spark = vectors.sparkSession
     rows = stored(

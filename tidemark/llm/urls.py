@@ -104,7 +104,7 @@ def judge_urls(
     starts with its path; the longest rule string wins, of equally long ones the one with the longer host. Of
     two rules with the same host and path, block wins. Rules with an empty or null host fit nothing; a null path
     is empty. Urls without a rule get ``default``. Null urls, nulls in the id and repeated rows stay, each with its own row.
-    Other columns of ``urls`` are not read, so their names cannot clash.
+    Other columns of ``urls`` are not read, so their names cannot clash. An empty table gives no rows; urls of any length are judged whole.
     """
     spark = urls.sparkSession
     ranges = partitions(spark)
