@@ -20,6 +20,7 @@ BLOCK_ROWS = 8192
 QUERY_ROWS = 2048
 STEP = 16  # values v of one segment share v // STEP
 LEVELS = (0.5, 0.2, 0.1, 0.05)  # impacts, as shares of the largest, down to which the segments are met before each look
+COUNT = 16  # bits of the counter of components
 FEW = 128  # rows, or a third of the block, that are rescored without a further look
 
 
@@ -36,7 +37,7 @@ class Block:
         self.values = values
         self.order = np.argsort(values, axis=0, kind="stable").T.astype(np.int32)
         self.sorted = np.sort(values, axis=0).T.copy()
-        self.quantised = self.sorted // STEP * STEP
+        self.shifted = self.sorted // STEP * STEP << COUNT
         self.low, self.high = values.min(axis=0), values.max(axis=0)
 
     def best(self, q: np.ndarray, k: int) -> np.ndarray:
@@ -49,8 +50,9 @@ class Block:
         least = np.where(up, q * self.low, q * self.high)
         most = np.where(up, q * self.high, q * self.low) - least
         slack = int(np.abs(q).sum()) * (STEP - 1)  # all that quantisation can hide
-        total = np.zeros(n, np.int64)  # impacts so far
-        met = np.zeros(n, np.int32)  # components met
+        if float(np.abs(most.astype(np.float64)).sum()) + float(np.abs(q * (np.abs(self.low) + np.abs(self.high)).astype(np.float64)).sum()) + slack >= 1 << 45:
+            return np.arange(n)  # impacts would not fit beside the counter: all rows are scored
+        met = np.zeros(n, np.int64)  # 2^COUNT times the impacts so far, plus the number of components met
         done = np.zeros(width, np.int64)
         asked = int((q != 0).sum())
         for level in (*LEVELS, 0.0):
@@ -70,12 +72,11 @@ class Block:
                     at = slice(int(done[d]), cut)
                     most_off = STEP - 1
                 if cut > done[d]:
-                    rows = self.order[d, at]
-                    total[rows] += w * self.quantised[d, at] + (w * most_off - int(least[d]))  # lower bounds
-                    met[rows] += 1
+                    met[self.order[d, at]] += w * self.shifted[d, at] + (((w * most_off - int(least[d])) << COUNT) + 1)  # lower bounds
                     done[d] = cut
+            total = met >> COUNT
             floor = np.partition(total, n - k)[n - k]
-            rest = (asked - met.astype(np.int64)) * bar
+            rest = (asked - (met & ((1 << COUNT) - 1))) * bar
             alive = np.flatnonzero(total + slack + rest >= floor)
             if len(alive) <= max(FEW, n // 3):
                 break
