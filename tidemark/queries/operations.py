@@ -12,7 +12,7 @@ from tidemark.queries import scenario as S
 from tidemark.queries.registry import ORACLE, query
 from tidemark.session import scratch_dir
 from tidemark.sources import buckets
-from tidemark.streaming import arrivals, gates, jobs
+from tidemark.streaming import arrivals, gates, jobs, late, quantiles
 
 NOW = S.NOW
 LINES = f"WITH {S.LINES_SQL}"
@@ -345,9 +345,10 @@ def _stream(spark, sf):
     return S.shape_lines(jobs.parquet_source(spark, f"{sf.rstrip('/')}/events.parquet"))
 
 
-def _slices(spark, sf, parts=4):
+def _slices(spark, sf, parts=4, held_back=None):
     """All events as folders of equal spans of time, landed one after the other; the stream takes one per batch.
 
+    Rows for which ``held_back`` is true land one span too late.
     One pass deals the rows to their spans; each span then lands as so many files as there are shuffle partitions, which is what a batch takes.
     """
     staging, path = scratch_dir(spark, "spans"), scratch_dir(spark, "slices")
@@ -358,6 +359,8 @@ def _slices(spark, sf, parts=4):
         e.write.parquet(path)
     else:
         span = F.call_function("div", micros - low, F.lit((high - low) // parts + 1)).cast("int")
+        if held_back is not None:
+            span = F.least(span + F.when(held_back, 1).otherwise(0), F.lit(parts - 1))
         e.withColumn("span", F.coalesce(span, F.lit(0))).write.partitionBy("span").parquet(staging)
         for i in range(parts):
             spark.read.parquet(staging).filter(F.col("span") == i).drop("span").repartition(files).write.mode("append").parquet(path)
@@ -371,6 +374,32 @@ def stream_metric_windows(spark, sf):
     return _ms(jobs.run_available(windows, spark, "metrics", "update", ["window_start", "metric", "dim"]))
 
 
+def _late_windows(spark, sf):
+    """(folder, stream schema, batch points, keys, counts, last epoch) once a stream with one row in twenty a week late has run."""
+    keys, count, base = ["metric", "dim"], [_n()], scratch_dir(spark, "late")
+    points = logs.metric_points(_metric_lines(_slices(spark, sf, held_back=F.col("event_id") % 20 == 0)))
+    stream, ran = late.windows_with_rows(points, keys, count), []
+    store = late.store_epoch(spark, base)
+
+    def run(batch, epoch):
+        store(batch, epoch)
+        ran.append(epoch)
+
+    stream.writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", f"{base}/checkpoint").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    full = logs.metric_points(_metric_lines(S.log_lines(spark, sf)))
+    return base, stream.schema, full, keys, count, max(ran, default=-1)
+
+
+@query("stream_late_rows", POINTS_SQL)
+def stream_late_rows(spark, sf):
+    """The same metrics from a stream whose late rows the watermark has passed, after the back-stop counted their windows again."""
+    base, schema, full, keys, count, last = _late_windows(spark, sf)
+    late.repair(spark, base, schema, full, keys, count, last)
+    return _ms(late.windows_after(spark, base, schema, keys, [last]))
+
+
 @query("stream_error_alarms", f"""{LINES}
 SELECT epoch_ms(time_bucket(INTERVAL 15 MINUTE, ts)) AS window_ms, count(*) AS errors FROM lines WHERE level = 'ERROR' GROUP BY 1""")
 def stream_error_alarms(spark, sf):
@@ -386,6 +415,17 @@ def stream_p99(spark, sf):
     return _ms(jobs.run_available(p99, spark, "p99", "update", ["window_start"]))
 
 
+@query("stream_p99_exact", f"""{LINES}
+SELECT epoch_ms(time_bucket(INTERVAL 1 DAY, ts)) AS window_ms, quantile_disc(duration_ms, 0.99) AS p99, count(duration_ms) AS n
+FROM lines WHERE duration_ms IS NOT NULL GROUP BY 1""")
+def stream_p99_exact(spark, sf):
+    """Exact 99th percentile per day: counts in bins from the stream, narrowed down in the landed rows."""
+    bins = quantiles.latency_bins(_stream(spark, sf), "duration_ms", "1 day")
+    counted = jobs.run_available(bins, spark, "bins", "update", ["window_start", "bin"])
+    found = quantiles.exact_quantile(counted, S.log_lines(spark, sf), "duration_ms", "0.99", "1 day")
+    return _ms(found.withColumnRenamed("value", "p99"))
+
+
 @query("stream_recent_counts", f"""{LINES}, w AS (
   SELECT action, epoch_ms(time_bucket(INTERVAL 10 MINUTE, ts)) - 600000 * unnest(range(0, 6)) AS window_ms FROM lines)
 SELECT window_ms, action, count(*) AS n FROM w GROUP BY ALL""")
@@ -403,6 +443,15 @@ def stream_dedup(spark, sf):
     return jobs.run_available(jobs.drop_redeliveries(rows), spark, "dedup").drop("ts")
 
 
+@query("stream_dedup_indexed", ORACLE["stream_dedup"])
+def stream_dedup_indexed(spark, sf):
+    """The same versions, told from an index of delivered ones instead of keyed state."""
+    base = scratch_dir(spark, "deliver")
+    rows = _slices(spark, sf).select("ts", "type_key", "id", F.col("action").alias("content_hash"))
+    _consumed(rows, arrivals.deliver_once(spark, base, compact_every=2, many=16), base)
+    return spark.read.schema(rows.schema).parquet(f"{base}/out").select("type_key", "id", "content_hash")
+
+
 @query("stream_run_counters", f"""{LINES}
 SELECT run_date, type_key, count(*) FILTER (action = 'signup') AS new, count(*) FILTER (action = 'click') AS changed,
   count(*) FILTER (action = 'view') AS unchanged FROM lines GROUP BY ALL""")

@@ -106,12 +106,18 @@ def consume_compacted(spark: SparkSession, path: str, live: Callable[[], DataFra
     touched buckets are rewritten; then the deltas and commits before the base that is left are removed. So an epoch reads the base and at
     most ``compact_every`` deltas, and never more than twice as many are kept. A replayed epoch finds what it needs and writes the same again.
     """
+    return _with_deltas(spark, path, lambda held, batch, _: fresh_for(held, batch, live()), initial, compact_every, many)
+
+
+def _with_deltas(spark: SparkSession, path: str, fresh: Callable[[DataFrame, DataFrame, int], DataFrame], initial: DataFrame,
+                 compact_every: int, many: int) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that adds ``fresh(held, batch, epoch)`` to a store of bucketed base and deltas."""
     buckets.create(initial, f"{path}/base", "-1", buckets=many)
 
     def run(batch: DataFrame, epoch: int) -> None:
         held = compacted_store(initial, path, epoch - 1, compact_every)
-        fresh = fresh_for(held, batch, live()).select(*initial.columns)
-        fresh.write.mode("overwrite").parquet(f"{path}/delta/epoch={epoch}")
+        found = fresh(held, batch, epoch).select(*initial.columns)
+        found.write.mode("overwrite").parquet(f"{path}/delta/epoch={epoch}")
         base = _base(epoch - 1, compact_every)
         if _base(epoch, compact_every) == epoch:
             since = spark.read.option("basePath", f"{path}/delta").parquet(*[f"{path}/delta/epoch={e}" for e in range(base + 1, epoch + 1)])
@@ -123,3 +129,29 @@ def consume_compacted(spark: SparkSession, path: str, live: Callable[[], DataFra
                     buckets.remove(spark, f"{path}/delta/epoch={old}")
 
     return run
+
+
+VERSION = "type_key string, id string, seen boolean"
+
+
+def deliver_once(spark: SparkSession, path: str, version: tuple[str, ...] = ("id", "content_hash"), compact_every: int = COMPACT_EVERY,
+                 many: int = buckets.BUCKETS) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes each version of an article once, to ``out`` below ``path``, with no state in the stream.
+
+    What the stream would have to remember for ever lies in an index of delivered versions: a bucketed base and the deltas of the last epochs, which are
+    removed once the base holds them. An epoch reads that index (a narrow row a version) instead of keeping it in its executors' memory, so it suits
+    few large epochs rather than many small ones. Of rows of one version in one epoch the one with the least ``ts`` is written; which epoch
+    a version comes in, and how late, does not matter.
+    """
+    # A version is a key of its own for the base, whose key is (type_key, id); nulls are values.
+    whole = F.to_json(F.struct("type_key", *version), {"ignoreNullFields": "false"})
+    key = [F.coalesce("type_key", F.lit("")).alias("type_key"), whole.alias("id")]
+
+    def deliver(held: DataFrame, batch: DataFrame, epoch: int) -> DataFrame:
+        rows = batch.select(*key, F.struct(*batch.columns).alias("_whole"))
+        first = latest_by_key(rows, KEY, F.coalesce("_whole.ts", F.timestamp_micros(F.lit(0))), newest=False)
+        folder = f"{path}/out/epoch={epoch}"
+        first.join(held.select(*KEY), KEY, "left_anti").select("_whole.*").write.mode("overwrite").parquet(folder)
+        return spark.read.schema(batch.schema).parquet(folder).select(*key, F.lit(True).alias("seen"))
+
+    return _with_deltas(spark, f"{path}/index", deliver, spark.createDataFrame([], VERSION), compact_every, many)
