@@ -88,13 +88,18 @@ def top_facets(counts: DataFrame, *, limit: int) -> DataFrame:
     return counts.orderBy(F.desc("n"), "value").limit(limit)
 
 
-def hidden_values(by_type: DataFrame, shown: DataFrame) -> DataFrame:
-    """Values found inside some type but absent from the global list, with those types."""
-    return (
-        by_type.join(shown.select("value"), "value", "left_anti")
-        .groupBy("value")
-        .agg(F.sum("n").alias("n"), F.array_sort(F.collect_set("type_key")).alias("types"))
-    )
+def with_types(by_type: DataFrame) -> DataFrame:
+    """Of each value the number of rows and the types that have it, from counts per type."""
+    return by_type.groupBy("value").agg(F.sum("n").alias("n"), F.array_sort(F.collect_set("type_key")).alias("types"))
+
+
+def hidden_values(by_type: DataFrame, *, limit: int) -> DataFrame:
+    """Values found inside some type but absent from the global list of ``limit`` values, with those types.
+
+    The values with their types are written once; the list and what it lacks are both read from there, so the rows are taken apart once.
+    """
+    values = cut_lineage(by_type.sparkSession, with_types(by_type), "facet_values")
+    return values.join(top_facets(values, limit=limit).select("value"), "value", "left_anti")
 
 
 def equal_tags(df: DataFrame, tags: Column, row_id: Column) -> DataFrame:

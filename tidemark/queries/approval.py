@@ -35,7 +35,7 @@ def _rated_of(live, pending):
 
 
 def _rated(spark, sf):
-    return _rated_of(S.prior(spark, sf), S.staged(spark, sf))
+    return _rated_of(*S.run_tables(spark, sf))
 
 
 @query("risk_flags", S.GATED_SQL + """
@@ -89,7 +89,8 @@ SELECT type_key, coalesce(action, 'missing-pending') AS action, count(*) AS n FR
 def review_manifest(spark, sf):
     """The whole current snapshot as manifest: rows without a pending copy are reported as such."""
     manifest = S.current(spark, sf).select(*KEY)
-    out = review.review_manifest(manifest, S.staged(spark, sf), S.prior(spark, sf))
+    live, pending = S.run_tables(spark, sf)
+    out = review.review_manifest(manifest, pending, live)
     return out.groupBy("type_key", "action").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -269,8 +269,7 @@ def hidden_facets(spark, sf):
     """Words that a type's own facet list has and a global list of 5000 lacks."""
     w = _words(spark, sf)
     by_type = profile.facet(w, F.col("words"), ["type_key"])
-    overall = by_type.groupBy("value").agg(F.sum("n").alias("n"))
-    out = profile.hidden_values(by_type, profile.top_facets(overall, limit=5000))
+    out = profile.hidden_values(by_type, limit=5000)
     return out.select("value", "n", F.array_join("types", ",").alias("types"))
 
 
@@ -507,7 +506,7 @@ def metadata_field_diff(spark, sf):
 SELECT (SELECT count(*) FROM prior) AS corpus, (SELECT count(*) FROM staged) AS pending, '2024-01-30' AS latest_run,
   (SELECT count(*) FROM gated WHERE action = 'held-risky') AS held""")
 def overview(spark, sf):
-    live, pending = S.prior(spark, sf), S.staged(spark, sf)
+    live, pending = S.run_tables(spark, sf)
     held = review.gate(review.with_risk(pending.select(*KEY, *review.DIGEST), live)).filter("action = 'held-risky'")
     return reads.overview(live, pending, S.log_lines(spark, sf).select("run_date"), held)
 

@@ -40,12 +40,12 @@ def fate(doc_id: Column) -> Column:
     return out.otherwise("kept")
 
 
-def _articles(df: DataFrame, lang: Column, body: Column, error: Column, modified: Column) -> DataFrame:
+def _articles(df: DataFrame, lang: Column, body: Column, error: Column, modified: Column, *more: str) -> DataFrame:
     shaped = df.select(
         F.col("source").alias("type_key"),
         F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("id"),
         "doc_id", lang.alias("lang"), "n_chars", "source",
-        body.alias("body_text"), error.alias("body_error"), modified.alias("modified_ms"),
+        body.alias("body_text"), error.alias("body_error"), modified.alias("modified_ms"), *more,
     )
     return shaped.select(
         *[c for c in shaped.columns if c != "source"],
@@ -74,10 +74,8 @@ def everything(spark: SparkSession, sf: str) -> DataFrame:
     return _articles(d, F.col("lang"), F.col("text"), F.lit(None).cast("string"), F.lit(BASE_MS) + F.col("doc_id") * 60000)
 
 
-def current(spark: SparkSession, sf: str) -> DataFrame:
-    """The snapshot just read (staged)."""
-    d = load(spark, sf, "documents").withColumn("fate", fate(F.col("doc_id"))).filter("fate <> 'removed'")
-    f = F.col("fate")
+def _as_read(d: DataFrame, f: Column, *more: str) -> DataFrame:
+    """Documents as they are after the fate ``f``."""
     body = (
         F.when(f == "shortened", F.expr("left(text, cast(floor(length(text) * 3 / 10) as int))"))
         .when(f == "emptied", "").otherwise(F.col("text"))
@@ -85,10 +83,15 @@ def current(spark: SparkSession, sf: str) -> DataFrame:
     later = F.when(f == "shortened", DAY_MS).otherwise(0)
     return _articles(
         d, F.when(f == "relabelled", "xx").otherwise(F.col("lang")), body,
-        F.when(f == "failed", "HTTP 404"), F.lit(BASE_MS) + F.col("doc_id") * 60000 + later,
+        F.when(f == "failed", "HTTP 404"), F.lit(BASE_MS) + F.col("doc_id") * 60000 + later, *more,
     )
 
 
+def current(spark: SparkSession, sf: str) -> DataFrame:
+    """The snapshot just read (staged)."""
+    return _as_read(load(spark, sf, "documents").withColumn("fate", fate(F.col("doc_id"))).filter("fate <> 'removed'"), F.col("fate"))
+
+
 def staged(spark: SparkSession, sf: str) -> DataFrame:
     """Current rows that are new or differ from live in metadata or body: what waits in pending."""
     same = prior(spark, sf).select("type_key", "id", "metadata_hash", "content_hash")
@@ -96,13 +99,16 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Live and pending as a run has them: narrow digest tables, the texts hashed once.
+    """Live and pending as a run has them: narrow digest tables, from one scan of the documents.
 
     Queries that use a zone several times start from these tables, which outlive lost
     executors, rather than from the documents each time.
     """
-    live = cut_lineage(spark, prior(spark, sf).drop("body_text"), "live")
-    now_read = cut_lineage(spark, current(spark, sf).drop("body_text"), "current")
+    d = load(spark, sf, "documents").withColumn("fate", fate(F.col("doc_id"))).withColumn("side", F.explode(F.array(F.lit("prior"), F.lit("current"))))
+    there = F.when(F.col("side") == "prior", F.col("fate") != "added").otherwise(F.col("fate") != "removed")
+    f = F.when(F.col("side") == "prior", "kept").otherwise(F.col("fate"))
+    both = cut_lineage(spark, _as_read(d.filter(there), f, "side").drop("body_text"), "zones")
+    live, now_read = (both.filter(F.col("side") == side).drop("side") for side in ("prior", "current"))
     same = live.select("type_key", "id", "metadata_hash", "content_hash")
     return live, now_read.join(same, ["type_key", "id", "metadata_hash", "content_hash"], "left_anti")
 
