@@ -471,3 +471,11 @@ def test_drill_down_by_kind(spark):
     for kind in ("staged", "other"):
         with pytest.raises(ValueError):
             reads.changes_of_kind(tables, kind, "r1")
+
+
+def test_hidden_values_keep_all_types(spark):
+    rows = [("A", ["x", "y", "x"]), ("B", ["x", "z"]), ("C", ["z", "x"]), ("C", None), (None, ["n"])]
+    df = spark.createDataFrame(rows, "type_key string, words array<string>")
+    found = profile.hidden_values(profile.facet(df, F.col("words"), ["type_key"]), limit=1)
+    assert sorted((r["value"], r["n"], r["types"]) for r in found.collect()) == [("n", 1, []), ("y", 1, ["A"]), ("z", 2, ["B", "C"])]
+    assert profile.hidden_values(profile.facet(df.limit(0), F.col("words"), ["type_key"]), limit=1).count() == 0
