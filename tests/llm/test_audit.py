@@ -1,6 +1,7 @@
 """Filter audit: the matrix against a count in plain Python, every order by running the filters, and odd rows against the SQL."""
 
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -85,6 +86,34 @@ def test_matrix_counts_every_word(spark, monkeypatch):
     assert sorted(seen, key=str) == sorted(want, key=str)
 
 
+def test_a_block_is_unpacked_in_stretches(monkeypatch):
+    """Measures of a block of 1.6 million entries in a few MB; a row above the limit stays whole."""
+    block = audit.Block()
+    for i in range(8_000):
+        block.add(i, "s", b"k", b" ".join(b"w%d" % (i * 7 % 900 + j) for j in range(200)))
+    block.add(8_000, "s", b"k", b"")
+    block.add(8_001, "s", b"k", b" ".join(b"v%d" % j for j in range(5_000)) + b" v1")
+    made = block.batch(0)
+    size, kinds = len(block.book), pa.struct([("places", pa.list_(pa.int32())), ("ids", pa.list_(pa.int64()))])
+    ids = pa.array([[{"places": np.arange(size, dtype=np.int32), "ids": np.arange(size) + 10}]], pa.list_(kinds))
+    batch = made.drop_columns(["terms"]).append_column("ids", ids)
+    del block
+    for limit in (1 << 17, 3_000):
+        monkeypatch.setattr(audit, "UNPACKED", limit)
+        words, distinct, docs = [], [], []
+        tracemalloc.start()
+        for _, _, own, starts, columns, counts in audit.shards(iter([batch])):
+            docs += range(own.start, own.stop)
+            distinct += np.diff(starts).tolist()
+            words += [int(counts[a:b].sum()) for a, b in zip(starts[:-1], starts[1:])]
+            assert columns.min(initial=10) >= 10
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert docs == list(range(8_002))
+        assert words == [200] * 8_000 + [0, 5_001] and distinct == [200] * 8_000 + [0, 5_000]
+        assert peak < 24 << 20
+
+
 def test_canonical_rows_merge_entries():
     starts, columns, counts = audit.canonical(np.array([0, 3, 3, 5]), np.array([9, 2, 9, 4, 1]), np.array([1, 2, 3, 4, 5]))
     assert (starts.tolist(), columns.tolist(), counts.tolist()) == ([0, 2, 2, 4], [2, 9, 1, 4], [2, 4, 5, 4])

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import partitions, query, stored, table
 
 LEAST_WORDS, DISTINCT_PERCENT, UPPER_PERCENT, SYMBOLS = 200, 50, 2, b"#$%&*|"
-BLOCK_BYTES, BLOCK_DOCS = 32 << 20, 1 << 16  # a block ends with the text that reaches either
+BLOCK_BYTES, BLOCK_DOCS = 16 << 20, 1 << 16  # a block ends with the text that reaches either
 LETTERS = "ABCDE"
 BITS = {f: 1 << i for i, f in enumerate(LETTERS)}
 ORDERS = ["".join(p) for p in permutations(LETTERS)]
@@ -32,6 +32,7 @@ UPPER = bytes(range(65, 91))
 INNER = bytes(range(0x80, 0xC0))  # bytes that continue a character
 
 GATHERED = 1 << 20  # looked-up words that a task holds before it sorts them by block
+UNPACKED = 1 << 17  # entries of a block that are unpacked at once; a row is never cut
 
 ROWS = "doc_id array<long>, source array<string>, key array<binary>, upper array<long>, points array<long>, symbol array<boolean>"
 SHARD = f"block long, {ROWS}, starts array<int>, places binary, counts binary"
@@ -42,8 +43,9 @@ def planes(values: np.ndarray) -> bytes:
     return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def from_planes(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+def from_planes(raw: pa.Buffer, start: int, end: int) -> np.ndarray:
+    """The numbers from ``start`` to ``end``; the others stay packed."""
+    return np.frombuffer(raw, np.uint8).reshape(4, -1)[:, start:end].T.copy().view("<u4").ravel()
 
 
 class Block:
@@ -86,8 +88,10 @@ def blocks(docs: DataFrame) -> DataFrame:
             for doc_id, source, key, text in zip(*(batch.column(i) for i in range(4))):
                 block.add(doc_id.as_py(), source.as_py(), key.as_py(), text.as_buffer().to_pybytes())
                 if block.size >= BLOCK_BYTES or len(block.rows) == BLOCK_DOCS:
-                    yield block.batch(number)
-                    number, block = number + 1, Block()
+                    done = block.batch(number)
+                    number, block = number + 1, Block()  # the words of the last block are let go before it is sent
+                    yield done
+                    del done
         if block.rows:
             yield block.batch(number)
 
@@ -146,16 +150,22 @@ def canonical(starts: np.ndarray, columns: np.ndarray, counts: np.ndarray) -> tu
     return np.concatenate(([0], np.cumsum(np.bincount(row[first], minlength=len(starts) - 1)))), columns[first], summed
 
 
-def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, np.ndarray, np.ndarray]]:
+def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """(batch, its row, documents of the block, and their part of the matrix). A block is taken apart in stretches of documents, so that its packed form is all that is held whole."""
     for batch in batches:
         for i in range(batch.num_rows):
-            starts = batch.column("starts")[i].values.to_numpy()
-            places, counts = (from_planes(batch.column(n)[i].as_py()).astype(np.int64) for n in ("places", "counts"))
-            columns = np.cumsum(places)
-            # A row's differences begin with its first number: take off what the rows before it add up to.
-            before = np.concatenate(([0], columns))[starts[:-1]]
-            columns -= np.repeat(before, np.diff(starts))
-            yield batch, i, *canonical(starts, global_numbers(batch.column("ids")[i])[columns], counts)
+            starts, numbers = batch.column("starts")[i].values.to_numpy(), global_numbers(batch.column("ids")[i])
+            places, counts = (batch.column(n)[i].as_buffer() for n in ("places", "counts"))
+            first = 0
+            while first < len(starts) - 1:
+                end = max(first + 1, int(np.searchsorted(starts, starts[first] + UNPACKED, "right")) - 1)
+                own = starts[first : end + 1] - starts[first]
+                columns = np.cumsum(from_planes(places, starts[first], starts[end]), dtype=np.int64)
+                # A row's differences begin with its first number: take off what the rows before it add up to.
+                before = np.concatenate(([0], columns))[own[:-1]]
+                columns -= np.repeat(before, np.diff(own))
+                yield batch, i, slice(first, end), *canonical(own, numbers[columns], from_planes(counts, starts[first], starts[end]))
+                first = end
 
 
 def global_numbers(found: pa.Scalar) -> np.ndarray:
@@ -169,12 +179,12 @@ def global_numbers(found: pa.Scalar) -> np.ndarray:
 
 
 def matrix(docs: DataFrame) -> DataFrame:
-    """The document-term matrix: (block, doc_id array, starts, columns, counts); row r has the entries from starts[r] to starts[r + 1]."""
+    """The document-term matrix: (block, doc_id array, starts, columns, counts); row r has the entries from starts[r] to starts[r + 1]. A block may be several such shards."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, i, starts, columns, counts in shards(batches):
+        for batch, i, own, starts, columns, counts in shards(batches):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("block").slice(i, 1), batch.column("doc_id").slice(i, 1), *[pa.array([a], pa.list_(pa.int64())) for a in (starts, columns, counts)]],
+                [batch.column("block").slice(i, 1), *[pa.array([a], pa.list_(pa.int64())) for a in (batch.column("doc_id")[i].values[own], starts, columns, counts)]],
                 ["block", "doc_id", "starts", "columns", "counts"])
 
     return numbered_blocks(blocks(docs)).mapInArrow(made, "block long, doc_id array<long>, starts array<long>, columns array<long>, counts array<long>")
@@ -185,10 +195,10 @@ def measures(docs: DataFrame) -> DataFrame:
     one = ["doc_id", "source", "key", "upper", "points", "symbol"]
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, i, starts, _, counts in shards(batches):
+        for batch, i, own, starts, _, counts in shards(batches):
             sums = np.concatenate(([0], np.cumsum(counts)))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n)[i].values for n in one], pa.array(np.diff(sums[starts])), pa.array(np.diff(starts))], [*one, "words", "distinct_words"])
+                [*[batch.column(n)[i].values[own] for n in one], pa.array(np.diff(sums[starts])), pa.array(np.diff(starts))], [*one, "words", "distinct_words"])
 
     return numbered_blocks(blocks(docs)).mapInArrow(
         made, "doc_id long, source string, key binary, upper long, points long, symbol boolean, words long, distinct_words long")
