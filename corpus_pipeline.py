@@ -39,8 +39,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @apart
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near copies."""
-    return simhash.first_of_each(docs)
+    """One document, that with the smallest id, of each group of near copies: op5's links of fingerprints, and texts that share 4 / 5 of their shingles."""
+    return simhash.first_of_each(docs, prints=True)
 
 
 @apart

@@ -1,6 +1,9 @@
 """The pipeline on a small table: every stage keeps the columns, takes effect, and the last mixes what is left."""
 
+import random
+
 import corpus_pipeline
+from tidemark.llm import simhash
 
 SF = "/root/testdata/sf0.01"
 
@@ -71,3 +74,33 @@ def test_odd_rows_through_all_stages(spark, tmp_path):
 def test_empty_tables_through_all_stages(spark, tmp_path):
     write(spark, tmp_path, spark.createDataFrame([], ODD), spark.createDataFrame([], "doc_id long, quality int, toxic int"), spark.createDataFrame([], "item_id long, text string"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_are_those_of_op5_and_of_equal_shingles(spark):
+    """No two documents of one op5 component stay, whatever their sets, nor two of similar sets, whatever their fingerprints; chains of both kinds hold."""
+    rng = random.Random(14)
+    vocab = [f"y{i}" for i in range(3000)]
+    line = ["same", "line", "again", "and", "again"]
+    texts = [line * 40 + rng.choices(vocab, k=60) for _ in range(6)]  # equal fingerprints, sets of 0.1 or less
+    for _ in range(12):  # sets of 0.83, fingerprints further apart
+        w = rng.choices(vocab, k=240)
+        texts += [w, w[:200]]
+    texts += [texts[0] + texts[-1][:4]]
+    w = line * 40 + rng.choices(vocab, k=400)  # similar sets next to the repeated line, one chain
+    texts += [w, w[:-20], rng.choices(vocab, k=150), rng.choices(vocab, k=150)]
+    rng.shuffle(texts)
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    component = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    sets = [{" ".join(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    root, only_prints, only_sets = list(range(len(texts))), 0, 0
+    for i in range(len(texts)):
+        for j in range(i):
+            by_print, by_set = component[i] == component[j], len(sets[i] & sets[j]) * 5 >= len(sets[i] | sets[j]) * 4
+            only_prints += by_print and not by_set
+            only_sets += by_set and not by_print
+            if by_print or by_set:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert only_prints > 10 and only_sets > 5
+    got = corpus_pipeline.drop_near_copies(spark, docs, SF).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(set(root))

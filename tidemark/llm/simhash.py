@@ -255,9 +255,21 @@ def met(rows: DataFrame, alike: Callable) -> DataFrame:
     )
 
 
+def hashed(found: list[bytes], shingle: int) -> list[bytes]:
+    """What a fingerprint is the majority of: the XXH64 (seed 42) of every word shingle, repeats included."""
+    return [xxhash.xxh64_digest(s, 42) for s in shingles(found, shingle)]
+
+
 def fingerprints(docs: DataFrame, keep: list[str], shingle: int = 4) -> DataFrame:
     """Columns ``keep`` and ``print``, the 64-bit SimHash of word shingles, repeats included (XXH64, seed 42); 0 without words."""
-    return digested(docs, keep, [(8, lambda w: [xxhash.xxh64_digest(s, 42) for s in shingles(w, shingle)])], ["print"])
+    return digested(docs, keep, [(8, lambda w: hashed(w, shingle))], ["print"])
+
+
+def linked_prints(prints: DataFrame) -> DataFrame:
+    """(node, root) of the fingerprints, one a row in column ``print``, that chains of links of 4 or fewer differing bits connect; found by anchors."""
+    zero = F.lit(0).cast("long")
+    own = [F.col("print").alias(c) for c in ("node", "k0", "c0")]
+    return components(near_links(prints.select(*own, zero.alias("k1"), zero.alias("c1")), EXACT, 4))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
@@ -269,9 +281,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """
     found = stored(fingerprints(docs, ["doc_id"], shingle), "prints")
     nodes = found.groupBy("print").agg(F.min("doc_id").alias("least"))
-    zero = F.lit(0).cast("long")
-    links = near_links(nodes.select(F.col("print").alias("node"), F.col("print").alias("k0"), zero.alias("k1"), F.col("print").alias("c0"), zero.alias("c1")), EXACT, 4)
-    member = components(links)
+    member = linked_prints(nodes)
     known = member.join(nodes, member["node"] == nodes["print"]).select("node", "root", "least")
     root = known.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stored(known.join(root, "root").select(F.col("node").alias("print"), "component_id"), "components")
@@ -296,9 +306,9 @@ def bands(members: np.ndarray, least: np.ndarray) -> np.ndarray:
     return (mixed ^ mixed >> np.uint64(29)).view(np.int64)
 
 
-def set_of(text: bytes | None) -> np.ndarray:
+def set_of(found: list[bytes]) -> np.ndarray:
     """The set of five-word shingles as sorted 64-bit hashes."""
-    return np.unique(np.array([xxhash.xxh3_64_intdigest(x) for x in set(shingles(words(text or b""), NEAR_SHINGLE))], np.uint64))
+    return np.unique(np.array([xxhash.xxh3_64_intdigest(x) for x in set(shingles(found, NEAR_SHINGLE))], np.uint64))
 
 
 def node_keys(sets: list[np.ndarray]) -> list[pa.Array]:
@@ -307,21 +317,22 @@ def node_keys(sets: list[np.ndarray]) -> list[pa.Array]:
 
 
 def sketches(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep``, two hashes of the set of shingles of every whole text, the set's size, its bands, and 128 bits of its minima (c0, c1)."""
+    """Columns ``keep``, two hashes of the set of shingles of every whole text, the set's size, its bands, 128 bits of its minima (c0, c1), and the fingerprint."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sets = [set_of(t) for t in part.column(len(keep)).cast(pa.binary()).to_pylist()]
+                texts = [words(t or b"") for t in part.column(len(keep)).cast(pa.binary()).to_pylist()]
+                sets, per_text = [set_of(t) for t in texts], [hashed(t, 4) for t in texts]
                 least = [minima(x) for x in sets]
                 bits = (np.stack(least)[:, :SKETCH_BITS] >> np.uint64(20) & np.uint64(1)).astype(bool)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[: len(keep)], *node_keys(sets), pa.array([len(x) for x in sets]), lists([bands(x, m) for x, m in zip(sets, least)]),
-                     *[pa.array(x) for x in numbers(bits)]],
-                    [*keep, "k0", "k1", "size", "bands", "c0", "c1"])
+                     *[pa.array(x) for x in numbers(bits) + numbers(majority([d for p in per_text for d in p], [len(p) for p in per_text], 8))]],
+                    [*keep, "k0", "k1", "size", "bands", "c0", "c1", "print"])
 
-    schema = ", ".join([*[f"`{c}` {t}" for c, t in docs.select(*keep).dtypes], "k0 long, k1 long, size long, bands array<long>, c0 long, c1 long"])
+    schema = ", ".join([*[f"`{c}` {t}" for c, t in docs.select(*keep).dtypes], "k0 long, k1 long, size long, bands array<long>, c0 long, c1 long, print long"])
     return docs.select(*[F.col(c).alias(c) for c in keep], F.col("text").alias("_text")).mapInArrow(made, schema)
 
 
@@ -344,7 +355,7 @@ def sets_of_marked(docs: DataFrame, table: np.ndarray) -> DataFrame:
             spot = batch.column(0).to_numpy() & ((1 << MARK_BITS) - 1)
             own = np.flatnonzero(sent.value[spot >> 6] >> (spot & 63).astype(np.uint64) & np.uint64(1))
             for at in range(0, len(own), 64):
-                sets = [set_of(t) for t in batch.column(1).take(pa.array(own[at : at + 64])).cast(pa.binary()).to_pylist()]
+                sets = [set_of(words(t or b"")) for t in batch.column(1).take(pa.array(own[at : at + 64])).cast(pa.binary()).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*node_keys(sets), lists([x.view(np.int64) for x in sets])], ["k0", "k1", "members"])
 
     return docs.select("mark", "text").mapInArrow(made, "k0 long, k1 long, members array<long>")
@@ -416,20 +427,30 @@ def similar(coarse: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return stored(rows.repartition(many, "root", "one", "two").sortWithinPartitions("root", "one", "two").mapInArrow(tiled, "a long, b long"), "similar")
 
 
-def near_groups(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, root) of the nodes that chains of similar pairs connect. ``nodes``: node, size, bands, c0, c1, mark; ``docs``: mark, text.
+def near_sets(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) of similar nodes. ``nodes``: node, size, bands, c0, c1, mark; ``docs``: mark, text.
 
     Nodes that meet in a band and whose sketches are near make coarse groups, which hold every similar pair; their sets decide.
     """
     rows = nodes.select(F.explode("bands").alias("anchor"), "node", "c0", "c1", F.lit(True).alias("home"))
-    return components(similar(components(met(rows, within(SKETCH_NEAR))), nodes, docs))
+    return similar(components(met(rows, within(SKETCH_NEAR))), nodes, docs)
+
 
+def near_prints(found: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the nodes whose fingerprints ``near_duplicates`` connects. ``found``: node, print."""
+    own = stored(found.select("node", "print").distinct(), "node_prints")
+    member = linked_prints(own.select("print").distinct())
+    group = own.join(member.withColumnRenamed("node", "print"), "print", "left").select("node", F.coalesce("root", "print").alias("root")).distinct()
+    least = group.groupBy("root").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1").select("root", "b")
+    return group.join(least, "root").filter("node <> b").select(F.col("node").alias("a"), "b")
 
-def first_of_each(docs: DataFrame) -> DataFrame:
+
+def first_of_each(docs: DataFrame, prints: bool = False) -> DataFrame:
     """The documents without near copies: of each group the row with the smallest id stays, and all columns with it.
 
-    Two documents are near copies if their sets of five-word shingles (64-bit hashes) have a Jaccard similarity of 0.8 or more;
-    chains of near copies are a group. Texts that meet in a band of minima and whose sketches are near are compared by their whole sets. Rows
+    Two documents are near copies if their sets of five-word shingles (64-bit hashes) have a Jaccard similarity of 0.8 or more, and with ``prints``
+    also if ``near_duplicates`` links their fingerprints (4 or fewer differing bits, met at anchors);
+    chains of near copies, of either kind, are a group. Texts that meet in a band of minima and whose sketches are near are compared by their whole sets. Rows
     without words are one group. Null ids count as the largest; of rows with one id, one stays by the hash of the whole row.
     """
     narrow = docs.select("doc_id", F.xxhash64("text").alias("spot"), "text")
@@ -441,7 +462,10 @@ def first_of_each(docs: DataFrame) -> DataFrame:
         # Of exact copies, the first one's set stands for all.
         .withColumn("mark", F.xxhash64("least.doc_id", "least.spot")),
         "nodes")
-    member = near_groups(nodes, narrow.select(F.xxhash64("doc_id", "spot").alias("mark"), "text"))
+    links = near_sets(nodes, narrow.select(F.xxhash64("doc_id", "spot").alias("mark"), "text"))
+    if prints:
+        links = links.unionByName(near_prints(found))
+    member = components(links)
     group = nodes.join(member, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("least").alias("least"))
     times = found.groupBy("doc_id", "spot").agg(F.count("*").alias("times"))
     first = group.select(F.col("least.doc_id").alias("_id"), F.col("least.spot").alias("_at"))
