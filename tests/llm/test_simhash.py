@@ -1,8 +1,10 @@
 """Fingerprints, links and components against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
@@ -177,3 +179,18 @@ def test_a_group_that_its_smallest_node_does_not_hold_together(spark, monkeypatc
     for limit in (4096, 5):
         monkeypatch.setattr(simhash, "HOME_LIMIT", limit)
         assert sorted(r["doc_id"] for r in simhash.first_of_each(df).collect()) == want
+
+
+def test_a_full_anchor_is_compared_in_little_memory():
+    """4,096 homes of one anchor and 6,000 copies, all of them near: no link is lost, and a worker holds few comparisons at once."""
+    n, size = simhash.HOME_LIMIT + 6000, 512
+    node, prints, home = np.arange(n), np.random.default_rng(3).integers(0, 16, n), np.arange(n) < simhash.HOME_LIMIT
+    zero = np.zeros(n, np.int64)
+    rows = pa.RecordBatch.from_arrays([pa.array(x) for x in (zero, zero, node, prints, zero, home)], ["anchor", "part", "node", "c0", "c1", "home"])
+    tracemalloc.start()
+    links = list(simhash.compared(simhash.within(4))(rows.slice(i, size) for i in range(0, n, size)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    a, b = (np.concatenate([x.column(i).to_numpy() for x in links]) for i in range(2))
+    assert len(simhash.stars(a, b)[0]) == n - 1 and (simhash.stars(a, b)[1] == 0).all()
+    assert peak < 64e6

@@ -23,7 +23,7 @@ from tidemark.llm.common import partitions, query, stored, table
 from tidemark.llm.components import components
 
 HOME_LIMIT = 4096  # homes of an anchor that one task holds; beyond it they are split and copies go to every part
-PAIRS = 1 << 21  # comparisons made at once
+PAIRS = 1 << 18  # comparisons made at once; where all are links, their arrays take 36 MB of a Python worker at most (275 MB with 2^21)
 
 
 class Block(NamedTuple):
